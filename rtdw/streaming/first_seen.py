@@ -1,0 +1,50 @@
+"""First-seen stores: what is remembered about a key from its first record on, for ever.
+
+The stateful rules of the warehouse all remember something from the first record of a key: a visitor's first
+day, the record that opens a visitor's day, the record that opens a session. Instead of state that meets every
+row of a key in one task, a micro-batch reduces its rows to one per key, keeps those the store does not know, and
+appends them in its own folder. A repeated batch finds its folder finished and reads the same answers.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .runner import batch_dir, read_batches, write_batch_once
+
+
+class FirstSeen:
+    """Remembered values by key, one folder of new keys per micro-batch."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: str, values: str):
+        """``keys`` and ``values`` are column lists with types, as in ``"mid string"``."""
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = f"{keys}, {values}"
+        self.keys = [c.split()[0] for c in keys.split(", ")]
+        self.columns = [c.split()[0] for c in self.schema.split(", ")]
+
+    def claim(self, firsts: DataFrame, batch_id: int) -> None:
+        """Remember the keys of ``firsts`` (one row per key) that no earlier batch has."""
+        known = read_batches(self.spark, self.path, self.schema, before=batch_id)
+        new = firsts.select(*self.columns).join(known.select(*self.keys), self.keys, "left_anti")
+        write_batch_once(new, self.path, batch_id)
+
+    def upto(self, batch_id: int) -> DataFrame:
+        """Everything remembered by this batch and those before it."""
+        return read_batches(self.spark, self.path, self.schema, before=batch_id + 1).drop("batch_id")
+
+    def claimed_in(self, batch_id: int) -> DataFrame:
+        """What this batch was the first to see."""
+        return self.spark.read.schema(self.schema).parquet(batch_dir(self.path, batch_id))
+
+    def compact(self, upto_batch: int, into: str) -> None:
+        """Copy the store up to a batch into one folder of a new store, to bring down the number of files."""
+        write_batch_once(self.upto(upto_batch), into, upto_batch)
+
+
+def earliest(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """Per key the values of its earliest row by ``(ts, seq)``, with map-side combine."""
+    packed = F.struct(*[value.alias(name) for name, value in values.items()])
+    return rows.groupBy(*keys).agg(F.min_by(packed, F.struct("ts", "seq")).alias("first")).select(*keys, "first.*")
