@@ -85,8 +85,7 @@ def fix_new_visitors(logs: DataFrame, visits: DataFrame | None = None, hot_rows:
     aggregation where the first days are already known.
     """
     visits = first_visits(logs) if visits is None else visits
-    hot = visits.filter(F.col("row_count") > hot_rows)
-    found = lookup(logs, visits.select("mid", "first_day"), ["mid"], "_visit", F.col("seq"), hot=hot)
+    found = lookup(logs, visits, ["mid"], "_visit", F.col("seq"), count_column="row_count", hot_rows=hot_rows)
     stale = (F.col("is_new") == "1") & (F.col("_visit.first_day") != day_of())
     without = F.map_filter("common", lambda key, _v: key != "is_new")
     corrected = F.map_concat(without, F.create_map(F.lit("is_new"), text_variant(F.lit("0"))))

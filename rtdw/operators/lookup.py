@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +15,6 @@ BROADCAST_ROWS = 20_000
 # bounds what the hot branch broadcasts: 10^12 rows give less than a million short entries.
 HOT_ROWS = 1_000_000
 
-# Rows of hot keys are scattered over this many shuffle keys.
-_SCATTER = 8192
-
-
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame has at most ``rows`` rows; reads no more than needed to know."""
     return df.limit(rows + 1).count() <= rows
@@ -33,7 +32,7 @@ def lookup(
     keys: list[str],
     found: str,
     scatter_by: Column,
-    hot: DataFrame | None = None,
+    count_column: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the column ``found``: the one ``side`` row of each row's key as a struct, NULL on a miss.
@@ -41,21 +40,28 @@ def lookup(
     ``side`` has at most one row per key. Rows of hot keys take their answer from a small broadcast table
     and, like rows without a key, are scattered over the shuffle instead of meeting in one task; all other
     rows are joined by key. ``scatter_by`` should differ between the rows of one key.
+
+    ``count_column`` names a column of ``side`` that holds the number of rows per key; it is for sides made from
+    ``rows`` themselves, which know every key. Without it the keys of ``rows`` are counted.
     """
-    hot = hot_keys(rows, keys, hot_rows) if hot is None else hot.select(*keys)
-    values = [c for c in side.columns if c not in keys]
-    packed = side.select(*keys, F.struct(*values).alias("_side"))
+    values = [c for c in side.columns if c not in (*keys, count_column)]
+    packed = F.struct(*values).alias("_side")
+    if count_column:
+        # Both parts read both columns, so that Spark computes the aggregation behind them once.
+        hot_side = side.filter(F.col(count_column) > hot_rows).select(*keys, packed)
+        cold_side = side.filter(F.col(count_column) <= hot_rows).select(*keys, packed)
+    else:
+        cold_side = side.select(*keys, packed)
+        hot_side = hot_keys(rows, keys, hot_rows).join(cold_side, keys, "left")
+    hot_side = hot_side.select(*keys, F.lit(True).alias("_hot"), F.col("_side").alias("_hot_side"))
 
-    hot_side = hot.join(packed, keys, "left").select(
-        *keys, F.lit(True).alias("_hot"), F.col("_side").alias("_hot_side")
-    )
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    spread = F.when(F.col("_hot") | no_key, 1 + F.pmod(F.xxhash64(scatter_by), F.lit(_SCATTER))).otherwise(0)
-    marked = rows.join(F.broadcast(hot_side), keys, "left").withColumn("_part", spread.cast("int"))
-    cold_side = packed.withColumn("_part", F.lit(0))
-    joined = marked.join(cold_side, [*keys, "_part"], "left")
+    # The slot is a second join key on which the shuffle depends. A literal on one side would not do: Spark turns
+    # it into a condition and goes on to shuffle by the keys alone.
+    own_slot = F.xxhash64(*keys)
+    no_key = reduce(or_, (F.col(key).isNull() for key in keys))
+    slot = F.when(F.col("_hot") | no_key, F.xxhash64(scatter_by)).otherwise(own_slot)
+    marked = rows.join(F.broadcast(hot_side), keys, "left").withColumn("_slot", slot)
+    joined = marked.join(cold_side.withColumn("_slot", own_slot), [*keys, "_slot"], "left")
     return joined.select(*rows.columns, F.coalesce("_hot_side", "_side").alias(found))
 
 

@@ -133,6 +133,23 @@ _FAN_OUT = """
                 WHERE kind IN ('view', 'click', 'purchase') OR (kind = 'error' AND k % 2 = 0)
     ) GROUP BY ALL"""
 
+# Letters as Han characters; an alternation that tries long words first finds the longest match at each place.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_HAN = "".join(chr(0x4E00 + 37 * i) for i in range(26))
+_SEGMENTS = rf"""
+WITH entry AS (
+  SELECT DISTINCT translate(w, '{_LETTERS}', '{_HAN}') AS w
+  FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) BETWEEN 2 AND 4
+),
+pattern AS (
+  SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) || '|\p{{Han}}|(?:\p{{N}}|[^\p{{Han}}\P{{L}}])+' AS p FROM entry
+)
+SELECT keyword, count(*) AS n_documents FROM (
+  SELECT doc_id, unnest(list_distinct(regexp_extract_all(
+    replace(translate(lower(text), '{_LETTERS}', '{_HAN}'), ' ', ''), p))) AS keyword
+  FROM documents, pattern)
+GROUP BY 1"""
+
 _BY_TABLE = "SELECT source_table, type, count(*) AS n_changes FROM {} GROUP BY ALL"
 
 _CLOSED = "start + INTERVAL {} <= (SELECT max(ts) FROM {}) - INTERVAL 5 SECOND"
@@ -260,6 +277,8 @@ ORACLES = {
       SELECT unnest(list_distinct(string_split_regex(lower(text), '[^\p{L}\p{N}]+'))) AS keyword
       FROM documents WHERE lang = 'en')
     WHERE keyword <> '' GROUP BY 1""",
+    "q_kw_segment": _SEGMENTS,
+    "q_kw_segment_large": _SEGMENTS,
     "q_kw_window": _with(_EVENTS) + _keyword_windows("5 SECOND"),
     "q_kw_window_1h": _with(_EVENTS) + _keyword_windows("1 HOUR"),
     "q_traffic_parse": _with(_EVENTS, _VISITS, _VIEWS)

@@ -265,7 +265,7 @@ def kw_filter(spark, sf_dir):
 @query
 def traffic_json(spark, sf_dir):
     """Traffic report lines as JSON, read back."""
-    report = traffic.report_json(traffic.traffic_windows(traffic.flag_visits(_views(spark, sf_dir)), "1 hour"))
+    report = traffic.report_json(traffic.traffic_report(_views(spark, sf_dir), "1 hour"))
     fields = ["stt", "cur_date", "vc", "is_new", "pv_ct"]
     return report.select(
         *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields],
@@ -408,6 +408,14 @@ def kw_segment(spark, sf_dir):
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+@query
+def kw_segment_large(spark, sf_dir):
+    """As ``kw_segment`` with a dictionary that is joined and not sent to the executors."""
+    texts = adapters.han_documents(spark, sf_dir)
+    found = segment.segment_words(texts, "doc_id", "text", adapters.han_dictionary(spark, sf_dir), max_words=0)
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 # Windows ------------------------------------------------------------------------------------------------
 
 
@@ -438,12 +446,12 @@ def uv_sv_flags(spark, sf_dir):
 
 @query
 def traffic_window(spark, sf_dir):
-    return traffic.traffic_windows(traffic.flag_visits(_views(spark, sf_dir)))
+    return traffic.traffic_report(_views(spark, sf_dir))
 
 
 @query
 def traffic_window_1h(spark, sf_dir):
-    return traffic.traffic_windows(traffic.flag_visits(_views(spark, sf_dir)), "1 hour")
+    return traffic.traffic_report(_views(spark, sf_dir), "1 hour")
 
 
 # State and streams --------------------------------------------------------------------------------------
