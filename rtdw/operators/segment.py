@@ -50,11 +50,13 @@ def segment_words(
         return tokenised.select(key, F.explode(F.array_union(others, cut)).alias("keyword"))
     single = tokenised.select(key, F.explode("tokens").alias("token"))
     is_run = F.col("token").rlike(f"^{_HAN}")
-    runs = single.filter(is_run).select(F.col("token").alias("run")).distinct()
-    asked = single.withColumn("run", F.when(is_run, F.col("token")))
-    cut = lookup(asked, _cut_by_join(runs, entries), ["run"], "_cut", F.col(key))
-    found = F.when(is_run, F.col("_cut.words")).otherwise(F.array("token"))
-    return cut.select(key, F.explode(found).alias("keyword")).distinct()
+    # Runs may be long; a digest stands for them wherever they are shuffled.
+    digest = F.unhex(F.sha2("token", 256)).alias("run_id")
+    asked = single.filter(is_run).select(key, digest)
+    runs = single.filter(is_run).select(digest, F.col("token").alias("run")).dropDuplicates(["run_id"])
+    cut = lookup(asked, _cut_by_join(runs, entries), ["run_id"], "_cut", F.col(key))
+    words = cut.select(key, F.explode("_cut.words").alias("keyword"))
+    return single.filter(~is_run).select(key, F.col("token").alias("keyword")).unionByName(words).distinct()
 
 
 def _split_scripts(text: Column) -> Column:
@@ -95,31 +97,45 @@ def _longest(run: str, at: int, known: frozenset[str], sizes: list[int]) -> int:
 
 
 def _cut_by_join(runs: DataFrame, entries: DataFrame) -> DataFrame:
-    """``run, words`` for distinct runs, with the dictionary as a joined table.
+    """``run_id, words`` for distinct runs, with the dictionary as a joined table.
 
     Every place of a run offers its substrings of the dictionary's word sizes; those found in the dictionary come
     back to the run, whose places and sizes are at most its length times the number of sizes.
     """
     sizes = [row.n for row in entries.select(F.length("word").alias("n")).distinct().collect()]
-    places = F.sequence(F.lit(1), F.length("run"))
-    offered = (
-        runs.select("run", F.explode(places).alias("place"))
-        .select("run", "place", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size"))
-        .filter(F.col("place") + F.col("size") <= F.length("run") + 1)
-        .withColumn("word", F.substring("run", F.col("place"), F.col("size")))
+    lettered = runs.select("run_id", F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)).alias("chars"))
+    # Only the digest is kept beside the offered words: the run itself would be copied for each of them.
+    offered = lettered.select("run_id", F.inline(F.concat(*[_offered_words(size) for size in sizes]))).filter(
+        F.length("word") == F.col("size")
     )
     known = entries.withColumn("hit", F.lit(True))
-    scatter = F.struct("run", "place")
-    hits = lookup(offered, known, ["word"], "_known", scatter).filter(F.col("_known.hit"))
-    longest = hits.groupBy("run", "place").agg(F.max("size").alias("size"))
-    by_run = longest.groupBy("run").agg(F.collect_list(F.struct("place", "size")).alias("hits"))
+    hits = lookup(offered, known, ["word"], "_known", F.struct("run_id", "place")).filter(F.col("_known.hit"))
+    by_run = hits.groupBy("run_id").agg(F.collect_list(F.struct("place", "size")).alias("hits"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = []
-            for run, found in zip(batch["run"], batch["hits"]):
-                sizes_at = {} if found is None else {hit["place"] - 1: hit["size"] for hit in found}
-                words.append(list(dict.fromkeys(cut_run(run, lambda at, s=sizes_at: s.get(at, 0)))))
-            yield pd.DataFrame({"run": batch["run"], "words": words})
+            words = [_cut_at(run, hits) for run, hits in zip(batch["run"], batch["hits"])]
+            yield pd.DataFrame({"run_id": batch["run_id"], "words": words})
+
+    return runs.join(by_run, "run_id", "left").mapInPandas(cut, "run_id binary, words array<string>")
+
+
+def _offered_words(size: int) -> Column:
+    """All substrings of one size as ``(place, size, word)``; the last places give shorter ones."""
+    last = F.greatest(F.size("chars") - (size - 1), F.lit(1))
+    return F.transform(
+        F.sequence(F.lit(1), last),
+        lambda place: F.struct(
+            place.alias("place"),
+            F.lit(size).alias("size"),
+            F.array_join(F.slice(F.col("chars"), place, size), "").alias("word"),
+        ),
+    )
+
 
-    return runs.join(by_run, "run", "left").mapInPandas(cut, "run string, words array<string>")
+def _cut_at(run: str, hits: list[dict] | None) -> list[str]:
+    """The distinct words of a run whose dictionary words are known as (place, size)."""
+    longest: dict[int, int] = {}
+    for hit in () if hits is None else hits:
+        longest[hit["place"] - 1] = max(hit["size"], longest.get(hit["place"] - 1, 0))
+    return list(dict.fromkeys(cut_run(run, lambda at: longest.get(at, 0))))
