@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Full-width forms U+FF01..U+FF5E sit at a constant distance from ASCII; U+3000 is the wide blank.
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
-_NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
+WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
+NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def fold(text: Column | str) -> Column:
     """Half-width, lower-case form of a text."""
-    return F.lower(F.translate(text, _WIDE, _NARROW))
+    return F.lower(F.translate(text, WIDE, NARROW))
 
 
 def words(text: Column | str) -> Column:

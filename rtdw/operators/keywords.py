@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions.text import words
 from ..functions.times import window_bounds
 from ..sources.schemas import KEYWORD_WINDOW
@@ -37,15 +38,19 @@ def keyword_windows(pages: DataFrame, size: str = "5 seconds") -> DataFrame:
 
 
 def register_kw_split(spark: SparkSession, name: str = "kw_split") -> None:
-    """Make ``kw_split(text)`` a SQL function that gives the array of words: ``LATERAL explode(kw_split(kw))``."""
+    """Make ``kw_split`` a table function in SQL: ``SELECT keyword FROM phrases, LATERAL kw_split(kw)``.
+
+    Written with the comma, the call becomes one ``explode`` over the phrases. ``JOIN LATERAL ... ON true`` gives
+    the same rows, but Spark then joins the phrases with their distinct values.
+    """
+    wide, narrow = (_quoted(s) for s in (text.WIDE, text.NARROW))
+    split = f"split(lower(translate(phrase, {wide}, {narrow})), {_quoted(text.WORD_BREAK)})"
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING) RETURNS ARRAY<STRING> RETURN {_words_sql()}"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING) RETURNS TABLE(keyword STRING) "
+        f"RETURN SELECT explode(array_distinct(array_remove({split}, '')))"
     )
 
 
-def _words_sql() -> str:
-    from ..functions import text
-
-    wide, narrow = (s.replace("\\", "\\\\").replace("'", "\\'") for s in (text._WIDE, text._NARROW))
-    pattern = text.WORD_BREAK.replace("\\", "\\\\")
-    return f"array_distinct(array_remove(split(lower(translate(phrase, '{wide}', '{narrow}')), '{pattern}'), ''))"
+def _quoted(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

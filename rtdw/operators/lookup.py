@@ -52,7 +52,9 @@ def lookup(
         cold_side = side.filter(F.col(count_column) <= hot_rows).select(*keys, packed)
     else:
         cold_side = side.select(*keys, packed)
-        hot_side = hot_keys(rows, keys, hot_rows).join(cold_side, keys, "left")
+        # The side is only filtered by the few hot keys, not shuffled a second time.
+        hot = hot_keys(rows, keys, hot_rows)
+        hot_side = hot.join(cold_side.join(F.broadcast(hot), keys, "left_semi"), keys, "left")
     hot_side = hot_side.select(*keys, F.lit(True).alias("_hot"), F.col("_side").alias("_hot_side"))
 
     # The slot is a second join key on which the shuffle depends. A literal on one side would not do: Spark turns

@@ -77,23 +77,33 @@ def cut_run(run: str, longest_at: Callable[[int], int]) -> list[str]:
 def _cutter(entries: DataFrame) -> Callable[[str], Column]:
     """A vectorised function from lists of runs to lists of words; the dictionary travels once per executor."""
     known = frozenset(row.word for row in entries.toLocalIterator())
-    sizes = sorted({len(word) for word in known}, reverse=True)
-    shared = entries.sparkSession.sparkContext.broadcast((known, sizes))
+    sizes: dict[str, set[int]] = {}
+    for word in known:
+        sizes.setdefault(word[0], set()).add(len(word))
+    longest_first = {first: sorted(found, reverse=True) for first, found in sizes.items()}
+    shared = entries.sparkSession.sparkContext.broadcast((known, longest_first))
 
     @F.pandas_udf("array<string>")
     def cut_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known, sizes = shared.value
+
+        def cut(runs: list[str]) -> list[str]:
+            return list(dict.fromkeys(word for run in runs for word in cut_run(run, _longest_in(run, known, sizes))))
+
         for lists in batches:
-            yield lists.map(
-                lambda runs: [w for run in runs for w in cut_run(run, lambda at, r=run: _longest(r, at, known, sizes))],
-                na_action="ignore",
-            )
+            yield lists.map(cut, na_action="ignore")
 
     return cut_runs
 
 
-def _longest(run: str, at: int, known: frozenset[str], sizes: list[int]) -> int:
-    return next((size for size in sizes if run[at : at + size] in known and at + size <= len(run)), 0)
+def _longest_in(run: str, known: frozenset[str], sizes: dict[str, list[int]]) -> Callable[[int], int]:
+    def longest_at(at: int) -> int:
+        for size in sizes.get(run[at], ()):
+            if run[at : at + size] in known and at + size <= len(run):
+                return size
+        return 0
+
+    return longest_at
 
 
 def _cut_by_join(runs: DataFrame, entries: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import times
-from ..functions.json import long_of, text_of
+from ..functions.json import long_of, parse_once, text_of
 from ..operators import changes, dims, envelope, facts, keywords, logs, segment, traffic
 from ..session import run_dir
 from ..sources import changelog, routes, tables, topics
@@ -266,11 +266,10 @@ def kw_filter(spark, sf_dir):
 def traffic_json(spark, sf_dir):
     """Traffic report lines as JSON, read back."""
     report = traffic.report_json(traffic.traffic_report(_views(spark, sf_dir), "1 hour"))
-    fields = ["stt", "cur_date", "vc", "is_new", "pv_ct"]
-    return report.select(
-        *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields],
-        F.get_json_object("value", "$.ar").alias("ar"), F.get_json_object("value", "$.ch").alias("ch"),
-        _keys(F.json_object_keys("value")).alias("fields"),
+    line = F.col("line")
+    return parse_once(report, F.from_json("value", "map<string,string>"), "line").select(
+        *[line[f].alias(f) for f in ("stt", "cur_date", "vc", "ch", "ar", "is_new", "pv_ct")],
+        _keys(F.map_keys(line)).alias("fields"),
     )
 
 
