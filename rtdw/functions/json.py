@@ -26,6 +26,11 @@ def text_of(obj: Column, key: str) -> Column:
     return F.try_variant_get(obj[key], "$", "string")
 
 
+def text_at(obj: Column, key: str, inner: str) -> Column:
+    """A text inside an object field, without unfolding that object."""
+    return F.try_variant_get(obj[key], f"$.{inner}", "string")
+
+
 def long_of(obj: Column, key: str) -> Column:
     return F.try_variant_get(obj[key], "$", "bigint")
 
@@ -52,9 +57,13 @@ def _has_value(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def object_json(obj: Column) -> Column:
-    """JSON text of a ``map<string,variant>`` without its null fields."""
-    return F.to_json(F.map_filter(obj, lambda _k, v: _has_value(v)))
+def object_json(obj: Column, without: tuple[str, ...] = ()) -> Column:
+    """JSON text of a ``map<string,variant>`` without its null fields and the named ones."""
+
+    def kept(key: Column, value: Column) -> Column:
+        return _has_value(value) & ~key.isin(*without) if without else _has_value(value)
+
+    return F.to_json(F.map_filter(obj, kept))
 
 
 def text_map_json(data: Column) -> Column:
@@ -63,9 +72,10 @@ def text_map_json(data: Column) -> Column:
 
 
 def unwrap(value: Column | str) -> Column:
-    """Undo one level of quoting: a JSON string holding JSON becomes that JSON, other text stays.
+    """Undo one level of quoting: a JSON string holding JSON becomes that JSON, other text stays as it is.
 
-    Reading ``[value]`` as a list of strings decodes the quoted form and keeps the plain form as it is.
+    Reading ``[value]`` as a list of strings decodes the quoted form; only values that begin with a quote are read.
     """
     text = F.col(value) if isinstance(value, str) else value
-    return F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), 0)
+    decoded = F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), 0)
+    return F.when(F.ltrim(text).startswith('"'), decoded).otherwise(text)

@@ -17,7 +17,7 @@ from ..functions.json import (
     parse_object,
     parse_once,
     present,
-    text_of,
+    text_at,
     text_variant,
 )
 from ..functions.times import ms_to_timestamp
@@ -55,9 +55,14 @@ def dead_letters(topic: DataFrame) -> DataFrame:
 
 
 def _common_fields(logs: DataFrame) -> DataFrame:
-    log, common = F.col("log"), F.col("common")
-    return logs.withColumn("common", object_of(log, "common")).withColumns(
-        {"mid": text_of(common, "mid"), "is_new": text_of(common, "is_new"), "ts": long_of(log, "ts")}
+    log = F.col("log")
+    return logs.withColumns(
+        {
+            "common": object_of(log, "common"),
+            "mid": text_at(log, "common", "mid"),
+            "is_new": text_at(log, "common", "is_new"),
+            "ts": long_of(log, "ts"),
+        }
     )
 
 
@@ -87,22 +92,19 @@ def fix_new_visitors(logs: DataFrame, visits: DataFrame | None = None, hot_rows:
     visits = first_visits(logs) if visits is None else visits
     found = lookup(logs, visits, ["mid"], "_visit", F.col("seq"), count_column="row_count", hot_rows=hot_rows)
     stale = (F.col("is_new") == "1") & (F.col("_visit.first_day") != day_of())
-    without = F.map_filter("common", lambda key, _v: key != "is_new")
-    corrected = F.map_concat(without, F.create_map(F.lit("is_new"), text_variant(F.lit("0"))))
+    others = F.map_filter("common", lambda key, _v: key != "is_new")
+    corrected = F.map_concat(others, F.create_map(F.lit("is_new"), text_variant(F.lit("0"))))
+    rest = F.map_filter("log", lambda key, _v: key != "common")
+    rewritten = F.map_concat(rest, F.create_map(F.lit("common"), F.to_variant_object(corrected)))
     return found.withColumns(
         {
+            "log": F.when(stale, rewritten).otherwise(F.col("log")),
             "common": F.when(stale, corrected).otherwise(F.col("common")),
             "is_new": F.when(stale, F.lit("0")).otherwise(F.col("is_new")),
         }
     ).drop("_visit")
 
 
-def record(*without: str) -> Column:
-    """The log as it now stands, less the named fields."""
-    log = F.map_filter("log", lambda key, _v: ~key.isin("common", *without))
-    return F.map_concat(log, F.create_map(F.lit("common"), F.to_variant_object("common")))
-
-
 def _merged(element: Column, with_ts: bool) -> Column:
     """A list element with the fields of ``common`` written over its own, and the record's time if asked."""
     common = F.col("common")
@@ -114,19 +116,23 @@ def _merged(element: Column, with_ts: bool) -> Column:
     return F.map_concat(own, common, F.create_map(F.lit("ts"), F.col("ts").cast("variant")))
 
 
+# The fields that the branches of whole records leave out.
+_LEFT_OUT = {"start": (), "err": ("displays", "actions"), "page": ("displays", "actions", "err")}
+
+
 def start_records(logs: DataFrame) -> DataFrame:
     """Whole records that have ``start``."""
-    return _branch(logs, present(F.col("log"), "start"), record())
+    return _branch(logs, "start")
 
 
 def err_records(logs: DataFrame) -> DataFrame:
     """Records that have ``err``, without their displays and actions."""
-    return _branch(logs, present(F.col("log"), "err"), record("displays", "actions"))
+    return _branch(logs, "err")
 
 
 def page_records(logs: DataFrame) -> DataFrame:
     """Records that have ``page``, without displays, actions and error."""
-    return _branch(logs, present(F.col("log"), "page"), record("displays", "actions", "err"))
+    return _branch(logs, "page")
 
 
 def display_records(logs: DataFrame) -> DataFrame:
@@ -139,8 +145,11 @@ def action_records(logs: DataFrame) -> DataFrame:
     return _elements(logs, "actions", with_ts=False)
 
 
-def _branch(logs: DataFrame, condition: Column, rec: Column) -> DataFrame:
-    return logs.filter(condition).select("seq", rec.alias("record"))
+def _branch(logs: DataFrame, branch: str) -> DataFrame:
+    rec = F.col("log")
+    if _LEFT_OUT[branch]:
+        rec = F.map_filter("log", lambda key, _v: ~key.isin(*_LEFT_OUT[branch]))
+    return logs.filter(present(F.col("log"), branch)).select("seq", rec.alias("record"))
 
 
 def _elements(logs: DataFrame, field: str, with_ts: bool) -> DataFrame:
@@ -152,24 +161,23 @@ def fan_out(logs: DataFrame) -> DataFrame:
     """All branches in one pass over the logs, as topic rows ``seq, topic, value``. A log may give several rows."""
     log = F.col("log")
 
-    def whole(branch: str, *without: str) -> Column:
-        row = F.array(_topic_row(branch, record(*without)))
-        return F.when(present(log, branch), row)
+    def row(branch: str, value: Column) -> Column:
+        return F.struct(F.lit(BRANCHES[branch]).alias("topic"), value.alias("value"))
+
+    def whole(branch: str) -> Column:
+        return F.when(present(log, branch), F.array(row(branch, object_json(log, _LEFT_OUT[branch]))))
 
     def each(branch: str, field: str, with_ts: bool) -> Column:
-        return F.transform(objects_of(log, field), lambda element: _topic_row(branch, _merged(element, with_ts)))
+        elements = objects_of(log, field)
+        return F.transform(elements, lambda element: row(branch, object_json(_merged(element, with_ts))))
 
     branches = [
         whole("start"),
         each("display", "displays", with_ts=True),
         each("action", "actions", with_ts=False),
-        whole("err", "displays", "actions"),
-        whole("page", "displays", "actions", "err"),
+        whole("err"),
+        whole("page"),
     ]
     none = F.array().cast("array<struct<topic: string, value: string>>")
-    rows = F.concat(*[F.coalesce(branch, none) for branch in branches])
+    rows = F.concat(*[F.coalesce(found, none) for found in branches])
     return logs.select("seq", F.inline(rows))
-
-
-def _topic_row(branch: str, rec: Column) -> Column:
-    return F.struct(F.lit(BRANCHES[branch]).alias("topic"), object_json(rec).alias("value"))

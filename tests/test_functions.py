@@ -61,7 +61,7 @@ def test_null_fields_are_left_out(spark):
 def test_unwrap(spark):
     texts = ['{"a":"q"}', '"{\\"a\\":\\"q\\"}"', "", None]
     rows = spark.createDataFrame([(t,) for t in texts], "v string").select(json.unwrap("v").alias("u")).collect()
-    assert [r.u for r in rows] == ['{"a":"q"}', '{"a":"q"}', None, None]
+    assert [r.u for r in rows] == ['{"a":"q"}', '{"a":"q"}', "", None]
 
 
 def test_database_types():
