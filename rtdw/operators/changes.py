@@ -9,7 +9,7 @@ from ..functions.json import parse_once, text_map_json, unwrap
 from ..sources.changelog import image
 from ..sources.schemas import CHANGE, DIM_ROUTE, FACT_ROUTE
 from ..sources.topics import typed
-from .lookup import BROADCAST_ROWS, is_small, lookup
+from .lookup import BROADCAST_ROWS, is_small, join_scattered
 
 FACT_TYPES = ("insert", "update")
 DIM_TYPES = ("insert", "update", "delete")
@@ -91,11 +91,8 @@ def _route(changes: DataFrame, routes: DataFrame, on: dict[str, str], max_broadc
     values = [c for c in renamed.columns if c not in keys]
     if is_small(routes, max_broadcast_rows):
         return changes.join(F.broadcast(renamed), keys).select(*changes.columns, *values)
-    # Several routes of one key travel as a list, so that the lookup meets one row per key.
-    lists = renamed.groupBy(*keys).agg(F.collect_list(F.struct(*values)).alias("routes"))
     scatter = F.col("seq") if "seq" in changes.columns else F.map_entries("data")
-    found = lookup(changes, lists, keys, "_found", scatter)
-    return found.select(*changes.columns, F.inline("_found.routes"))
+    return join_scattered(changes, renamed, keys, scatter)
 
 
 def prune_columns(routed: DataFrame) -> DataFrame:

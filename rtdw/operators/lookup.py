@@ -21,9 +21,9 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys that hold more than ``hot_rows`` rows, counted with map-side combine."""
+    """The keys that hold more than ``hot_rows`` rows, with their number ``_rows``, counted with map-side combine."""
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") > hot_rows).select(*keys)
+    return counted.filter(F.col("_rows") > hot_rows)
 
 
 def lookup(
@@ -53,7 +53,7 @@ def lookup(
     else:
         cold_side = side.select(*keys, packed)
         # The side is only filtered by the few hot keys, not shuffled a second time.
-        hot = hot_keys(rows, keys, hot_rows)
+        hot = hot_keys(rows, keys, hot_rows).select(*keys)
         hot_side = hot.join(cold_side.join(F.broadcast(hot), keys, "left_semi"), keys, "left")
     hot_side = hot_side.select(*keys, F.lit(True).alias("_hot"), F.col("_side").alias("_hot_side"))
 
@@ -75,3 +75,21 @@ def lookup_checked(
         packed = side.select(*keys, F.struct(*[c for c in side.columns if c not in keys]).alias(found))
         return rows.join(F.broadcast(packed), keys, "left").select(*rows.columns, found)
     return lookup(rows, side, keys, found, scatter_by)
+
+
+def join_scattered(
+    rows: DataFrame, side: DataFrame, keys: list[str], scatter_by: Column, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Inner join for sides that may have several rows per key.
+
+    The rows of a hot key are dealt out to as many slots as it holds ``hot_rows``, and its side rows are repeated
+    for each slot; the rows of all other keys have one slot.
+    """
+    slots = F.ceil(F.col("_rows") / hot_rows)
+    hot = F.broadcast(hot_keys(rows, keys, hot_rows).select(*keys, slots.alias("_slots")))
+    row_slot = F.when(F.col("_slots").isNotNull(), F.pmod(F.xxhash64(scatter_by), F.col("_slots"))).otherwise(0)
+    side_slots = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_slots") - 1, F.lit(0).cast("bigint")))
+    dealt = rows.join(hot, keys, "left").withColumn("_slot", row_slot)
+    repeated = side.join(hot, keys, "left").withColumn("_slot", F.explode(side_slots))
+    joined = dealt.drop("_slots").join(repeated.drop("_slots"), [*keys, "_slot"])
+    return joined.select(*rows.columns, *[c for c in side.columns if c not in keys])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rtdw.operators import changes, dims, envelope, facts
-from rtdw.operators.lookup import is_small, lookup
+from rtdw.operators.lookup import is_small, join_scattered, lookup
 from rtdw.sources import changelog, routes, tables, topics
 from rtdw.sources.schemas import CHANGE, DIM_ROUTE, FACT_ROUTE
 
@@ -217,6 +217,16 @@ def test_lookup_of_hot_and_missing_keys(spark):
         assert found.select("id", "k", F.col("f.v").alias("v")).orderBy("id").collect() == expected
 
 
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
+def test_scattered_join_with_several_side_rows(spark, hot_rows):
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 9).cast("string")).alias("k"))
+    side = spark.createDataFrame([("hot", 1), ("hot", 2), ("1", 3), ("1", 4), ("x", 5)], "k string, v int")
+    expected = sorted(map(tuple, rows.join(side, "k").select("id", "k", "v").collect()))
+    found = join_scattered(rows, side, ["k"], F.col("id"), hot_rows)
+    assert found.columns == ["id", "k", "v"]
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_rows_of_a_hot_key_are_spread(spark):
     """The shuffle depends on more than the key, and a hot key's rows end in all of its partitions."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
