@@ -22,6 +22,11 @@ def parse_object(value: Column | str) -> Column:
     return F.from_json(value, OBJECT)
 
 
+def is_object_text(value: Column | str) -> Column:
+    """The text begins like an object. Reading a list as a struct would otherwise give its first element."""
+    return (F.col(value) if isinstance(value, str) else value).rlike(r"^\s*\{")
+
+
 def text_of(obj: Column, key: str) -> Column:
     return F.try_variant_get(obj[key], "$", "string")
 

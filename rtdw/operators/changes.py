@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import parse_once, text_map_json, unwrap
+from ..functions.json import is_object_text, parse_once, text_map_json, unwrap
 from ..sources.changelog import image
 from ..sources.schemas import CHANGE, DIM_ROUTE, FACT_ROUTE
 from ..sources.topics import typed
@@ -32,7 +32,9 @@ def dim_changes(topic: DataFrame, database: str) -> DataFrame:
 
 def unreadable_changes(topic: DataFrame) -> DataFrame:
     """Topic rows that are not change records, for the dead-letter table."""
-    parsed = parse_once(topic, F.from_json(unwrap("value"), CHANGE), "row")
+    plain = unwrap("value")
+    record = F.when(is_object_text(plain), F.from_json(plain, CHANGE))
+    parsed = parse_once(topic, record, "row")
     return parsed.filter(F.col("row.database").isNull() | F.col("row.table").isNull()).drop("row")
 
 

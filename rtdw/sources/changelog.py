@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import parse_once
+from ..functions.json import is_object_text, parse_once
 from .schemas import DEBEZIUM
 
 
 def read_captures(topic: DataFrame, tables: list[str] | None = None) -> DataFrame:
     """Captured changes ``seq, op, before, after, source, ts_ms`` of the listed source tables (all by default)."""
-    parsed = parse_once(topic, F.from_json("value", DEBEZIUM), "c").filter(F.col("c.op").isNotNull())
+    capture = F.when(is_object_text("value"), F.from_json("value", DEBEZIUM))
+    parsed = parse_once(topic, capture, "c").filter(F.col("c.op").isNotNull())
     captures = parsed.select(*[c for c in topic.columns if c != "value"], "c.*")
     return captures.filter(F.col("source.table").isin(tables)) if tables else captures
 

@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json import parse_once
+from ..functions.json import is_object_text, parse_once
 from ..functions.times import ms_to_timestamp, seconds_to_timestamp
 from .schemas import CHANGE, PAGE_LOG
 
@@ -56,7 +56,7 @@ def read_text_topic(spark: SparkSession, path: str, streaming: bool = True) -> D
 
 def typed(topic: DataFrame, schema: str) -> DataFrame:
     """Read each value as ``schema``. A field of the wrong type is NULL; unreadable values are dropped."""
-    row = F.from_json("value", schema)
+    row = F.when(is_object_text("value"), F.from_json("value", schema))
     parsed = parse_once(topic, row, "row").drop("value")
     fields = parsed.schema["row"].dataType.names
     read = reduce(or_, (F.col("row")[name].isNotNull() for name in fields))

@@ -22,7 +22,8 @@ def seqs(df):
 
 
 def test_typed_topic(spark):
-    values = [change(data={"id": 7}), "{broken", '{"x": 1}', change(data={"id": "8"}, old="no map"), "[1]"]
+    values = [change(data={"id": 7}), "{broken", '{"x": 1}', change(data={"id": "8"}, old="no map"), "[1]",
+              f"[{change(data={'id': '9'})}]", "null", "7"]
     rows = {r.seq: r for r in topics.typed(topic(spark, *values), CHANGE).collect()}
     assert sorted(rows) == [0, 3]
     assert rows[0]["data"] == {"id": "7"} and rows[0]["ts"] == 100
@@ -39,10 +40,11 @@ def test_change_filters(spark):
         change(data={"id": 1}, database="other"),
         json.dumps(change(data={"id": 1})),
         "",
+        f"[{change(data={'id': 1})}]",
     ]
     assert seqs(changes.fact_changes(topic(spark, *values), "shop")) == [0]
     assert seqs(changes.dim_changes(topic(spark, *values), "shop")) == [0, 3, 6]
-    assert seqs(changes.unreadable_changes(topic(spark, *values))) == [7]
+    assert seqs(changes.unreadable_changes(topic(spark, *values))) == [7, 8]
 
 
 def test_column_names_are_compared_as_written(spark):
