@@ -33,8 +33,6 @@ MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 GENERAL, REMOVED = "[WORD]", ""
 CONTEXT = 48
 MIN_SUPPORT = 3
-#: Candidate terms up to this number are broadcast to count them (at most some 10 MB); more are shuffled.
-BROADCAST_TERMS = 100_000
 TERM = r"\p{L}{4,}+"
 SPANS_TYPE = "array<struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>>"
 
@@ -114,12 +112,8 @@ def disclosing(docs: DataFrame, base: DataFrame, found: DataFrame, generalise: f
     """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity."""
     pair = ["kind", "entity", "term"]
     together = found.groupBy(*pair).agg(F.count_distinct("doc_id", "print").alias("n_ct")).where(F.col("n_ct") >= MIN_SUPPORT)
-    together = stored(together, "disclosure-pairs")
-    terms = together.select("term").distinct()
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-    alone = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    alone = words.groupBy("term").agg(F.count("*").alias("n_t"))
     entities = found.select("kind", "entity", "doc_id", "print").groupBy("kind", "entity").agg(F.count_distinct("doc_id", "print").alias("n_c"))
     total = F.lit(float(max(base.count(), 2)))
     scored = together.join(alone, "term").join(entities, ["kind", "entity"])
