@@ -24,12 +24,16 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from rtdw.llm.common import ready
 
 LAST = 256  # added to the symbol of a word's last byte: it is a symbol of its own in the vocabulary
 NEVER = 1 << 40
-CACHED = 400_000
+CACHED = 600_000
+MOST_STEPS = 1_000_000
+#: One of these at a word's end is a piece of its own.
+MARKS = frozenset(".,;:!?")
 # What the normaliser takes for white space, in as far as str.split() differs from it.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
@@ -126,11 +130,16 @@ class WordBpe:
         """The longest token that starts at each place."""
         steps, fallback, longest, out, state = self.steps, self.fallback, self.longest, [], 0
         for symbol in reversed(symbols):
-            step = steps.get(state << 9 | symbol)
-            while step is None and state:
-                state = fallback[state]
-                step = steps.get(state << 9 | symbol)
-            state = step or 0
+            key = state << 9 | symbol
+            step = steps.get(key)
+            if step is None:
+                while step is None and state:
+                    state = fallback[state]
+                    step = steps.get(state << 9 | symbol)
+                step = step or 0
+                if len(steps) < MOST_STEPS:  # the step with its fallbacks is known from now on
+                    steps[key] = step
+            state = step
             out.append(longest[state])
         out.reverse()
         return out
@@ -197,7 +206,12 @@ class WordBpe:
                 before = path[-1] if path else -1
                 continue
             end = at + lengths[token]
-            if not dead[end] and (before < 0 or known.get(before << 20 | token) or fits(before, token)):
+            good = not dead[end]
+            if good and before >= 0:
+                good = known.get(before << 20 | token)
+                if good is None:
+                    good = fits(before, token)
+            if good:
                 path.append(token)
                 starts.append(at)
                 at, before = end, token
@@ -218,8 +232,10 @@ class WordBpe:
 
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a normalised run without white space and added tokens."""
-        if chunk.isascii() and chunk.isalpha():
+        if chunk.isalpha():
             return self._word(chunk)
+        if chunk[-1] in MARKS and chunk[:-1].isalpha():
+            return self._word(chunk[:-1]) + self._word(chunk[-1])
         return b"".join(map(self._word, PIECE.findall(chunk)))
 
     def _segment(self, text: str) -> bytes:
@@ -263,7 +279,19 @@ class WordBpe:
         return self.letters[places][:-1].tobytes().decode()
 
 
-_LOADED: dict[int, WordBpe] = {}
+class LibraryBpe(WordBpe):
+    """The same text handling with each new word's ids taken from the tokenizers library."""
+
+    def __init__(self, content: bytes):
+        super().__init__(content)
+        self.model = Tokenizer.from_str(content.decode()).model
+        self.to_letters = {byte: letter for letter, byte in byte_letters().items()}
+
+    def encode_word(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.to_letters))]
+
+
+_LOADED: dict[tuple[type, int], WordBpe] = {}
 
 
 class Vocabulary:
@@ -274,11 +302,11 @@ class Vocabulary:
         with open(path, "rb") as file:
             self.content = spark.sparkContext.broadcast(file.read())
 
-    def load(self) -> WordBpe:
+    def load(self, kind: type[WordBpe] = WordBpe) -> WordBpe:
         content = self.content.value
-        key = hash(content)
+        key = (kind, hash(content))
         if key not in _LOADED:
-            _LOADED[key] = WordBpe(content)
+            _LOADED[key] = kind(content)
         return _LOADED[key]
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from rtdw.llm.bpe import Vocabulary
+from rtdw.llm.bpe import LibraryBpe, Vocabulary
 from rtdw.llm.common import ready
 
 WINDOW = 4096
@@ -127,7 +127,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
     """The pieces of all documents (columns ``doc_id`` and ``text``) with their places, and their ids on request."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = vocabulary.load()
+        bpe = vocabulary.load(LibraryBpe)
         packer = _Packer(TaskContext.get().partitionId() << 36, group_tokens)
         end = np.uint32(END_ID).tobytes()
         for batch in batches:
