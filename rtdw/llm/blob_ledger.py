@@ -6,7 +6,8 @@ that the ledger lacks under the present rules, each once however many paths and
 joins the ledger's findings back to all paths. Changing a rule changes the rule version and so scans anew.
 
 Everything is DataFrame expressions. Copies of a blob are reduced on the map side before the one shuffle that texts
-take; findings go back by a join on the blob, whose hot blobs adaptive execution splits.
+take; findings go back by a join on the blob, whose hot blobs adaptive execution splits. A ledger has one writer at a
+time, so it holds a blob once per rule version.
 
 Defined cases: a null text is the empty blob; repeated rows and copies get equal findings; a ledger that does not exist
 is empty. Extra columns of the versions do not matter.
@@ -80,8 +81,7 @@ def scan(versions: DataFrame, ledger: str, first_time: bool = False, text: str =
 def findings(versions: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
     """Every version with its columns other than the text, its ``blob`` and the blob's ``spans``."""
     paths = versions.withColumn("blob", blob_id(F.col(text))).drop(text)
-    once = ledger.select("blob", "spans").dropDuplicates(["blob"])
-    return paths.join(once, "blob", "left")
+    return paths.join(ledger.select("blob", "spans"), "blob", "left")
 
 
 def secrets_table(docs: DataFrame, ledger: str, first_time: bool = True) -> DataFrame:
