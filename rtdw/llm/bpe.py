@@ -234,7 +234,7 @@ class WordBpe:
         """The ids of a normalised run without white space and added tokens."""
         if chunk.isalpha():
             return self._word(chunk)
-        if chunk[-1] in MARKS and chunk[:-1].isalpha():
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha():
             return self._word(chunk[:-1]) + self._word(chunk[-1])
         return b"".join(map(self._word, PIECE.findall(chunk)))
 
