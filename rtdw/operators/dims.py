@@ -9,15 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import BROADCAST_ROWS, is_small, lookup, lookup_checked
+from .lookup import BROADCAST_ROWS, lookup, lookup_checked
 
 KEY = ["sink_table", "row_key"]
 
 
 def sink_columns(routes: DataFrame) -> list[str]:
-    """All column names that the routes write, in order of name. The routes are a checked small table."""
-    if not is_small(routes):
-        raise ValueError("the routing configuration is larger than expected")
+    """All column names that the routes write, in order of name: the distinct names become a schema."""
     names = routes.select(F.explode(F.split("sink_columns", ",")).alias("name")).distinct()
     return sorted(row.name for row in names.collect())
 
@@ -27,7 +25,8 @@ def reduce_changes(changes: DataFrame, columns: list[str]) -> DataFrame:
 
     ``deleted_at`` is the last delete's ``seq``; ``cells`` has a struct ``(seq, value)`` per column, the last
     value that was not NULL; ``last_put`` is the last written row. One aggregation with map-side combine, and
-    reducing reduced changes again (:func:`merge_reduced`) gives the same as reducing all at once.
+    reducing reduced changes again (:func:`merge_reduced`) gives the same as reducing all at once. Changes without a
+    row key belong to no row and are left out.
     """
     is_delete = F.col("op_type") == "delete"
     value = {c: F.col("data")[c] for c in columns}
@@ -36,7 +35,7 @@ def reduce_changes(changes: DataFrame, columns: list[str]) -> DataFrame:
         for c in columns
     ]
     written = F.struct(F.col("seq"), F.map_filter("data", lambda _k, v: v.isNotNull()).alias("data"))
-    return changes.groupBy(*KEY).agg(
+    return changes.filter(F.col("row_key").isNotNull()).groupBy(*KEY).agg(
         F.max(F.when(is_delete, F.col("seq"))).alias("deleted_at"),
         F.max_by(F.when(~is_delete, written), F.when(~is_delete, F.col("seq"))).alias("last_put"),
         F.struct(*cells).alias("cells"),
@@ -117,11 +116,17 @@ def enrich(
     key: Column,
     columns: list[str],
     scatter_by: Column,
+    table: str | None,
     how: str = "left",
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Add columns of one dimension's rows by row key; ``matched`` tells hits from misses."""
+    """Add columns of one dimension's rows by row key; ``matched`` tells hits from misses.
+
+    ``table`` names the sink table among the rows of ``dim``; None says that they are of one table only.
+    """
+    if table is not None:
+        dim = dim.filter(F.col("sink_table") == table)
     side = dim.select("row_key", *[F.col("data")[c].alias(c) for c in columns])
     keyed = rows.withColumn("row_key", key)
     if hot_rows is None:

@@ -44,16 +44,23 @@ def parse_logs(topic: DataFrame) -> DataFrame:
 
 
 def dead_letters(topic: DataFrame) -> DataFrame:
-    """The rows that :func:`parse_logs` drops, with the reason."""
+    """The rows that :func:`parse_logs` drops, and those of which the branches leave out an element, with the reason."""
     logs = _common_fields(parse_once(topic, parse_object("value"), "log"))
     reason = (
         F.when(F.col("log").isNull(), "not a JSON object")
         .when(F.col("mid").isNull(), "no visitor")
         .when(F.col("ts").isNull(), "no time")
+        .when(_odd_element("displays"), "a display is no object")
+        .when(_odd_element("actions"), "an action is no object")
     )
     return logs.select(*topic.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
+def _odd_element(field: str) -> Column:
+    """Some element of the list is no object."""
+    return F.exists(objects_of(F.col("log"), field), lambda element: element.isNull())
+
+
 def _common_fields(logs: DataFrame) -> DataFrame:
     log = F.col("log")
     return logs.withColumns(
@@ -154,7 +161,7 @@ def _branch(logs: DataFrame, branch: str) -> DataFrame:
 
 def _elements(logs: DataFrame, field: str, with_ts: bool) -> DataFrame:
     exploded = logs.select("seq", "common", "ts", F.explode(objects_of(F.col("log"), field)).alias("element"))
-    return exploded.select("seq", _merged(F.col("element"), with_ts).alias("record"))
+    return exploded.filter("element is not null").select("seq", _merged(F.col("element"), with_ts).alias("record"))
 
 
 def fan_out(logs: DataFrame) -> DataFrame:
@@ -168,7 +175,8 @@ def fan_out(logs: DataFrame) -> DataFrame:
         return F.when(present(log, branch), F.array(row(branch, object_json(log, _LEFT_OUT[branch]))))
 
     def each(branch: str, field: str, with_ts: bool) -> Column:
-        elements = objects_of(log, field)
+        # Elements that are no objects give no row: a NULL value would be a tombstone in a keyed topic.
+        elements = F.array_compact(objects_of(log, field))
         return F.transform(elements, lambda element: row(branch, object_json(_merged(element, with_ts))))
 
     branches = [

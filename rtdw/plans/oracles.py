@@ -139,7 +139,7 @@ _HAN = "".join(chr(0x4E00 + 37 * i) for i in range(26))
 _SEGMENTS = rf"""
 WITH entry AS (
   SELECT DISTINCT translate(w, '{_LETTERS}', '{_HAN}') AS w
-  FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) BETWEEN 2 AND 4
+  FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) >= 2
 ),
 pattern AS (
   SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) || '|\p{{Han}}|(?:\p{{N}}|[^\p{{Han}}\P{{L}}])+' AS p FROM entry
@@ -275,7 +275,7 @@ ORACLES = {
     "q_kw_split_documents": r"""
     SELECT keyword, count(*) AS n_documents FROM (
       SELECT unnest(list_distinct(string_split_regex(lower(text), '[^\p{L}\p{N}]+'))) AS keyword
-      FROM documents WHERE lang = 'en')
+      FROM documents)
     WHERE keyword <> '' GROUP BY 1""",
     "q_kw_segment": _SEGMENTS,
     "q_kw_segment_large": _SEGMENTS,

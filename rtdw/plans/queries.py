@@ -381,7 +381,7 @@ def dim_enrich(spark, sf_dir):
     orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     enriched = dims.enrich(
         orders, dim, F.col("o_custkey").cast("string"), ["login_name", "name"], F.col("o_orderkey"),
-        max_broadcast_rows=0,
+        table=None, max_broadcast_rows=0,
     )
     return enriched.select("o_orderkey", "login_name", "name", "matched")
 
@@ -393,8 +393,8 @@ def kw_split(spark, sf_dir):
 
 @query
 def kw_split_documents(spark, sf_dir):
-    """For each word the number of English documents that contain it."""
-    documents = adapters.table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("text")
+    """For each word the number of documents that contain it."""
+    documents = adapters.table(spark, sf_dir, "documents").select("text")
     found = keywords.split_words(documents, "text")
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_documents"))
 

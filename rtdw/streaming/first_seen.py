@@ -17,33 +17,27 @@ from .runner import batch_dir, read_batches, write_batch_once
 class FirstSeen:
     """Remembered values by key, one folder of new keys per micro-batch."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: str, values: str, keep_batches: int | None = None):
-        """``keys`` and ``values`` are column lists with types, as in ``"mid string"``.
-
-        With ``keep_batches`` a key is forgotten that many batches after it was first seen, and only the folders
-        of those batches are read; without it keys are kept for ever.
-        """
+    def __init__(self, spark: SparkSession, path: str, keys: str, values: str):
+        """``keys`` and ``values`` are column lists with types, as in ``"mid string"``."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = f"{keys}, {values}"
         self.keys = [c.split()[0] for c in keys.split(", ")]
         self.columns = [c.split()[0] for c in self.schema.split(", ")]
-        self.keep_batches = keep_batches
 
     def claim(self, firsts: DataFrame, batch_id: int) -> None:
         """Remember the keys of ``firsts`` (one row per key) that no earlier batch has."""
-        known = self._read(batch_id, batch_id)
+        known = self._read(batch_id)
         new = firsts.select(*self.columns).join(known.select(*self.keys), self.keys, "left_anti")
         write_batch_once(new, self.path, batch_id)
 
     def upto(self, batch_id: int) -> DataFrame:
         """Everything remembered by this batch and those before it."""
-        return self._read(batch_id + 1, batch_id).drop("batch_id")
+        return self._read(batch_id + 1).drop("batch_id")
 
-    def _read(self, before: int, current: int) -> DataFrame:
-        """The folders before a batch that a claim of the ``current`` batch still remembers."""
-        known = read_batches(self.spark, self.path, self.schema, before=before)
-        return known.filter(F.col("batch_id") >= current - self.keep_batches) if self.keep_batches else known
+    def _read(self, before: int) -> DataFrame:
+        """The folders of the batches before one."""
+        return read_batches(self.spark, self.path, self.schema, before=before)
 
     def claimed_in(self, batch_id: int) -> DataFrame:
         """What this batch was the first to see."""

@@ -39,24 +39,25 @@ def split_logs(
     root: str,
     every: str | None = None,
     hot_rows: int = HOT_ROWS,
-    keep_batches: int | None = None,
 ) -> StreamingQuery:
     """Correct the new-visitor flag and fan the logs out into their topics below ``root/topics``.
 
-    The first days are kept in ``root/visits``, for ever unless ``keep_batches`` is given. As with any arrival-ordered state, the first record is
-    the earliest of the first micro-batch that has the visitor. Rows that cannot be read go to ``root/dead``.
+    The first days are kept in ``root/visits`` for ever. As with any arrival-ordered state, the first record is the
+    earliest of the first micro-batch that has the visitor. Rows that cannot be read go to ``root/dead``.
     """
-    visits = FirstSeen(topic.sparkSession, f"{root}/visits", "mid string", "first_day date", keep_batches)
+    visits = FirstSeen(topic.sparkSession, f"{root}/visits", "mid string", "first_day date")
     write = write_topics(f"{root}/topics")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = logs.parse_logs(batch)
         counted = logs.first_visits(parsed).persist()
-        visits.claim(counted, batch_id)
-        known = counted.select("mid", "row_count").join(visits.upto(batch_id), "mid")
-        write(logs.fan_out(logs.fix_new_visitors(parsed, known, hot_rows)), batch_id)
-        write_batch_once(logs.dead_letters(batch), f"{root}/dead", batch_id)
-        counted.unpersist()
+        try:
+            visits.claim(counted, batch_id)
+            known = counted.select("mid", "row_count").join(visits.upto(batch_id), "mid")
+            write(logs.fan_out(logs.fix_new_visitors(parsed, known, hot_rows)), batch_id)
+            write_batch_once(logs.dead_letters(batch), f"{root}/dead", batch_id)
+        finally:
+            counted.unpersist()
 
     return run_stream(topic, run, f"{root}/_checkpoints/logs", every=every)
 
@@ -111,16 +112,11 @@ def count_keywords(
     )
 
 
-def flag_page_views(
-    page_topic: DataFrame, root: str, every: str | None = None, keep_batches: int | None = None
-) -> StreamingQuery:
-    """Page views with the flags for a visitor's first of the day and a session's first, in ``root/views``.
-
-    Visitors' days and sessions end, so ``keep_batches`` (a few days' worth) bounds what has to be remembered.
-    """
+def flag_page_views(page_topic: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
+    """Page views with the flags for a visitor's first of the day and a session's first, in ``root/views``."""
     spark = page_topic.sparkSession
-    days = FirstSeen(spark, f"{root}/seen_days", "mid string, day date", "seq bigint", keep_batches)
-    sessions = FirstSeen(spark, f"{root}/seen_sessions", "sid string", "seq bigint", keep_batches)
+    days = FirstSeen(spark, f"{root}/seen_days", "mid string, day date", "seq bigint")
+    sessions = FirstSeen(spark, f"{root}/seen_sessions", "sid string", "seq bigint")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         pages = traffic.parse_pages(logs.parse_logs(batch))

@@ -246,10 +246,12 @@ def test_rows_of_a_hot_key_are_spread(spark):
 
 
 def test_enrich(spark):
-    dim = spark.createDataFrame([("t", "1", {"name": "a"})], "sink_table string, row_key string, data map<string,string>")
+    dim = spark.createDataFrame(
+        [("t", "1", {"name": "a"}), ("other", "1", {"name": "b"})], "sink_table string, row_key string, data map<string,string>"
+    )
     rows = spark.createDataFrame([(1, "1"), (2, "2"), (3, None)], "id int, user string")
     for max_rows in (100, 0):
-        args = (rows, dim, F.col("user"), ["name"], F.col("id"))
+        args = (rows, dim, F.col("user"), ["name"], F.col("id"), "t")
         left = dims.enrich(*args, max_broadcast_rows=max_rows).orderBy("id").collect()
         assert [(r.id, r.name, r.matched) for r in left] == [(1, "a", True), (2, None, False), (3, None, False)]
         assert dims.enrich(*args, how="inner", max_broadcast_rows=max_rows).count() == 1
@@ -257,3 +259,9 @@ def test_enrich(spark):
 
 def test_is_small(spark):
     assert is_small(spark.range(5), 5) and not is_small(spark.range(6), 5)
+
+
+def test_changes_without_a_row_key_leave_no_row(spark):
+    rows = [(1, "t", None, "insert", {"name": "a"}), (2, "t", "1", "insert", {"name": "b"})]
+    schema = "seq long, sink_table string, row_key string, op_type string, data map<string,string>"
+    assert [r.row_key for r in dims.upsert(spark.createDataFrame(rows, schema), ["name"]).collect()] == ["1"]

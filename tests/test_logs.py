@@ -138,3 +138,12 @@ def test_traffic_windows(spark):
 def test_report_json(spark):
     report = spark.createDataFrame([("s", 1, 5, "x", None)], "stt string, uvCt int, ts int, sid string, ar string")
     assert traffic.report_json(report).first().value == '{"stt":"s","uv_ct":1}'
+
+
+def test_elements_that_are_no_objects(spark):
+    rows = topic(spark, log("a", 1, "1", displays=[{"item": "1"}, "odd", {"item": "2"}], actions=[{"id": "x"}, 3]))
+    parsed = logs.parse_logs(rows)
+    sent = logs.fan_out(parsed).collect()
+    assert len(sent) == 3 and all(r.value for r in sent)
+    assert logs.display_records(parsed).count() == 2
+    assert logs.dead_letters(rows).first().reason == "a display is no object"

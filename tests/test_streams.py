@@ -190,14 +190,6 @@ def test_first_seen(spark, root):
     assert rows_of(FirstSeen(spark, f"{root}/compacted", "k string", "v bigint").upto(1)) == rows_of(store.upto(1))
 
 
-def test_first_seen_forgets(spark, root):
-    store = FirstSeen(spark, f"{root}/seen", "k string", "v bigint", keep_batches=2)
-    for batch_id in range(6):
-        store.claim(spark.createDataFrame([("a", batch_id)], "k string, v bigint"), batch_id)
-    assert [store.claimed_in(n).count() for n in range(6)] == [1, 0, 0, 1, 0, 0]
-    assert rows_of(store.upto(5)) == [("a", 3)]
-
-
 def test_keyed_topic(spark, root):
     write = sinks.write_keyed_topic(f"{root}/keyed", "k")
     schema = "k string, value string, seq bigint"
