@@ -30,8 +30,12 @@ from rtdw.llm.common import ready
 
 LAST = 256  # added to the symbol of a word's last byte: it is a symbol of its own in the vocabulary
 NEVER = 1 << 40
-CACHED = 600_000
-MOST_STEPS = 1_000_000
+# Bounds of what a worker remembers: words and runs, pairs, and steps of the automaton.
+CACHED = 400_000
+MOST_PAIRS = 400_000
+MOST_STEPS = 400_000
+#: Rows whose ids or texts go back to Spark at once.
+ROWS = 1000
 #: One of these at a word's end is a piece of its own.
 MARKS = frozenset(".,;:!?")
 # What the normaliser takes for white space, in as far as str.split() differs from it.
@@ -51,15 +55,36 @@ def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class Decoder:
+    """The offset table of a tokenizer file: each token's text and the blank after it, one after the other."""
+
+    def __init__(self, content: bytes):
+        file = json.loads(content)
+        names = {i: t for t, i in file["model"]["vocab"].items()} | {t["id"]: t["content"] for t in file["added_tokens"]}
+        texts = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
+        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        self.letters = np.frombuffer(b"".join(texts), np.uint8)
+
+    def decode(self, ids: bytes) -> str:
+        """The ids' token texts with a blank between them: a gather by the offset table."""
+        numbers = np.frombuffer(ids, "<u4")
+        if not len(numbers):
+            return ""
+        starts = self.offsets[numbers]
+        lengths = self.offsets[numbers + 1] - starts
+        before = np.cumsum(lengths) - lengths
+        places = np.repeat(starts - before, lengths) + np.arange(before[-1] + lengths[-1])
+        return self.letters[places][:-1].tobytes().decode()
+
+
 class WordBpe:
-    """Encoder and decoder of a tokenizer file with word-end marks."""
+    """Encoder of a tokenizer file with word-end marks."""
 
     def __init__(self, content: bytes):
         file = json.loads(content)
         model, letters = file["model"], byte_letters()
         end = model["end_of_word_suffix"]
         added = {t["content"]: t["id"] for t in file["added_tokens"]}
-        names = {i: t for t, i in (*model["vocab"].items(), *added.items())}
         self.added = {t: np.uint32(i).tobytes() for t, i in added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         # Merges: rank and result of a pair; the halves and the rank of a token that a merge makes.
@@ -89,10 +114,6 @@ class WordBpe:
             for i, symbols in spelled.items()
         }
         self._build(spelled)
-        # Offset table of the decoder: each token's text and the blank after it, one after the other.
-        texts = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        self.letters = np.frombuffer(b"".join(texts), np.uint8)
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -182,7 +203,7 @@ class WordBpe:
         key = left << 20 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 2 * CACHED:
+            if len(self._fits) > MOST_PAIRS:
                 self._fits.clear()
             known = self._fits[key] = not self._crosses(left, right)
         return known
@@ -267,17 +288,6 @@ class WordBpe:
         parts = self.split_added.split(text)
         return b"".join(self.added[p] if i % 2 else self._segment(p) for i, p in enumerate(parts))
 
-    def decode(self, ids: bytes) -> str:
-        """The ids' token texts with a blank between them: a gather by the offset table."""
-        numbers = np.frombuffer(ids, "<u4")
-        if not len(numbers):
-            return ""
-        starts = self.offsets[numbers]
-        lengths = self.offsets[numbers + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        places = np.repeat(starts - before, lengths) + np.arange(before[-1] + lengths[-1])
-        return self.letters[places][:-1].tobytes().decode()
-
 
 class LibraryBpe(WordBpe):
     """The same text handling with each new word's ids taken from the tokenizers library."""
@@ -291,7 +301,7 @@ class LibraryBpe(WordBpe):
         return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.to_letters))]
 
 
-_LOADED: dict[tuple[type, int], WordBpe] = {}
+_LOADED: dict[tuple[type, int], WordBpe | Decoder] = {}
 
 
 class Vocabulary:
@@ -302,7 +312,7 @@ class Vocabulary:
         with open(path, "rb") as file:
             self.content = spark.sparkContext.broadcast(file.read())
 
-    def load(self, kind: type[WordBpe] = WordBpe) -> WordBpe:
+    def load(self, kind: type = WordBpe) -> WordBpe | Decoder:
         content = self.content.value
         key = (kind, hash(content))
         if key not in _LOADED:
@@ -316,7 +326,8 @@ def encode(vocabulary: Vocabulary, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = vocabulary.load()
         for texts in batches:
-            yield pd.Series([bpe.encode(t) for t in texts], dtype=object)
+            for at in range(0, len(texts), ROWS):
+                yield pd.Series([bpe.encode(t) for t in texts.iloc[at : at + ROWS]], dtype=object)
 
     return F.pandas_udf(run, "binary")(text)
 
@@ -325,8 +336,10 @@ def decode(vocabulary: Vocabulary, ids: Column) -> Column:
     """A string column with the decoded text of a column that :func:`encode` made; null for null."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = vocabulary.load()
+        decoder = vocabulary.load(Decoder)
         for rows in batches:
-            yield pd.Series([None if r is None else bpe.decode(bytes(r)) for r in rows], dtype=object)
+            for at in range(0, len(rows), ROWS):
+                part = rows.iloc[at : at + ROWS]
+                yield pd.Series([None if r is None else decoder.decode(bytes(r)) for r in part], dtype=object)
 
     return F.pandas_udf(run, "string")(ids)
