@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,15 +49,21 @@ def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what the operator's encoder and decoder give, made where they run: ids stay with the workers."""
     words = vocabulary(spark)
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(words, F.col("text")).alias("ids"))
-    decoded = coded.select("doc_id", "ids", bpe.decode(words, F.col("ids")).alias("decoded"))
-    return decoded.select(
-        "doc_id",
-        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = words.load(), words.load(bpe.Decoder)
+        for texts in batches:
+            rows = []
+            for text in texts:
+                ids = encoder.encode(text)
+                plain = decoder.decode(ids).encode()
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(plain).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    digests = F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -278,6 +279,26 @@ def test_tokens_equal_the_library():
         assert decoder.decode(coded) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_encode_and_decode_columns(spark, awkward):
+    words = bpe.Vocabulary(spark, PATH)
+    coded = awkward.select("text", bpe.encode(words, F.col("text")).alias("ids"))
+    rows = coded.select("text", "ids", bpe.decode(words, F.col("ids")).alias("back")).collect()
+    library = Tokenizer.from_file(PATH)
+    for row in rows:
+        ids = library.encode(row.text or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(row.ids), "<u4").tolist() == ids
+        assert row.back == library.decode(ids, skip_special_tokens=False)
+
+
+def test_token_query(spark):
+    library = Tokenizer.from_file(PATH)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for row in queries.op7_bpe(spark, SF).collect():
+        ids = library.encode(texts[row.doc_id], add_special_tokens=False).ids
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 # Languages
 
 
