@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 OBJECT = "map<string,variant>"
 
+# Every JSON text is read string by string, so that what strings hold is never taken for a field.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NULL_FIELD = rf"({_STRING}(?!:null))|{_STRING}:null,?+"
+_LAST_COMMA = rf"({_STRING})|,(?=\}})"
+
 
 def parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
     """Add ``parsed`` as a column that later filters and projections reuse.
@@ -63,12 +68,17 @@ def _has_value(value: Column) -> Column:
 
 
 def object_json(obj: Column, without: tuple[str, ...] = ()) -> Column:
-    """JSON text of a ``map<string,variant>`` without its null fields and the named ones."""
+    """JSON text of a ``map<string,variant>`` without the named fields and, at any depth, without null fields."""
 
     def kept(key: Column, value: Column) -> Column:
         return _has_value(value) & ~key.isin(*without) if without else _has_value(value)
 
-    return F.to_json(F.map_filter(obj, kept))
+    return without_nulls(F.to_json(F.map_filter(obj, kept)))
+
+
+def without_nulls(json: Column) -> Column:
+    """Compact JSON text less the null fields of its objects; nulls in lists stay."""
+    return F.regexp_replace(F.regexp_replace(json, _NULL_FIELD, "$1"), _LAST_COMMA, "$1")
 
 
 def text_map_json(data: Column) -> Column:

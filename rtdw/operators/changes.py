@@ -91,7 +91,7 @@ def _route(changes: DataFrame, routes: DataFrame, on: dict[str, str], max_broadc
     renamed = routes.withColumnsRenamed({source: change for change, source in on.items()})
     keys = list(on)
     values = [c for c in renamed.columns if c not in keys]
-    if is_small(routes, max_broadcast_rows):
+    if max_broadcast_rows > 0 and is_small(routes, max_broadcast_rows):
         return changes.join(F.broadcast(renamed), keys).select(*changes.columns, *values)
     scatter = F.col("seq") if "seq" in changes.columns else F.map_entries("data")
     return join_scattered(changes, renamed, keys, scatter)

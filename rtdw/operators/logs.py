@@ -20,6 +20,7 @@ from ..functions.json import (
     text_at,
     text_variant,
 )
+from ..functions.order import arrival
 from ..functions.times import ms_to_timestamp
 from ..sources.schemas import TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR, TOPIC_PAGE, TOPIC_START
 from .lookup import HOT_ROWS, lookup
@@ -82,10 +83,12 @@ def first_visits(logs: DataFrame) -> DataFrame:
 
     The day is settled by the visitor's first record: its own day if that calls the visitor new, else the day before.
     """
-    day = day_of()
-    remembered = F.when(F.col("is_new") == "1", day).otherwise(F.date_sub(day, 1))
+    # The first record calls its visitor new if it is also the first of those that do.
+    first, first_new = F.min(arrival()), F.min(F.when(F.col("is_new") == "1", arrival()))
+    day = day_of(F.min("ts"))
     return logs.groupBy("mid").agg(
-        F.min_by(remembered, F.struct("ts", "seq")).alias("first_day"), F.count(F.lit(1)).alias("row_count")
+        F.when(first == first_new, day).otherwise(F.date_sub(day, 1)).alias("first_day"),
+        F.count(F.lit(1)).alias("row_count"),
     )
 
 
@@ -94,10 +97,12 @@ def fix_new_visitors(logs: DataFrame, visits: DataFrame | None = None, hot_rows:
 
     The first day comes from one aggregation with map-side combine, and goes back to the rows by
     :func:`~rtdw.operators.lookup.lookup`, so no task ever holds all rows of a visitor. ``visits`` replaces the
-    aggregation where the first days are already known.
+    aggregation where the first days are already known. ``common`` is taken from the log again behind the shuffle.
     """
     visits = first_visits(logs) if visits is None else visits
-    found = lookup(logs, visits, ["mid"], "_visit", F.col("seq"), count_column="row_count", hot_rows=hot_rows)
+    rows = logs.drop("common")
+    found = lookup(rows, visits, ["mid"], "_visit", F.col("seq"), count_column="row_count", hot_rows=hot_rows)
+    found = found.withColumn("common", object_of(F.col("log"), "common"))
     stale = (F.col("is_new") == "1") & (F.col("_visit.first_day") != day_of())
     others = F.map_filter("common", lambda key, _v: key != "is_new")
     corrected = F.map_concat(others, F.create_map(F.lit("is_new"), text_variant(F.lit("0"))))

@@ -15,6 +15,7 @@ BROADCAST_ROWS = 20_000
 # bounds what the hot branch broadcasts: 10^12 rows give less than a million short entries.
 HOT_ROWS = 1_000_000
 
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame has at most ``rows`` rows; reads no more than needed to know."""
     return df.limit(rows + 1).count() <= rows
@@ -70,8 +71,11 @@ def lookup(
 def lookup_checked(
     rows: DataFrame, side: DataFrame, keys: list[str], found: str, scatter_by: Column, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """As :func:`lookup`; a side that is counted to be small is broadcast and nothing is shuffled."""
-    if is_small(side, max_rows):
+    """As :func:`lookup`; a side that is counted to be small is broadcast and nothing is shuffled.
+
+    ``max_rows`` 0 says that the side is known to be large: nothing is counted.
+    """
+    if max_rows > 0 and is_small(side, max_rows):
         packed = side.select(*keys, F.struct(*[c for c in side.columns if c not in keys]).alias(found))
         return rows.join(F.broadcast(packed), keys, "left").select(*rows.columns, found)
     return lookup(rows, side, keys, found, scatter_by)

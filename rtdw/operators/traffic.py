@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import long_of, object_of, present, text_of
 from ..functions.names import snake_columns
+from ..functions.order import arrival, seq_of
 from ..functions.times import ms_to_timestamp, window_bounds
 from ..sources.schemas import TRAFFIC_WINDOW
 from .envelope import row_json
@@ -37,7 +38,7 @@ def first_of_day_and_session(pages: DataFrame) -> DataFrame:
     many views costs one short row per map task.
     """
     keyed = pages.select("ts", "seq", F.inline(F.array(_visitor_day(), _session()))).filter(F.col("key").isNotNull())
-    openings = keyed.groupBy("kind", "key", "day").agg(F.min(F.struct("ts", "seq"))["seq"].alias("seq"))
+    openings = keyed.groupBy("kind", "key", "day").agg(seq_of(F.min(arrival()), F.min("ts")).alias("seq"))
     return openings.groupBy("seq").agg(
         F.max((F.col("kind") == "uv").cast("bigint")).alias("uv"),
         F.max((F.col("kind") == "sv").cast("bigint")).alias("sv"),

@@ -28,6 +28,7 @@ TOPIC_PAGE = "dwd_traffic_page"
 TOPIC_ACTION = "dwd_traffic_action"
 TOPIC_DISPLAY = "dwd_traffic_display"
 TOPIC_COMMENT = "dwd_interaction_comment_info"
+TOPIC_DIM = "dim_all"
 
 # How the source database's column types read in Spark.
 _PLAIN_TYPES = {

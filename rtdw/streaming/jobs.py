@@ -1,7 +1,8 @@
 """The warehouse's streaming jobs. Each reads one topic and returns a running or finished query.
 
 ``root`` is a folder on shared storage; every job keeps its checkpoint, its stores and its output below it.
-Without ``every`` a job takes what has arrived and stops by itself.
+Without ``every`` a job takes what has arrived and stops by itself. Topic rows go to files below ``root/topics``, or to
+``sink``, such as ``write_kafka_topics``. Records that cannot be read go to a folder ``dead...`` of the job.
 """
 
 from __future__ import annotations
@@ -16,16 +17,26 @@ from ..functions.times import ms_to_timestamp
 from ..operators import changes, dims, envelope, facts, keywords, logs, traffic
 from ..operators.lookup import HOT_ROWS
 from ..sources.changelog import read_captures
-from ..sources.schemas import TOPIC_COMMENT, TOPIC_DB
+from ..sources.schemas import TOPIC_COMMENT, TOPIC_DB, TOPIC_DIM
 from ..sources.topics import change_table, page_table
 from .first_seen import FirstSeen, earliest
-from .runner import run_file_sink, run_stream, write_batch_once
+from .runner import BatchWriter, run_file_sink, run_stream, write_batch_once
 from .sinks import DimensionTables, as_json_rows, write_report, write_topics
 
 # Reads a small table anew, so that each micro-batch sees its present content.
 TableReader = Callable[[], DataFrame]
 
 
+def live_fact_routes(config_topic: TableReader, table: str) -> TableReader:
+    """The routes of facts that are in force by the change captures of the configuration table."""
+    return lambda: changes.fact_config(read_captures(config_topic(), [table]))
+
+
+def live_dim_routes(config_topic: TableReader, table: str) -> TableReader:
+    """The routes of dimensions that are in force by the change captures of the configuration table."""
+    return lambda: changes.dim_config(read_captures(config_topic(), [table]))
+
+
 def publish_captures(
     captures: DataFrame, root: str, tables: list[str] | None = None, every: str | None = None
 ) -> StreamingQuery:
@@ -39,6 +50,7 @@ def split_logs(
     root: str,
     every: str | None = None,
     hot_rows: int = HOT_ROWS,
+    sink: BatchWriter | None = None,
 ) -> StreamingQuery:
     """Correct the new-visitor flag and fan the logs out into their topics below ``root/topics``.
 
@@ -46,7 +58,7 @@ def split_logs(
     earliest of the first micro-batch that has the visitor. Rows that cannot be read go to ``root/dead``.
     """
     visits = FirstSeen(topic.sparkSession, f"{root}/visits", "mid string", "first_day date")
-    write = write_topics(f"{root}/topics")
+    write = sink or write_topics(f"{root}/topics")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = logs.parse_logs(batch)
@@ -63,41 +75,62 @@ def split_logs(
 
 
 def route_facts(
-    topic: DataFrame, root: str, database: str, routes: TableReader, every: str | None = None
+    topic: DataFrame,
+    root: str,
+    database: str,
+    routes: TableReader,
+    every: str | None = None,
+    sink: BatchWriter | None = None,
 ) -> StreamingQuery:
     """Facts by configuration into the topics that it names, below ``root/topics``."""
-    write = write_topics(f"{root}/topics")
+    write = sink or write_topics(f"{root}/topics")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         routed = changes.route_facts(changes.fact_changes(batch, database), routes())
         write(changes.fact_topic_rows(changes.prune_columns(routed)), batch_id)
+        write_batch_once(changes.unreadable_changes(batch), f"{root}/dead_facts", batch_id)
 
     return run_stream(topic, run, f"{root}/_checkpoints/facts", every=every)
 
 
 def update_dimensions(
-    topic: DataFrame, root: str, database: str, routes: TableReader, every: str | None = None
+    topic: DataFrame,
+    root: str,
+    database: str,
+    routes: TableReader,
+    every: str | None = None,
+    sink: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Dimension tables by configuration, kept in ``root/dims``."""
+    """Dimension tables by configuration, kept in ``root/dims``; the changes are also published as one topic."""
+    write = sink or write_topics(f"{root}/topics")
     tables = DimensionTables(topic.sparkSession, f"{root}/dims")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         config = routes()
         routed = changes.route_dims(changes.dim_changes(batch, database), config)
-        tables.write(changes.prune_columns(routed), batch_id, dims.sink_columns(config))
+        routed = changes.prune_columns(routed)
+        tables.write(routed, batch_id, dims.sink_columns(config))
+        write(as_json_rows(routed.select("seq", "sink_table", "row_key", "op_type", "data"), TOPIC_DIM), batch_id)
+        write_batch_once(changes.unreadable_changes(batch), f"{root}/dead_dims", batch_id)
 
     return run_stream(topic, run, f"{root}/_checkpoints/dims", every=every)
 
 
 def publish_comments(
-    topic: DataFrame, root: str, database: str, dictionary: TableReader, every: str | None = None
+    topic: DataFrame,
+    root: str,
+    database: str,
+    dictionary: TableReader,
+    every: str | None = None,
+    sink: BatchWriter | None = None,
 ) -> StreamingQuery:
     """New comments with the name of their rating, as a topic below ``root/topics``."""
-    write = write_topics(f"{root}/topics")
+    write = sink or write_topics(f"{root}/topics")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         comments = facts.extract_comments(change_table(batch, watermark=None), database)
         write(as_json_rows(facts.lookup_comments(comments, dictionary()), TOPIC_COMMENT), batch_id)
+        write_batch_once(changes.unreadable_changes(batch), f"{root}/dead_comments", batch_id)
 
     return run_stream(topic, run, f"{root}/_checkpoints/comments", every=every)
 

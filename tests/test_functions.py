@@ -1,7 +1,9 @@
+from json import loads as read_json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rtdw.functions import json, names, text, times
+from rtdw.functions import json, names, order, text, times
 from rtdw.sources import schemas
 
 
@@ -58,6 +60,31 @@ def test_null_fields_are_left_out(spark):
     assert row[0] == '{"b":"x"}'
 
 
+def test_null_fields_are_left_out_at_every_depth(spark):
+    value = (
+        r'''{"p": {"x": null, "y": {"z": null}, "l": [null, {"n": null, "m": 1}, "null"]}, "\":null,": ",}", '''
+        r'''"t": "\"a\":null,}", "null": "null", ":null": null, "q": {"a": 1, "b": null}}'''
+    )
+    df = spark.createDataFrame([(value,), ("{}",), ('{"a": {"b": null}}',)], "value string")
+    found = [r.j for r in df.select(json.object_json(json.parse_object("value")).alias("j")).collect()]
+    assert read_json(found[0]) == {
+        "p": {"y": {}, "l": [None, {"m": 1}, "null"]}, '":null,': ",}", "t": '"a":null,}', "null": "null", "q": {"a": 1}
+    }
+    assert found[1:] == ["{}", '{"a":{}}']
+    long = "\\\\" * 50_000 + "x" * 50_000
+    df = spark.createDataFrame([(f'{{"a":"{long}","b":null}}',)], "value string")
+    assert df.select(json.without_nulls(F.col("value"))).first()[0] == f'{{"a":"{long}"}}'
+
+
+def test_arrival_orders_by_time_then_number(spark):
+    top = 2**63 - 1
+    rows = [(ts, seq) for ts in (-(2**63), -5, 0, 7, top) for seq in (0, 3, top)]
+    df = spark.createDataFrame(rows[::-1], "ts bigint, seq bigint")
+    ordered = df.withColumn("n", order.arrival()).orderBy("n")
+    assert [(r.ts, r.seq) for r in ordered.collect()] == rows
+    assert [r[0] for r in ordered.select(order.seq_of(F.col("n"), F.col("ts"))).collect()] == [seq for _, seq in rows]
+
+
 def test_unwrap(spark):
     texts = ['{"a":"q"}', '"{\\"a\\":\\"q\\"}"', "", None]
     rows = spark.createDataFrame([(t,) for t in texts], "v string").select(json.unwrap("v").alias("u")).collect()

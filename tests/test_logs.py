@@ -33,6 +33,14 @@ def test_new_visitor_rules(spark, hot_rows):
     assert json.loads(inside[2].c) == {"mid": "a", "is_new": "0"}
 
 
+def test_first_visits_and_openers_are_hash_aggregates(spark, capsys):
+    parsed = logs.parse_logs(topic(spark, *VISITS))
+    for frame in (logs.fix_new_visitors(parsed), traffic.flag_visits(traffic.parse_pages(parsed))):
+        frame.explain()
+        plan = capsys.readouterr().out
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def sequential_flags(records):
     """The rules as they are told: one state per visitor, records in order."""
     state, out = {}, []
@@ -108,7 +116,7 @@ def test_fan_out_is_all_branches(spark):
         "dwd_traffic_start",
     ]
     start = next(json.loads(r.value) for r in rows if r.topic == "dwd_traffic_start")
-    assert "nothing" not in start and start["extra"] == RICH["extra"]
+    assert "nothing" not in start and start["extra"] == [1, {}]
 
 
 def page(mid, sid, ms, ch="web", dur=10):

@@ -145,6 +145,37 @@ def test_facts_follow_the_configuration_between_batches(spark, root):
     assert rows_of(found) == [(0, "first", '{"id":"1"}'), (2, "second", '{"id":"3"}'), (3, "third", '{"id":"4"}')]
 
 
+def test_facts_follow_the_captured_configuration(spark, root):
+    def capture(seq, op, sink):
+        row = {"source_table": "t", "source_type": "insert", "sink_table": sink, "sink_columns": "id"}
+        image = {"before": row} if op == "d" else {"after": row}
+        return (seq, json.dumps({"op": op, **image, "source": {"db": "config", "table": "process"}, "ts_ms": seq}))
+
+    history = [capture(0, "r", "first")]
+    config = lambda: spark.createDataFrame(history, topics.TOPIC_FILES)
+    read = jobs.live_fact_routes(config, "process")
+    kept = []
+    sink = lambda batch, _batch_id: kept.extend(batch.collect())
+    for number in range(3):
+        put(spark, root, number, [(2 * number, change("t", "insert", {"id": "1"})), (2 * number + 1, "broken")])
+        runner.finish(jobs.route_facts(source(spark, root), root, "shop", read, sink=sink))
+        history.append(capture(number + 1, "u", "second") if number == 0 else capture(number + 1, "d", "second"))
+        if number == 0:
+            history.append(capture(1, "d", "first"))
+    assert [(r.seq, r.topic) for r in kept] == [(0, "first"), (2, "second")]
+    assert sorted(r.seq for r in spark.read.parquet(f"{root}/dead_facts").collect()) == [1, 3, 5]
+
+
+def test_dimension_changes_are_published(spark, root):
+    put(spark, root, 0, [(0, user(0)), (1, "broken"), (2, user(2))])
+    runner.finish(jobs.update_dimensions(source(spark, root), root, "shop", lambda: routes.dim_routes(spark)))
+    one = topics.read_topic(spark, path=sinks.topic_files(f"{root}/topics", schemas.TOPIC_DIM), streaming=False)
+    found = {r.seq: json.loads(r.value) for r in one.collect()}
+    assert sorted(found) == [0, 2]
+    assert found[0]["op_type"] == "insert" and found[0]["row_key"] == "0" and "x" not in found[0]["data"]
+    assert [r.seq for r in spark.read.parquet(f"{root}/dead_dims").collect()] == [1]
+
+
 def test_comments_follow_the_dictionary_between_batches(spark, root):
     names = {"now": "good"}
     read = lambda: tables.dictionary(
