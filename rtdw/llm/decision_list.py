@@ -118,8 +118,8 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, max_rules: int = 12, pr
         hits = (held & bad).sum()
         if not rule.conditions or hits < 3 or hits < precision * held.sum():
             break
-        rules.append(rule)
-        left &= ~covered
+        rules.append(rule := _centred(rule, table, covered & bad))
+        left &= ~rule.covers(table)
     return rules
 
 
@@ -158,6 +158,19 @@ def _prune(rule: Rule, table, bad, rows) -> Rule:
     return kept
 
 
+def _centred(rule: Rule, table, hits) -> Rule:
+    """Each threshold halfway towards the nearest of the rule's own hits: all stay covered, no others come in.
+
+    Growing takes thresholds from the documents it has seen, often the last good one's value. A good document that is
+    a little beyond all of those seen is then left alone.
+    """
+    conditions = []
+    for name, sign, threshold in rule.conditions:
+        nearest = float(table[name][hits].max() if sign == "<=" else table[name][hits].min())
+        conditions.append((name, sign, (threshold + nearest) / 2.0))
+    return Rule(tuple(conditions))
+
+
 def verdict(rules: list[Rule], s: str) -> Column:
     """The list as one conditional expression: false where a rule applies, else true."""
     measures, out = ratios(s), None

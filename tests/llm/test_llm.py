@@ -260,6 +260,17 @@ def test_covering_finds_a_conjunction():
     assert decision_list.learn(table, np.zeros(3000, bool)) == []
 
 
+def test_thresholds_leave_a_margin():
+    """Good documents have no symbols, bad ones have many: one stray symbol is no reason to go."""
+    rng = np.random.default_rng(0)
+    bad = np.arange(900) % 3 == 1
+    bad |= np.arange(900) % 7 == 0
+    table = {"symbols": np.where(bad, 0.4 + rng.random(900), 0.0)}
+    (rule,) = decision_list.learn(table, bad)
+    assert (rule.covers(table) == bad).all()
+    assert not rule.covers({"symbols": np.array([0.0, 0.05, 0.15])}).any()
+
+
 # Tokens
 
 
@@ -309,6 +320,14 @@ def test_languages_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_letters():
+    assert [langid.has_letter(t) for t in ("", "12 _½²Ⅷ٣", "é", "1 中")] == [False, False, True, True]
+    grams = langid.trigrams("the cat sat on the mat")
+    keys, n = np.unique(grams, return_counts=True)
+    model = langid.build({"en": (keys, n)})
+    assert [model.predict(t)[0] for t in (None, "", "½ ²", "cat")] == ["und", "und", "und", "en"]
+
+
 def test_model_sums_to_one():
     grams = langid.trigrams("the cat sat on the mat, and the dog sat on the cat")
     keys, n = np.unique(grams, return_counts=True)
