@@ -16,7 +16,10 @@ from rtdw.session import build_session
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 # Streams write their input, run micro-batches and read back: one timed run each.
-STREAMS = {"q_topic_source", "q_topic_sink", "q_window_sink", "q_watermark_late", "q_restart"}
+STREAMS = {
+    "q_topic_source", "q_topic_sink", "q_window_sink", "q_watermark_late", "q_restart",
+    "q_fact_job", "q_dim_job", "q_comment_job", "q_ods_job",
+}
 
 
 def timed(spark, name: str) -> float:

@@ -104,6 +104,12 @@ def prune_columns(routed: DataFrame) -> DataFrame:
 
 
 def fact_topic_rows(routed: DataFrame) -> DataFrame:
-    """Routed facts as ``seq, topic, value``: the sink table names the topic, null fields are left out."""
+    """Routed facts as ``seq, key, topic, value``: the sink table names the topic, null fields are left out.
+
+    Rows are published by source table and id, so that one row's changes keep their order.
+    """
     kept = [c for c in ("seq",) if c in routed.columns]
-    return routed.select(*kept, F.col("sink_table").alias("topic"), text_map_json("data").alias("value"))
+    key = F.concat_ws(":", "table", F.col("data")["id"])
+    return routed.select(
+        *kept, key.alias("key"), F.col("sink_table").alias("topic"), text_map_json("data").alias("value")
+    )

@@ -12,74 +12,91 @@ from pyspark.sql import functions as F
 from .lookup import BROADCAST_ROWS, lookup, lookup_checked
 
 KEY = ["sink_table", "row_key"]
+REDUCED = (
+    "sink_table string, row_key string, deleted_at bigint, put_at bigint, "
+    "cells map<string, struct<seq: bigint, value: string>>"
+)
 
 
-def sink_columns(routes: DataFrame) -> list[str]:
-    """All column names that the routes write, in order of name: the distinct names become a schema."""
-    names = routes.select(F.explode(F.split("sink_columns", ",")).alias("name")).distinct()
-    return sorted(row.name for row in names.collect())
+def reduce_changes(changes: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """What a set of changes leaves behind per key: :data:`REDUCED`.
 
-
-def reduce_changes(changes: DataFrame, columns: list[str]) -> DataFrame:
-    """What a set of changes leaves behind per key.
-
-    ``deleted_at`` is the last delete's ``seq``; ``cells`` has a struct ``(seq, value)`` per column, the last
-    value that was not NULL; ``last_put`` is the last written row. One aggregation with map-side combine, and
-    reducing reduced changes again (:func:`merge_reduced`) gives the same as reducing all at once. Changes without a
-    row key belong to no row and are left out.
+    ``deleted_at`` is the last delete's ``seq``, ``put_at`` the last write's; ``cells`` has, per column (of
+    ``columns``, if given), the last value that was not NULL with its ``seq``. Changes are taken apart into cells,
+    so a row costs the columns it has and not those of all tables. Both aggregations combine on the map side, the
+    second one gathers one row's columns; reducing reduced changes again (:func:`merge_reduced`) gives the same as
+    reducing all at once. Changes without a row key belong to no row and are left out.
     """
     is_delete = F.col("op_type") == "delete"
-    value = {c: F.col("data")[c] for c in columns}
-    cells = [
-        F.max(F.when(~is_delete & value[c].isNotNull(), F.struct("seq", value[c].alias("value")))).alias(c)
-        for c in columns
-    ]
-    written = F.struct(F.col("seq"), F.map_filter("data", lambda _k, v: v.isNotNull()).alias("data"))
-    return changes.filter(F.col("row_key").isNotNull()).groupBy(*KEY).agg(
-        F.max(F.when(is_delete, F.col("seq"))).alias("deleted_at"),
-        F.max_by(F.when(~is_delete, written), F.when(~is_delete, F.col("seq"))).alias("last_put"),
-        F.struct(*cells).alias("cells"),
+    written = F.map_filter(
+        "data", lambda key, value: value.isNotNull() & (F.lit(True) if columns is None else key.isin(columns))
     )
+    row = _entry(None, None, F.when(~is_delete, F.col("seq")), F.when(is_delete, F.col("seq")))
+    cells = F.transform(F.map_entries(written), lambda e: _entry(e["key"], e["value"], F.col("seq"), None))
+    entries = F.when(is_delete | F.col("data").isNull(), F.array(row)).otherwise(F.concat(F.array(row), cells))
+    keyed = changes.filter(F.col("row_key").isNotNull() & F.col("op_type").isNotNull())
+    return _gather(keyed.select(*KEY, F.inline(entries)))
 
 
 def merge_reduced(parts: DataFrame) -> DataFrame:
     """Combine reduced changes of several batches."""
-    columns = parts.schema["cells"].dataType.names
-    return parts.groupBy(*KEY).agg(
+    row = _entry(None, None, F.col("put_at"), F.col("deleted_at"))
+    cells = F.transform(
+        F.map_entries("cells"), lambda e: _entry(e["key"], e["value"]["value"], e["value"]["seq"], None)
+    )
+    return _gather(parts.select(*KEY, F.inline(F.concat(F.array(row), cells))))
+
+
+def _entry(column: Column | None, value: Column | None, seq: Column, deleted_at: Column | None) -> Column:
+    """A cell of a row, or (without a column) the row itself."""
+
+    def typed(found: Column | None, kind: str) -> Column:
+        return (F.lit(None) if found is None else found).cast(kind)
+
+    return F.struct(
+        typed(column, "string").alias("column"),
+        typed(value, "string").alias("value"),
+        typed(seq, "bigint").alias("seq"),
+        typed(deleted_at, "bigint").alias("deleted_at"),
+    )
+
+
+def _gather(entries: DataFrame) -> DataFrame:
+    last = entries.groupBy(*KEY, "column").agg(
+        F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"), F.max("deleted_at").alias("deleted_at")
+    )
+    is_row = F.col("column").isNull()
+    cell = F.when(~is_row, F.struct("column", F.struct("seq", "value").alias("cell")))
+    return last.groupBy(*KEY).agg(
         F.max("deleted_at").alias("deleted_at"),
-        F.max_by("last_put", F.col("last_put.seq")).alias("last_put"),
-        F.struct(*[F.max(F.col("cells")[c]).alias(c) for c in columns]).alias("cells"),
+        F.max(F.when(is_row, F.col("seq"))).alias("put_at"),
+        F.map_from_entries(F.collect_list(cell)).alias("cells"),
     )
 
 
-def live_rows(reduced: DataFrame, merge: str = "column") -> DataFrame:
-    """Dimension rows from reduced changes.
+def live_data(merge: str = "column") -> Column:
+    """The columns of a reduced row that live; empty where the row is gone.
 
     ``merge="column"`` keeps a column's old value when a later write has none; ``merge="row"`` takes the last
     written row whole. Whatever was written before the last delete is gone.
     """
-    deleted_at = F.coalesce("deleted_at", F.lit(-(2**63)))
-    if merge == "row":
-        data = F.when(F.col("last_put.seq") > deleted_at, F.col("last_put.data"))
-    elif merge == "column":
-        columns = reduced.schema["cells"].dataType.names
-        cells = F.array(
-            *[
-                F.when(
-                    F.col("cells")[c]["seq"] > deleted_at,
-                    F.struct(F.lit(c).alias("key"), F.col("cells")[c]["value"].alias("value")),
-                )
-                for c in columns
-            ]
-        )
-        data = F.map_from_entries(F.array_compact(cells))
-    else:
+    if merge not in ("column", "row"):
         raise ValueError(f"merge must be 'column' or 'row', not {merge!r}")
-    rows = reduced.select(*KEY, data.alias("data"))
-    return rows.filter(F.cardinality("data") > 0)
+    deleted_at = F.coalesce("deleted_at", F.lit(-(2**63)))
+
+    def lives(_column: Column, cell: Column) -> Column:
+        after = cell["seq"] > deleted_at
+        return after if merge == "column" else after & (cell["seq"] == F.col("put_at"))
+
+    return F.transform_values(F.map_filter("cells", lives), lambda _column, cell: cell["value"])
+
+
+def live_rows(reduced: DataFrame, merge: str = "column") -> DataFrame:
+    """Dimension rows from reduced changes, see :func:`live_data`."""
+    return reduced.select(*KEY, live_data(merge).alias("data")).filter(F.cardinality("data") > 0)
 
 
-def upsert(changes: DataFrame, columns: list[str], merge: str = "column") -> DataFrame:
+def upsert(changes: DataFrame, columns: list[str] | None = None, merge: str = "column") -> DataFrame:
     """Dimension rows after applying the changes in order of ``seq``."""
     return live_rows(reduce_changes(changes, columns), merge)
 
@@ -110,6 +127,16 @@ def apply_lifecycle(changes: DataFrame, lifecycle: DataFrame, max_broadcast_rows
     return found.filter(counts).drop("_life")
 
 
+def empty_tables(reduced: DataFrame, lifecycle: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Reduced changes of present tables, where emptying a table deletes all of its rows.
+
+    Gives what :func:`apply_lifecycle` gives before reducing, whenever the configuration was changed.
+    """
+    found = lookup_checked(reduced, lifecycle, ["sink_table"], "_life", F.col("row_key"), max_broadcast_rows)
+    emptied = found.filter(F.col("_life.is_present"))
+    return emptied.withColumn("deleted_at", F.greatest("deleted_at", "_life.emptied_at")).drop("_life")
+
+
 def enrich(
     rows: DataFrame,
     dim: DataFrame,

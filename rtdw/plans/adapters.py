@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.envelope import row_json
 from ..sources.changelog import snapshot_rows
+from ..sources.topics import arrival_number
 
 DATABASE = "shop"
 
@@ -107,8 +108,8 @@ def _change_fields() -> dict[str, Column]:
     }
 
 
-def change_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` as change records in JSON; every tenth value is quoted twice, some are cut short."""
+def change_topic(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+    """``orders`` as change records in JSON, with the columns ``kept`` beside it."""
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     fields = _change_fields()
     kind = F.when(status == "F", "insert").when(status == "O", "update").when(status == "P", "delete")
@@ -120,14 +121,14 @@ def change_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields["data"].alias("data"),
         fields["seconds"].alias("ts"),
     )
-    return table(spark, sf_dir, "orders").select(key.alias("seq"), text.alias("value"))
+    return table(spark, sf_dir, "orders").select(key.alias("seq"), text.alias("value"), *kept)
 
 
-def quoted_change_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quoted_change_topic(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
     """The change topic with every tenth value quoted once more."""
     escaped = F.replace(F.replace("value", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     quoted = F.concat(F.lit('"'), escaped, F.lit('"'))
-    return change_topic(spark, sf_dir).withColumn(
+    return change_topic(spark, sf_dir, *kept).withColumn(
         "value", F.when(F.col("seq") % 10 == 3, quoted).otherwise(F.col("value"))
     )
 
@@ -183,6 +184,24 @@ def config_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(key.alias("seq"), text.alias("value"))
 
 
+def partitioned_change_topic(spark: SparkSession, sf_dir: str, partitions: int = 16) -> DataFrame:
+    """The quoted change topic dealt over partitions by primary key, numbered as Kafka rows are."""
+    partition = F.pmod(F.xxhash64("o_custkey"), F.lit(partitions))
+    return quoted_change_topic(spark, sf_dir, "o_custkey").select(
+        arrival_number(partition, F.col("seq")).alias("seq"), "value"
+    )
+
+
+def route_captures(routes: DataFrame, table_name: str, op: str, seq: int) -> DataFrame:
+    """Rows of a routing table as captures of one kind."""
+    row = F.struct(*routes.columns)
+    source = F.struct(F.lit("config").alias("db"), F.lit(table_name).alias("table"))
+    text = row_json(
+        F.lit(op).alias("op"), row.alias("before" if op == "d" else "after"), source.alias("source"), F.lit(seq).alias("ts_ms")
+    )
+    return routes.select(F.lit(seq).cast("bigint").alias("seq"), text.alias("value"))
+
+
 # Letters as Han characters, to have Han text where the documents hold none.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _HAN = "".join(chr(0x4E00 + 37 * i) for i in range(26))

@@ -38,7 +38,7 @@ ch AS (
               ELSE 'comment_info' END AS source_table,
          CASE o_orderstatus WHEN 'F' THEN 'insert' WHEN 'O' THEN 'update' ELSE 'delete' END AS type,
          o_orderkey % 41 = 5 AS is_empty, epoch_us(o_orderdate) // 1000000 AS ts, o_orderdate AS et,
-         CASE WHEN o_orderkey % 3 <> 0 THEN 'n' || o_orderkey END AS name
+         CASE WHEN o_orderkey % 3 <> 0 THEN 'n' || o_orderkey END AS name, o_orderpriority AS status
   FROM orders
 ),
 fact AS (SELECT * FROM ch WHERE db = 'shop' AND type IN ('insert', 'update') AND NOT is_empty),
@@ -53,11 +53,12 @@ route(source_table, type, sink_table, fields, fields_using) AS (VALUES
   ('user_info', 'insert', 'dwd_user_register', 'create_time,id', 'create_time,id')
 )"""
 
-_USERS = """
+def _users(dim: str = "dim") -> str:
+    return f"""
 gone AS (SELECT id, max(seq) FILTER (type = 'delete') AS deleted_at, max(seq) FILTER (type <> 'delete') AS put_at
-         FROM dim WHERE source_table = 'user_info' GROUP BY id),
+         FROM {dim} WHERE source_table = 'user_info' GROUP BY id),
 put AS (SELECT dim.*, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS place
-        FROM dim JOIN gone USING (id)
+        FROM {dim} JOIN gone USING (id)
         WHERE source_table = 'user_info' AND type <> 'delete' AND seq > coalesce(deleted_at, -1)),
 usr AS (SELECT id, any_value('u' || id) AS login_name,
                arg_max(name, seq) FILTER (name IS NOT NULL) AS name, max(name) FILTER (place = 1) AS last_name
@@ -123,15 +124,23 @@ def _traffic_windows(size: str) -> str:
           FROM flagged GROUP BY ALL)"""
 
 
-_FAN_OUT = """
-    SELECT topic, is_new, CAST(sum(n) AS BIGINT) AS n_rows FROM (
-      SELECT 'dwd_traffic_start' AS topic, is_new, 1 AS n FROM fixed WHERE kind = 'signup'
-      UNION ALL SELECT 'dwd_traffic_err', is_new, 1 FROM fixed WHERE kind = 'error'
-      UNION ALL SELECT 'dwd_traffic_display', is_new, k % 3 FROM fixed WHERE kind = 'click' AND k % 3 > 0
-      UNION ALL SELECT 'dwd_traffic_action', is_new, 1 + k % 2 FROM fixed WHERE kind = 'purchase'
-      UNION ALL SELECT 'dwd_traffic_page', is_new, 1 FROM fixed
-                WHERE kind IN ('view', 'click', 'purchase') OR (kind = 'error' AND k % 2 = 0)
-    ) GROUP BY ALL"""
+# Number: the display's place, the error's code, or the page's time.
+_FAN_OUT = """,
+shown AS (
+  SELECT *, CASE WHEN k % 11 <> 0 THEN 'w' || (k % 7) || ' W' || (k % 5) || ' w' || (k % 7) END AS phrase FROM fixed
+)
+SELECT seq, 'dwd_traffic_start' AS topic, mid, is_new, ms AS ts, NULL AS item, CAST(NULL AS BIGINT) AS number
+FROM shown WHERE kind = 'signup'
+UNION ALL
+SELECT seq, 'dwd_traffic_err', mid, is_new, ms, CASE WHEN k % 2 = 0 THEN phrase END, k FROM shown WHERE kind = 'error'
+UNION ALL
+SELECT seq, 'dwd_traffic_display', mid, is_new, ms, CAST(k AS VARCHAR), unnest(range(k % 3)) FROM shown WHERE kind = 'click'
+UNION ALL
+SELECT seq, 'dwd_traffic_action', mid, is_new, ms + unnest(range(1 + k % 2)), CAST(k AS VARCHAR), NULL
+FROM shown WHERE kind = 'purchase'
+UNION ALL
+SELECT seq, 'dwd_traffic_page', mid, is_new, ms, phrase, CAST(round(value * 100) AS BIGINT)
+FROM shown WHERE kind IN ('view', 'click', 'purchase') OR (kind = 'error' AND k % 2 = 0)"""
 
 # Letters as Han characters; an alternation that tries long words first finds the longest match at each place.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -150,7 +159,13 @@ SELECT keyword, count(*) AS n_documents FROM (
   FROM documents, pattern)
 GROUP BY 1"""
 
-_BY_TABLE = "SELECT source_table, type, count(*) AS n_changes FROM {} GROUP BY ALL"
+_BY_TABLE = "SELECT seq, source_table, type, id FROM {}"
+
+# A routed fact's values, where its topic has the field.
+_FACT_FIELDS = """id, CASE WHEN contains(fields, 'user_id') THEN id END AS user_id,
+           CASE WHEN contains(fields, 'coupon_id') THEN CAST(seq % 9 AS VARCHAR) END AS coupon_id,
+           CASE WHEN contains(fields, 'coupon_status') THEN status END AS coupon_status,
+           CASE WHEN contains(fields, 'create_time') THEN strftime(et, '%Y-%m-%d') END AS create_time"""
 
 _CLOSED = "start + INTERVAL {} <= (SELECT max(ts) FROM {}) - INTERVAL 5 SECOND"
 
@@ -178,17 +193,22 @@ ORACLES = {
     "q_config_snapshot": """
     SELECT c_custkey AS "cCustkey", c_name AS "cName", c_nationkey AS "cNationkey", c_mktsegment AS "cMktsegment"
     FROM customer""",
-    "q_topic_sink": _with(_EVENTS) + """
-    SELECT topic, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_logs FROM (
-      SELECT 'dwd_traffic_start' AS topic, 1 AS n FROM ev WHERE kind = 'signup'
-      UNION ALL SELECT 'dwd_traffic_err', 1 FROM ev WHERE kind = 'error'
-      UNION ALL SELECT 'dwd_traffic_display', k % 3 FROM ev WHERE kind = 'click' AND k % 3 > 0
-      UNION ALL SELECT 'dwd_traffic_action', 1 + k % 2 FROM ev WHERE kind = 'purchase'
-      UNION ALL SELECT 'dwd_traffic_page', 1 FROM page
-    ) GROUP BY topic""",
-    "q_topic_route": _with(_CHANGES) + """
-    SELECT seq, sink_table AS topic, id, CASE WHEN seq % 3 <> 0 THEN fields_using ELSE fields END AS fields
+    "q_topic_sink": _with(_EVENTS, _VISITS) + _FAN_OUT,
+    "q_topic_route": _with(_CHANGES) + f"""
+    SELECT seq, sink_table AS topic, {_FACT_FIELDS}, CASE WHEN seq % 3 <> 0 THEN fields_using ELSE fields END AS fields
     FROM fact JOIN route USING (source_table, type)""",
+    "q_fact_job": _with(_CHANGES) + f""",
+    routed AS (
+      SELECT *, (seq // 4) % 2 = 1 AS late FROM fact JOIN route USING (source_table, type)
+    ),
+    moved AS (
+      SELECT * REPLACE (
+        CASE WHEN late AND source_table = 'favor_info' THEN 'dwd_favor_moved' ELSE sink_table END AS sink_table,
+        CASE WHEN late AND source_table = 'favor_info' THEN 'id,user_id'
+             WHEN seq % 3 <> 0 THEN fields_using ELSE fields END AS fields)
+      FROM routed WHERE NOT late OR source_table <> 'user_info'
+    )
+    SELECT seq, sink_table AS topic, {_FACT_FIELDS}, fields FROM moved""",
     "q_upsert_latest": """
     SELECT key, value FROM (
       SELECT o_custkey AS key, o_orderkey || ':' || o_orderpriority AS value, o_orderstatus AS status,
@@ -196,7 +216,7 @@ ORACLES = {
     WHERE place = 1 AND status <> 'P'""",
     "q_window_sink": _with(_EVENTS)
     + _keyword_windows("5 SECOND", closed=_CLOSED.format("5 SECOND", "search")),
-    "q_dim_upsert": _with(_CHANGES, _USERS) + """
+    "q_dim_upsert": _with(_CHANGES, _users()) + """
     SELECT 'column' AS merge, 'dim_user_info' AS sink_table, id AS row_key, name, login_name,
            CASE WHEN name IS NULL THEN 'create_time,id,login_name,user_level'
                 ELSE 'create_time,id,login_name,name,user_level' END AS fields FROM usr
@@ -204,13 +224,23 @@ ORACLES = {
     SELECT 'row', 'dim_user_info', id, last_name, login_name,
            CASE WHEN last_name IS NULL THEN 'create_time,id,login_name,user_level'
                 ELSE 'create_time,id,login_name,name,user_level' END FROM usr""",
-    "q_dim_delete": _with(_CHANGES, _USERS) + """
+    "q_dim_job": _with(
+        _CHANGES,
+        """
+    counted AS (
+      SELECT * REPLACE (CASE WHEN (seq // 4) % 3 <> 1 THEN name END AS name) FROM dim WHERE seq > 400
+    )""",
+        _users("counted AS dim"),
+    ) + """
+    SELECT 'dim_user_info' AS sink_table, id AS row_key, name, login_name,
+           CASE WHEN name IS NULL THEN 'create_time,id,login_name,user_level'
+                ELSE 'create_time,id,login_name,name,user_level' END AS fields FROM usr""",
+    "q_dim_delete": _with(_CHANGES, _users()) + """
     SELECT id AS row_key, deleted_at, coalesce(put_at, -1) > coalesce(deleted_at, -1) AS alive FROM gone""",
     "q_dim_lifecycle": _with(_CHANGES) + """
-    SELECT 'dim_' || source_table AS sink_table, count(*) AS n_changes, min(seq) AS first_seq, max(seq) AS last_seq
-    FROM dim WHERE (source_table = 'coupon_use' AND seq > 400) OR (source_table = 'user_info' AND seq > 200)
-    GROUP BY 1""",
-    "q_log_json_filter": _with(_EVENTS) + "SELECT kind AS event_type, count(*) AS n_logs FROM ev GROUP BY 1",
+    SELECT 'dim_' || source_table AS sink_table, seq, type, id
+    FROM dim WHERE (source_table = 'coupon_use' AND seq > 400) OR (source_table = 'user_info' AND seq > 200)""",
+    "q_log_json_filter": _with(_EVENTS) + "SELECT seq, kind AS event_type, ms AS ts FROM ev",
     "q_change_filter_dwd": _with(_CHANGES) + _BY_TABLE.format("fact"),
     "q_change_filter_dim": _with(_CHANGES) + _BY_TABLE.format("dim"),
     "q_config_current": _with(_CONFIG)
@@ -218,10 +248,10 @@ ORACLES = {
     "q_config_multi_route": _with(_CONFIG)
     + "SELECT source_table, source_type, sink_table, sink_columns FROM live",
     "q_column_prune": _with(_CHANGES) + """
-    SELECT sink_table, CASE WHEN sink_table = 'dwd_tool_coupon_use'
-             THEN 'coupon_id,coupon_status,id,order_id,used_time,user_id,using_time' ELSE fields END AS fields,
-           count(*) AS n_rows
-    FROM fact JOIN route USING (source_table, type) GROUP BY ALL""",
+    SELECT seq, sink_table, id, CASE WHEN sink_table = 'dwd_tool_coupon_use' THEN CAST(seq AS VARCHAR) END AS order_id,
+           CASE WHEN sink_table = 'dwd_tool_coupon_use'
+             THEN 'coupon_id,coupon_status,id,order_id,used_time,user_id,using_time' ELSE fields END AS fields
+    FROM fact JOIN route USING (source_table, type)""",
     "q_comment_extract": _with(_CHANGES) + """
     SELECT seq, CASE WHEN NOT is_empty THEN id END AS id, CASE WHEN NOT is_empty THEN id END AS user_id,
            CASE WHEN NOT is_empty THEN CAST(seq % 20 AS VARCHAR) END AS sku_id,
@@ -268,7 +298,7 @@ ORACLES = {
     FROM fact JOIN (VALUES ('1201', 'good'), ('1202', 'medium'), ('1203', 'bad'), ('1204', 'auto')) d(code, name_of)
       ON code = '120' || (1 + seq % 5)
     WHERE source_table = 'comment_info' AND type = 'insert'""",
-    "q_dim_enrich": _with(_CHANGES, _USERS) + """
+    "q_dim_enrich": _with(_CHANGES, _users()) + """
     SELECT o_orderkey, login_name, name, id IS NOT NULL AS matched
     FROM orders LEFT JOIN usr ON id = CAST(o_custkey AS VARCHAR)""",
     "q_kw_split": _with(_EVENTS) + "SELECT seq, keyword FROM word",
@@ -301,3 +331,9 @@ ORACLES = {
     FROM (SELECT event_id AS id, 'event' AS kind, ts AS tm, epoch_us(ts) // 1000 AS ms FROM events
           UNION ALL SELECT o_orderkey, 'order', o_orderdate, epoch_us(o_orderdate) // 1000 FROM orders)""",
 }
+
+# The same rows by another way.
+ORACLES["q_dim_upsert_partitions"] = ORACLES["q_dim_upsert"]
+ORACLES["q_dim_enrich_tables"] = ORACLES["q_dim_enrich"]
+ORACLES["q_comment_job"] = ORACLES["q_comment_lookup"]
+ORACLES["q_ods_job"] = ORACLES["q_debezium_normalize"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ..functions.json import long_of, parse_once, text_of
 from ..operators import changes, dims, envelope, facts, keywords, logs, segment, traffic
 from ..session import run_dir
 from ..sources import changelog, routes, tables, topics
-from ..sources.schemas import CHANGE
+from ..sources.schemas import CHANGE, TOPIC_COMMENT, TOPIC_DB
 from ..streaming import jobs, sinks
 from ..streaming.runner import finish, run_file_sink
 from . import adapters
@@ -120,7 +121,20 @@ def topic_sink(spark, sf_dir):
     adapters.log_topic(spark, sf_dir).select("seq", "value").write.parquet(f"{root}/in")
     finish(jobs.split_logs(topics.read_topic(spark, path=f"{root}/in"), root))
     back = spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics")
-    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("seq").alias("n_logs"))
+    return _topic_fields(back)
+
+
+def _topic_fields(rows: DataFrame) -> DataFrame:
+    """Topic rows of logs with the fields inside their JSON."""
+
+    def either(*paths: str) -> Column:
+        return F.coalesce(*[F.get_json_object("value", path) for path in paths])
+
+    return rows.select(
+        "seq", "topic", either("$.common.mid", "$.mid").alias("mid"), either("$.common.is_new", "$.is_new").alias("is_new"),
+        either("$.ts").cast("bigint").alias("ts"), either("$.item", "$.page.item").alias("item"),
+        either("$.pos", "$.err.error_code", "$.page.during_time").cast("bigint").alias("number"),
+    )
 
 
 @query
@@ -130,10 +144,54 @@ def topic_route(spark, sf_dir):
         changes.fact_changes(adapters.change_topic(spark, sf_dir), DATABASE), routes.fact_routes(spark)
     )
     rows = changes.fact_topic_rows(changes.prune_columns(routed))
-    return rows.select(
-        "seq", "topic", F.get_json_object("value", "$.id").alias("id"),
-        _keys(F.json_object_keys("value")).alias("fields"),
+    return rows.select("seq", "topic", *_fact_fields(), _keys(F.json_object_keys("value")).alias("fields"))
+
+
+def _fact_fields() -> list[Column]:
+    names = ("id", "user_id", "coupon_id", "coupon_status", "create_time")
+    return [F.get_json_object("value", f"$.{name}").alias(name) for name in names]
+
+
+@query
+def fact_job(spark, sf_dir):
+    """The fact job on two parts of the change topic; the captured routes change between them."""
+    root = run_dir(spark, "fact-job")
+    topic = adapters.change_topic(spark, sf_dir)
+    late = F.expr("(seq div 4) % 2 = 1")
+    first = routes.fact_routes(spark)
+    moved = first.filter("source_table = 'favor_info'").withColumns(
+        {"sink_table": F.lit("dwd_favor_moved"), "sink_columns": F.lit("id,user_id")}
     )
+    gone = first.filter("source_table = 'user_info'")
+    captured = [adapters.route_captures(first, "routes", "r", 0)]
+    read = jobs.live_fact_routes(lambda: reduce(DataFrame.unionByName, captured), "routes")
+    for number, condition in enumerate((~late, late)):
+        _write_phase(topic, root, number, condition)
+        finish(jobs.route_facts(topics.read_topic(spark, path=f"{root}/in/phase=*"), root, DATABASE, read))
+        captured += [adapters.route_captures(moved, "routes", "u", 1), adapters.route_captures(gone, "routes", "d", 2)]
+    back = spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics")
+    return back.select("seq", "topic", *_fact_fields(), _keys(F.json_object_keys("value")).alias("fields"))
+
+
+@query
+def comment_job(spark, sf_dir):
+    """The comment job; its JSON rows read back as a table."""
+    root = run_dir(spark, "comment-job")
+    _write_phase(adapters.change_topic(spark, sf_dir), root, 0, F.lit(True))
+    stream = topics.read_topic(spark, path=f"{root}/in/phase=*")
+    finish(jobs.publish_comments(stream, root, DATABASE, lambda: tables.dictionary(adapters.ratings(spark))))
+    back = topics.read_topic(spark, path=sinks.topic_files(f"{root}/topics", TOPIC_COMMENT), streaming=False)
+    schema = "id string, user_id string, sku_id string, appraise string, appraise_name string, comment_txt string, ts bigint"
+    return topics.typed(back, schema)
+
+
+@query
+def ods_job(spark, sf_dir):
+    """Captures published as the change topic, read back."""
+    root = run_dir(spark, "ods-job")
+    _write_phase(adapters.capture_topic(spark, sf_dir), root, 0, F.lit(True))
+    finish(jobs.publish_captures(topics.read_topic(spark, path=f"{root}/in/phase=*"), root))
+    return _change_fields(topics.read_topic(spark, path=f"{root}/{TOPIC_DB}", streaming=False))
 
 
 @query
@@ -159,29 +217,62 @@ def window_sink(spark, sf_dir):
     )
 
 
-def _user_rows(changed: DataFrame, merge: str, columns: list[str]) -> DataFrame:
+def _both_merges(changed: DataFrame) -> DataFrame:
+    """Dimension rows merged by column and by whole row, from one aggregation."""
+    merged = [F.struct(F.lit(m).alias("merge"), dims.live_data(m).alias("data")) for m in ("column", "row")]
+    rows = dims.reduce_changes(changed).select("sink_table", "row_key", F.inline(F.array(*merged)))
+    return _user_fields(rows.filter(F.cardinality("data") > 0), "merge")
+
+
+def _user_fields(rows: DataFrame, *kept: str) -> DataFrame:
     data = F.col("data")
-    return dims.upsert(changed, columns, merge).select(
-        F.lit(merge).alias("merge"), "sink_table", "row_key", data["name"].alias("name"),
-        data["login_name"].alias("login_name"), _keys(F.map_keys(data)).alias("fields"),
+    return rows.select(
+        *kept, "sink_table", "row_key", data["name"].alias("name"), data["login_name"].alias("login_name"),
+        _keys(F.map_keys(data)).alias("fields"),
     )
 
 
 @query
 def dim_upsert(spark, sf_dir):
     """The user dimension, merged by column and by whole row."""
-    changed = _user_changes(spark, sf_dir)
-    columns = dims.sink_columns(routes.dim_routes(spark))
-    return _user_rows(changed, "column", columns).unionByName(_user_rows(changed, "row", columns))
+    return _both_merges(_user_changes(spark, sf_dir))
+
+
+@query
+def dim_upsert_partitions(spark, sf_dir):
+    """As ``dim_upsert`` with changes that came over sixteen partitions of a keyed topic."""
+    changed = changes.dim_changes(adapters.partitioned_change_topic(spark, sf_dir), DATABASE)
+    return _both_merges(changes.prune_columns(changes.route_dims(changed, routes.dim_routes(spark))))
+
+
+@query
+def dim_job(spark, sf_dir):
+    """The dimension job on three parts of the change topic, for a table that is emptied at change 400.
+
+    The second part's routes leave the name out.
+    """
+    root = run_dir(spark, "dim-job")
+    topic = adapters.quoted_change_topic(spark, sf_dir)
+    every = routes.dim_routes(spark)
+    nameless = every.withColumn("sink_columns", F.replace("sink_columns", F.lit("login_name,name,"), F.lit("login_name,")))
+    captured = [adapters.route_captures(every, "routes", "r", 0)]
+    read = jobs.live_dim_routes(lambda: reduce(DataFrame.unionByName, captured), "routes")
+    for number, at in enumerate((nameless, every, None)):
+        _write_phase(topic, root, number, F.expr(f"(seq div 4) % 3 = {number}"))
+        finish(jobs.update_dimensions(topics.read_topic(spark, path=f"{root}/in/phase=*"), root, DATABASE, read))
+        if at is not None:
+            captured.append(adapters.route_captures(at, "routes", "u", 400 if number else 300))
+    lifecycle = jobs.live_lifecycle(lambda: reduce(DataFrame.unionByName, captured), "routes")
+    return _user_fields(sinks.DimensionTables(spark, f"{root}/dims").rows(lifecycle=lifecycle()))
 
 
 @query
 def dim_delete(spark, sf_dir):
     """Per user key: the last delete, and whether the row lives."""
-    reduced = dims.reduce_changes(_user_changes(spark, sf_dir), ["id"])
+    reduced = dims.reduce_changes(_user_changes(spark, sf_dir), [])
     return reduced.select(
         "row_key", "deleted_at",
-        (F.coalesce(F.col("last_put.seq"), F.lit(-1)) > F.coalesce("deleted_at", F.lit(-1))).alias("alive"),
+        (F.coalesce(F.col("put_at"), F.lit(-1)) > F.coalesce("deleted_at", F.lit(-1))).alias("alive"),
     )
 
 
@@ -200,9 +291,7 @@ def dim_lifecycle(spark, sf_dir):
     written = changed.withColumn("sink_table", F.concat(F.lit("dim_"), "table"))
     config = spark.createDataFrame(LIFECYCLE, "seq bigint, op string, sink_table string")
     kept = dims.apply_lifecycle(written, dims.table_lifecycle(config))
-    return kept.groupBy("sink_table").agg(
-        F.count(F.lit(1)).alias("n_changes"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
-    )
+    return kept.select("sink_table", "seq", "type", F.col("data")["id"].alias("id"))
 
 
 # Filters and reshaping ----------------------------------------------------------------------------------
@@ -211,11 +300,11 @@ def dim_lifecycle(spark, sf_dir):
 @query
 def log_json_filter(spark, sf_dir):
     kept = logs.json_logs(adapters.log_topic(spark, sf_dir))
-    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_logs"))
+    return kept.select("seq", "event_type", long_of(F.col("log"), "ts").alias("ts"))
 
 
 def _by_table(changed: DataFrame) -> DataFrame:
-    return changed.groupBy(F.col("table").alias("source_table"), "type").agg(F.count(F.lit(1)).alias("n_changes"))
+    return changed.select("seq", F.col("table").alias("source_table"), "type", F.col("data")["id"].alias("id"))
 
 
 @query
@@ -247,8 +336,10 @@ def column_prune(spark, sf_dir):
     routed = changes.route_facts(
         changes.fact_changes(adapters.change_topic(spark, sf_dir), DATABASE), routes.fact_routes(spark)
     )
-    kept = changes.prune_columns(routed).select("sink_table", _keys(F.map_keys("data")).alias("fields"))
-    return kept.groupBy("sink_table", "fields").agg(F.count(F.lit(1)).alias("n_rows"))
+    data = F.col("data")
+    return changes.prune_columns(routed).select(
+        "seq", "sink_table", data["id"].alias("id"), data["order_id"].alias("order_id"), _keys(F.map_keys(data)).alias("fields")
+    )
 
 
 @query
@@ -277,8 +368,11 @@ def traffic_json(spark, sf_dir):
 def debezium_normalize(spark, sf_dir):
     """Captures as change records, through the JSON of the change topic."""
     records = envelope.to_change_records(changelog.read_captures(adapters.capture_topic(spark, sf_dir)))
-    back = topics.typed(envelope.change_json(records), CHANGE)
-    return back.select(
+    return _change_fields(envelope.change_json(records))
+
+
+def _change_fields(topic: DataFrame) -> DataFrame:
+    return topics.typed(topic, CHANGE).select(
         "seq", "database", F.col("table").alias("source_table"), "type", "ts", F.col("data")["id"].alias("id"),
         F.col("data")["name"].alias("name"), _keys(F.map_keys("old")).alias("changed"),
         F.col("old")["name"].alias("old_name"),
@@ -332,9 +426,7 @@ def log_action(spark, sf_dir):
 @query
 def log_fanout(spark, sf_dir):
     """All branches in one pass, with the corrected new-visitor flag inside."""
-    rows = logs.fan_out(logs.fix_new_visitors(_parsed(spark, sf_dir)))
-    flag = F.coalesce(F.get_json_object("value", "$.common.is_new"), F.get_json_object("value", "$.is_new"))
-    return rows.groupBy("topic", flag.alias("is_new")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _topic_fields(logs.fan_out(logs.fix_new_visitors(_parsed(spark, sf_dir))))
 
 
 # Joins --------------------------------------------------------------------------------------------------
@@ -386,6 +478,19 @@ def dim_enrich(spark, sf_dir):
     return enriched.select("o_orderkey", "login_name", "name", "matched")
 
 
+@query
+def dim_enrich_tables(spark, sf_dir):
+    """As ``dim_enrich`` beside a second table that has the same row keys."""
+    users = dims.upsert(_user_changes(spark, sf_dir), ["login_name", "name"])
+    other = users.withColumns({"sink_table": F.lit("dim_other"), "data": F.create_map(F.lit("name"), F.col("row_key"))})
+    orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    enriched = dims.enrich(
+        orders, other.unionByName(users), F.col("o_custkey").cast("string"), ["login_name", "name"], F.col("o_orderkey"),
+        table="dim_user_info", max_broadcast_rows=0,
+    )
+    return enriched.select("o_orderkey", "login_name", "name", "matched")
+
+
 @query
 def kw_split(spark, sf_dir):
     return keywords.split_words(keywords.search_phrases(_pages(spark, sf_dir))).select("seq", "keyword")
@@ -495,9 +600,7 @@ def restart(spark, sf_dir):
     for number, condition in enumerate(phases):
         _write_phase(topic, root, number, condition)
         finish(jobs.split_logs(topics.read_topic(spark, path=f"{root}/in/phase=*"), root))
-    rows = spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics")
-    flag = F.coalesce(F.get_json_object("value", "$.common.is_new"), F.get_json_object("value", "$.is_new"))
-    return rows.groupBy("topic", flag.alias("is_new")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _topic_fields(spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics"))
 
 
 # Functions ----------------------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import is_object_text, parse_once
@@ -44,11 +44,16 @@ def read_topic(
             .options(**options)
             .load()
         )
-        seq = F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset")
+        seq = arrival_number(F.col("partition"), F.col("offset"))
         return raw.select(seq.alias("seq"), F.col("value").cast("string").alias("value"))
     return reader.schema(TOPIC_FILES).options(**options).parquet(path)
 
 
+def arrival_number(partition: Column, offset: Column) -> Column:
+    """A Kafka row's ``seq``: unique, and in order of arrival within a partition and so for all rows of one key."""
+    return F.shiftleft(partition.cast("bigint"), 48) + offset
+
+
 def read_text_topic(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
     """Lines of text files as a topic without arrival numbers, for jobs that need no order."""
     return (spark.readStream if streaming else spark.read).text(path)

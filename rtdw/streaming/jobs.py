@@ -17,7 +17,7 @@ from ..functions.times import ms_to_timestamp
 from ..operators import changes, dims, envelope, facts, keywords, logs, traffic
 from ..operators.lookup import HOT_ROWS
 from ..sources.changelog import read_captures
-from ..sources.schemas import TOPIC_COMMENT, TOPIC_DB, TOPIC_DIM
+from ..sources.schemas import DIM_ROUTE, TOPIC_COMMENT, TOPIC_DB, TOPIC_DIM
 from ..sources.topics import change_table, page_table
 from .first_seen import FirstSeen, earliest
 from .runner import BatchWriter, run_file_sink, run_stream, write_batch_once
@@ -37,6 +37,15 @@ def live_dim_routes(config_topic: TableReader, table: str) -> TableReader:
     return lambda: changes.dim_config(read_captures(config_topic(), [table]))
 
 
+def live_lifecycle(config_topic: TableReader, table: str) -> TableReader:
+    """Which sink tables are present and when they were last emptied, by the captures of the configuration table.
+
+    For ``DimensionTables.rows``: tables are emptied when read, so the answer does not depend on which micro-batch
+    brought the changes.
+    """
+    return lambda: dims.table_lifecycle(changes.config_rows(read_captures(config_topic(), [table]), DIM_ROUTE))
+
+
 def publish_captures(
     captures: DataFrame, root: str, tables: list[str] | None = None, every: str | None = None
 ) -> StreamingQuery:
@@ -106,11 +115,10 @@ def update_dimensions(
     tables = DimensionTables(topic.sparkSession, f"{root}/dims")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        config = routes()
-        routed = changes.route_dims(changes.dim_changes(batch, database), config)
-        routed = changes.prune_columns(routed)
-        tables.write(routed, batch_id, dims.sink_columns(config))
-        write(as_json_rows(routed.select("seq", "sink_table", "row_key", "op_type", "data"), TOPIC_DIM), batch_id)
+        routed = changes.prune_columns(changes.route_dims(changes.dim_changes(batch, database), routes()))
+        tables.write(routed, batch_id)
+        published = routed.select("seq", "sink_table", "row_key", "op_type", "data")
+        write(as_json_rows(published, TOPIC_DIM, F.concat_ws(":", "sink_table", "row_key")), batch_id)
         write_batch_once(changes.unreadable_changes(batch), f"{root}/dead_dims", batch_id)
 
     return run_stream(topic, run, f"{root}/_checkpoints/dims", every=every)
@@ -129,7 +137,7 @@ def publish_comments(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         comments = facts.extract_comments(change_table(batch, watermark=None), database)
-        write(as_json_rows(facts.lookup_comments(comments, dictionary()), TOPIC_COMMENT), batch_id)
+        write(as_json_rows(facts.lookup_comments(comments, dictionary()), TOPIC_COMMENT, F.col("id")), batch_id)
         write_batch_once(changes.unreadable_changes(batch), f"{root}/dead_comments", batch_id)
 
     return run_stream(topic, run, f"{root}/_checkpoints/comments", every=every)

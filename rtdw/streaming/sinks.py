@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dims
 from ..operators.envelope import row_json
-from ..session import path_exists
 from .runner import BatchWriter, read_batches, write_batch_once
 
 TOPIC_ROWS = "seq bigint, value string, topic string"
@@ -28,19 +27,24 @@ def topic_files(path: str, topic: str) -> str:
 
 
 def write_kafka_topics(servers: str) -> BatchWriter:
-    """Topic rows to Kafka. Spark writes to Kafka at least once, so readers drop repeated ``seq`` values."""
+    """Topic rows to Kafka. Spark writes to Kafka at least once, so readers drop repeated ``seq`` values.
+
+    Rows with a ``key`` are published by it: all rows of one key share a partition and keep their order there.
+    """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        rows = batch.select("topic", F.col("seq").cast("string").alias("key"), "value")
+        key = "key" if "key" in batch.columns else "seq"
+        rows = batch.select("topic", F.col(key).cast("string").alias("key"), "value")
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
     return write
 
 
-def as_json_rows(table: DataFrame, topic: str) -> DataFrame:
-    """Table rows as JSON rows of one topic."""
+def as_json_rows(table: DataFrame, topic: str, key: Column | None = None) -> DataFrame:
+    """Table rows as JSON rows of one topic, to be published by ``key``."""
     fields = [c for c in table.columns if c != "seq"]
-    return table.select("seq", F.lit(topic).alias("topic"), row_json(*fields).alias("value"))
+    keys = [] if key is None else [key.alias("key")]
+    return table.select("seq", *keys, F.lit(topic).alias("topic"), row_json(*fields).alias("value"))
 
 
 def write_keyed_topic(path: str, key: str) -> BatchWriter:
@@ -72,31 +76,30 @@ def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 class DimensionTables:
-    """Dimension tables as reduced changes per micro-batch, merged when read.
+    """Dimension tables as reduced changes per micro-batch, one folder per table, merged when read.
 
     A micro-batch writes what its changes leave behind per key (:func:`rtdw.operators.dims.reduce_changes`), so
-    its cost follows the batch and not the table. :meth:`compact` folds all batches so far into one folder.
+    its cost follows the batch and not the table. :meth:`compact` folds all batches so far into one folder. A filter
+    on ``sink_table`` of what is read reaches the folders.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def write(self, changes: DataFrame, batch_id: int, columns: list[str]) -> None:
+    def write(self, changes: DataFrame, batch_id: int, columns: list[str] | None = None) -> None:
         """Apply dimension changes ``seq, sink_table, row_key, op_type, data``."""
         reduced = dims.reduce_changes(changes, columns)
-        write_batch_once(reduced, f"{self.path}/changes", batch_id)
+        write_batch_once(reduced, f"{self.path}/changes", batch_id, ("sink_table",))
 
-    def reduced(self) -> DataFrame | None:
-        """All that is written, merged per key; None while nothing is."""
-        parts = self._parts()
-        return None if parts is None else dims.merge_reduced(parts)
+    def reduced(self) -> DataFrame:
+        """All that is written, merged per key."""
+        return dims.merge_reduced(self._parts(self._last("folded", "upto")))
 
-    def rows(self, merge: str = "column") -> DataFrame:
+    def rows(self, merge: str = "column", lifecycle: DataFrame | None = None) -> DataFrame:
+        """The present rows; of tables that ``lifecycle`` (:func:`dims.table_lifecycle`) has present, if given."""
         reduced = self.reduced()
-        if reduced is None:
-            return self.spark.createDataFrame([], "sink_table string, row_key string, data map<string,string>")
-        return dims.live_rows(reduced, merge)
+        return dims.live_rows(reduced if lifecycle is None else dims.empty_tables(reduced, lifecycle), merge)
 
     def compact(self) -> int | None:
         """Fold the batches written so far; returns the last folded batch, None if there was nothing new."""
@@ -104,12 +107,10 @@ class DimensionTables:
         last = self._last("changes", "batch_id")
         if last is None or last == folded:
             return None
-        self._merged_parts(folded).write.mode("overwrite").parquet(f"{self.path}/folded/upto={last}")
+        merged = dims.merge_reduced(self._parts(folded, last))
+        merged.write.mode("overwrite").partitionBy("sink_table").parquet(f"{self.path}/folded/upto={last}")
         return last
 
-    def _merged_parts(self, folded: int | None) -> DataFrame:
-        return dims.merge_reduced(self._parts(folded))
-
     def _last(self, folder: str, column: str) -> int | None:
         """The highest finished ``column=n`` folder below ``folder``."""
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{column}=*/_SUCCESS")
@@ -117,30 +118,12 @@ class DimensionTables:
         found = file_system.globStatus(hadoop_path) or []
         return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found), default=None)
 
-    def _parts(self, folded: int | None = None) -> DataFrame | None:
-        folded = self._last("folded", "upto") if folded is None else folded
-        parts = []
-        if folded is not None:
-            parts.append(self.spark.read.parquet(f"{self.path}/folded/upto={folded}"))
-        if path_exists(self.spark, f"{self.path}/changes"):
-            # Batches may differ in columns when the configuration changed in between.
-            changes = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/changes")
-            if folded is not None:
-                changes = changes.filter(F.col("batch_id") > folded)
-            parts.append(changes.drop("batch_id"))
-        if not parts:
-            return None
-        return parts[0] if len(parts) == 1 else _union_cells(*parts)
-
-
-def _union_cells(folded: DataFrame, changes: DataFrame) -> DataFrame:
-    """Union of parts whose ``cells`` may have different columns."""
-    names = sorted({*folded.schema["cells"].dataType.names, *changes.schema["cells"].dataType.names})
-
-    def aligned(part: DataFrame) -> DataFrame:
-        own = part.schema["cells"].dataType.names
-        none = F.lit(None).cast("struct<seq: bigint, value: string>")
-        cells = F.struct(*[(F.col("cells")[c] if c in own else none).alias(c) for c in names])
-        return part.select(*dims.KEY, "deleted_at", "last_put", cells.alias("cells"))
-
-    return aligned(folded).unionByName(aligned(changes))
+    def _parts(self, folded: int | None, last: int | None = None) -> DataFrame:
+        """The fold ``folded``, and all batches after it (to ``last``, if given)."""
+        changes = read_batches(self.spark, f"{self.path}/changes", dims.REDUCED)
+        if last is not None:
+            changes = changes.filter(F.col("batch_id") <= last)
+        if folded is None:
+            return changes.drop("batch_id")
+        fold = self.spark.read.schema(dims.REDUCED).parquet(f"{self.path}/folded/upto={folded}")
+        return fold.unionByName(changes.filter(F.col("batch_id") > folded).drop("batch_id"))

@@ -111,9 +111,8 @@ def test_dimension_job_equals_batch(spark, root):
             assert store.compact() == 1 and store.compact() is None
     whole = changes.dim_changes(source(spark, root, streaming=False), "shop")
     routed = changes.prune_columns(changes.route_dims(whole, routes.dim_routes(spark)))
-    columns = dims.sink_columns(routes.dim_routes(spark))
     for merge in ("column", "row"):
-        expected = {r.row_key: r["data"] for r in dims.upsert(routed, columns, merge).collect()}
+        expected = {r.row_key: r["data"] for r in dims.upsert(routed, merge=merge).collect()}
         assert {r.row_key: r["data"] for r in store.rows(merge).collect()} == expected
 
 
