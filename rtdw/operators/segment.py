@@ -13,11 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_BREAK, fold
+from ..session import ship_package
 from .lookup import is_small, lookup
 
 # A dictionary of up to this many words is sent to the executors: at most about 50 MB of short words.
 BROADCAST_WORDS = 500_000
 
+# Places of a run that are offered in one row: bounds a row's words however long the run is.
+CHUNK = 1_000
+
 _HAN = r"\p{IsHan}"
 
 
@@ -76,6 +80,7 @@ def cut_run(run: str, longest_at: Callable[[int], int]) -> list[str]:
 
 def _cutter(entries: DataFrame) -> Callable[[str], Column]:
     """A vectorised function from lists of runs to lists of words; the dictionary travels once per executor."""
+    ship_package(entries.sparkSession)
     known = frozenset(row.word for row in entries.toLocalIterator())
     sizes: dict[str, set[int]] = {}
     for word in known:
@@ -110,14 +115,20 @@ def _cut_by_join(runs: DataFrame, entries: DataFrame) -> DataFrame:
     """``run_id, words`` for distinct runs, with the dictionary as a joined table.
 
     Every place of a run offers its substrings of the dictionary's word sizes; those found in the dictionary come
-    back to the run, whose places and sizes are at most its length times the number of sizes.
+    back to the run, whose places and sizes are at most its length times the number of sizes. A long run makes its
+    offers in pieces, which overlap by the longest word.
     """
+    ship_package(entries.sparkSession)
     sizes = [row.n for row in entries.select(F.length("word").alias("n")).distinct().collect()]
-    lettered = runs.select("run_id", F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)).alias("chars"))
-    # Only the digest is kept beside the offered words: the run itself would be copied for each of them.
-    offered = lettered.select("run_id", F.inline(F.concat(*[_offered_words(size) for size in sizes]))).filter(
-        F.length("word") == F.col("size")
+    starts = F.sequence(F.lit(0), F.length("run") - 1, F.lit(CHUNK))
+    length = CHUNK + max(sizes, default=1) - 1
+    pieces = F.transform(starts, lambda at: F.struct(at.alias("start"), F.substring("run", at + 1, length).alias("piece")))
+    lettered = runs.select("run_id", F.inline(pieces)).select(
+        "run_id", "start", F.regexp_extract_all("piece", F.lit("(?s)."), F.lit(0)).alias("chars")
     )
+    # Only the digest is kept beside the offered words: the run itself would be copied for each of them.
+    words = F.concat(*[_offered_words(size) for size in sizes]) if sizes else _offered_words(1)
+    offered = lettered.select("run_id", F.inline(words)).filter(F.length("word") == F.col("size"))
     known = entries.withColumn("hit", F.lit(True))
     hits = lookup(offered, known, ["word"], "_known", F.struct("run_id", "place")).filter(F.col("_known.hit"))
     by_run = hits.groupBy("run_id").agg(F.collect_list(F.struct("place", "size")).alias("hits"))
@@ -131,12 +142,12 @@ def _cut_by_join(runs: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def _offered_words(size: int) -> Column:
-    """All substrings of one size as ``(place, size, word)``; the last places give shorter ones."""
-    last = F.greatest(F.size("chars") - (size - 1), F.lit(1))
+    """All substrings of one size that begin in a piece as ``(place, size, word)``; the last may be shorter."""
+    last = F.greatest(F.least(F.size("chars") - (size - 1), F.lit(CHUNK)), F.lit(1))
     return F.transform(
         F.sequence(F.lit(1), last),
         lambda place: F.struct(
-            place.alias("place"),
+            (F.col("start") + place).alias("place"),
             F.lit(size).alias("size"),
             F.array_join(F.slice(F.col("chars"), place, size), "").alias("word"),
         ),

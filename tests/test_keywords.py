@@ -97,3 +97,13 @@ def test_segmentation_against_brute_force(spark):
         for row in segment.segment_words(frame, "id", "text", dictionary, max_words=max_words).collect():
             found[row.id].add(row.keyword)
         assert found == {i: brute(t) for i, t in texts.items()}
+
+
+def test_long_runs_are_cut_alike_by_set_and_by_join(spark):
+    letters = [chr(0x4E00 + i) for i in range(5)]
+    words = ["".join(letters[(i * j) % 5] for j in range(1, 2 + i % 4)) for i in range(1, 40)]
+    dictionary = spark.createDataFrame([(w,) for w in words if len(w) > 1], "word string")
+    runs = [(n, "".join(letters[(i * i + i // 7) % 5] for i in range(n))) for n in (1, segment.CHUNK, 2 * segment.CHUNK + 3)]
+    texts = spark.createDataFrame(runs, "k int, t string")
+    by_set, by_join = (segment.segment_words(texts, "k", "t", dictionary, max_words=m) for m in (1000, 0))
+    assert sorted(map(tuple, by_set.collect())) == sorted(map(tuple, by_join.collect()))
