@@ -215,13 +215,13 @@ def links(prints: DataFrame, distance: int, hot: int = 4096) -> DataFrame:
 
 
 def groups(prints: DataFrame, distance: int = 2) -> DataFrame:
-    """For each distinct fingerprint: ``fp`` and ``component_id``, from a table (doc_id, fp)."""
+    """For each distinct fingerprint: ``fp``, its component's ``root`` and ``component_id``, from a table (doc_id, fp)."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp"), distance))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def simhash_table(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -232,11 +232,14 @@ def simhash_table(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataF
 
 
 def simhash_filter(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """One document of each group, with its own columns: that of the least doc_id (without ids, any one text)."""
+    """One document of each group, with its own columns: that of the least doc_id (without ids, any one text).
+
+    Groups are told apart by their root fingerprint, as unlike documents may share a doc_id or have none.
+    """
     key = [F.coalesce("doc_id", F.lit(NO_ID)).alias("_key_"), F.xxhash64("text").alias("_print_")]
     prints = stored(docs.select(*key, "doc_id", fingerprint(docs, shingle).alias("fp")), "simhash")
     group = groups(prints.select(F.col("_key_").alias("doc_id"), "fp"), distance)
     placed = prints.join(group, "fp").where("_key_ = component_id")
-    chosen = placed.groupBy("_key_").agg(F.min("_print_").alias("_print_"))
+    chosen = placed.groupBy("root", "_key_").agg(F.min("_print_").alias("_print_")).drop("root")
     named = docs.withColumns({"_key_": key[0], "_print_": key[1]})
     return named.join(chosen, ["_key_", "_print_"]).dropDuplicates(["_key_", "_print_"]).select(*docs.columns)

@@ -233,6 +233,18 @@ def test_links_reach_all_components(spark, hot):
     assert len(set(zip(mine, label.tolist(), strict=True))) == len(set(mine)) == len(set(label.tolist()))
 
 
+def test_filter_keeps_one_of_each_group(spark):
+    """Unlike documents without an id, or with the same id, are groups of their own."""
+    rng = random.Random(4)
+    unlike = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(9)]
+    ids = [None, None, None, None, 7, 7, 7, 8, 9]
+    rows = [*zip(ids, unlike, strict=True), (None, unlike[0]), (None, unlike[4]), (3, unlike[1]), (7, unlike[8]), (7, unlike[4])]
+    out = simhash.simhash_filter(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in out) == sorted(unlike)
+    kept = {r.text: r.doc_id for r in out}
+    assert [kept[t] for t in unlike] == [None, 3, None, None, 7, 7, 7, 8, 7]
+
+
 # Quality
 
 
