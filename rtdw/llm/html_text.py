@@ -4,9 +4,9 @@ A page is read once into text leaves, each with its tag path from the root (tag
 Leaves of the same path are taken together: characters per leaf and punctuation marks per leaf. Both ratios are laid
 along the page, smoothed by a Gaussian over neighbouring leaves, fused by multiplication and compared with a threshold
 of the page; a path's leaves are content if the path's fused ratio is above it. Parts that are never article text by
-their tag or their name (menus, headers outside the article, forms, notices, comments of readers) get ratio zero;
-leaves that share the innermost container with most of the selected text, such as a title or a short paragraph between
-long ones, are content as well.
+their tag or their name (menus, headers outside the article, forms, notices, comments of readers) get ratio zero.
+Containers only add to the selection: leaves that share the innermost container with most of the selected text, or the
+article around it, such as a title, a lead or a short paragraph between long ones, are content as well.
 
 Defined cases: null and empty html, or html without any content, give an empty text. Unclosed, misnested and
 upper-case tags, missing ends and stray signs are read as far as they go. Repeated rows get equal results.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,6 +45,7 @@ NEVER = frozenset(
     "object video audio menu dialog title figcaption".split()
 )
 CONTAINERS = frozenset("article main section div body td".split())
+ARTICLES = frozenset(("article", "main"))
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr main menu nav ol p pre section table ul".split()
@@ -55,16 +57,16 @@ UNWANTED = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
-#: Elements nested deeper are read as siblings, as browsers do: no text is lost, and a page takes linear time.
+#: Elements nested deeper add nothing to a path: no text is lost, and a page takes linear time.
 DEPTH = 256
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 
 class _Leaf:
-    __slots__ = ("path", "chain", "text", "blocked")
+    __slots__ = ("path", "chain", "articles", "text", "blocked")
 
-    def __init__(self, path, chain, text, blocked):
-        self.path, self.chain, self.text, self.blocked = path, chain, text, blocked
+    def __init__(self, path, chain, articles, text, blocked):
+        self.path, self.chain, self.articles, self.text, self.blocked = path, chain, articles, text, blocked
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -93,6 +95,9 @@ def leaves(page: str) -> list[_Leaf]:
     # Open elements: (tag, label, never text, number); the number tells containers apart.
     stack: list[tuple[str, str, bool, int]] = []
     text: list[str] = []
+    # Open elements beyond the depth, all within the stack's last: (tag, never text), and how many of each tag.
+    deeper: list[tuple[str, bool]] = []
+    held: Counter[str | bool] = Counter()
     number, at, size = 0, 0, len(page)
 
     def end_block() -> None:
@@ -103,7 +108,17 @@ def leaves(page: str) -> list[_Leaf]:
                 blocks = [e for e in stack if e[0] not in INLINE]
                 path = "/".join(e[1] for e in blocks)
                 chain = tuple(e[3] for e in blocks if e[0] in CONTAINERS)
-                out.append(_Leaf(path, chain, joined, any(e[2] for e in stack)))
+                articles = tuple(e[3] for e in blocks if e[0] in ARTICLES)
+                out.append(_Leaf(path, chain, articles, joined, held[True] > 0 or any(e[2] for e in stack)))
+
+    def close_implied(tag: str, borders: set[str] | frozenset[str]) -> None:
+        if deeper and any(held[b] for b in (tag, *borders)):
+            return
+        before = len(stack)
+        _close_until(stack, tag, borders)
+        if len(stack) < before:
+            deeper.clear()
+            held.clear()
 
     while at < size:
         found = TOKEN.match(page, at)
@@ -118,16 +133,26 @@ def leaves(page: str) -> list[_Leaf]:
             continue
         tag = tag.lower()
         if found.group(1):
-            if any(e[0] == tag for e in stack):
-                if tag not in INLINE or any(e[2] and e[0] == tag for e in stack):
+            if held[tag]:
+                if tag not in INLINE or held[True]:
+                    end_block()
+                last = ""
+                while last != tag:
+                    last, blocking = deeper.pop()
+                    held[last] -= 1
+                    held[True] -= blocking
+            elif any(e[0] == tag for e in stack):
+                if tag not in INLINE or held[True] or any(e[2] and e[0] == tag for e in stack):
                     end_block()
                 while stack.pop()[0] != tag:
                     pass
+                deeper.clear()
+                held.clear()
             elif tag == "p":
                 end_block()
             continue
         attributes = _attributes(found.group(3))
-        inside = any(e[0] in ("article", "main") for e in stack)
+        inside = any(held[t] for t in ARTICLES) or any(e[0] in ARTICLES for e in stack)
         never = _unwanted(tag, attributes, inside)
         if tag not in INLINE or never:
             end_block()
@@ -138,10 +163,13 @@ def leaves(page: str) -> list[_Leaf]:
         if tag in VOID or found.group(3).endswith("/") and tag not in CLOSES_P:
             continue
         if tag in CLOSES_P:
-            _close_until(stack, "p", CLOSES_P - {"p"} | {"td", "th", "li", "body"})
+            close_implied("p", CLOSES_P - {"p"} | {"td", "th", "li", "body"})
         elif tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            _close_until(stack, tag, {"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set()))
-        if len(stack) >= DEPTH and not never:
+            close_implied(tag, {"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set()))
+        if len(stack) >= DEPTH:
+            deeper.append((tag, never))
+            held[tag] += 1
+            held[True] += never
             continue
         number += 1
         label = tag + ("." + attributes["class"].split()[0] if attributes.get("class", "").strip() else "")
@@ -194,7 +222,7 @@ def content(page: str | None) -> list[str]:
     mean = sum(fused) / len(fused)
     threshold = min(0.5 * mean, max(ratio.values()))
     chosen = {i for path, own in by_path.items() if ratio[path] >= threshold for i in own}
-    # The innermost container that holds at least nine tenths of the selected characters.
+    # The innermost container that holds at least nine tenths of the selected characters, and the article around it.
     total = sum(len(found[i].text) for i in chosen)
     held: dict[int, int] = {}
     for i in chosen:
@@ -202,7 +230,10 @@ def content(page: str | None) -> list[str]:
             held[c] = held.get(c, 0) + len(found[i].text)
     home = max((c for c, n in held.items() if n >= 0.9 * total), default=None)
     if home is not None:
-        chosen = {i for i, leaf in enumerate(found) if not leaf.blocked and home in leaf.chain}
+        inside = next(found[i] for i in chosen if home in found[i].chain)
+        around = [a for a in inside.articles if a <= home]  # numbers grow inwards
+        home = around[-1] if around else home
+        chosen |= {i for i, leaf in enumerate(found) if not leaf.blocked and home in leaf.chain}
     return [found[i].text for i in sorted(chosen)]
 
 

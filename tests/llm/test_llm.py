@@ -384,6 +384,29 @@ def test_main_text_leaves_boilerplate():
     assert len(html_text.content("<b><div>" * 3000 + "x")) == 1
 
 
+def test_main_text_keeps_the_whole_article():
+    long = [f"Sentence {i}, with words, more of them; and an end. " * 6 for i in range(12)]
+    body = "".join(f"<p>{x}</p>" for x in long)
+    long = [x.strip() for x in long]
+    whole = ["Title", "A lead.", *long]
+    assert html_text.content(f"<body><article><h1>Title</h1><p>A lead.</p><div class='body'>{body}</div></article><p>x</p></body>") == whole
+    sections = f"<article><section>{body}</section><section><h2>Last</h2><p>Short.</p></section></article>"
+    assert html_text.content(f"<body><div>menu</div>{sections}</body>") == [*long, "Last", "Short."]
+
+
+def test_ends_of_deep_elements_close_nothing_else():
+    deep = "<div>" * 300 + "Deep words, and more of them; so it is." + "</div>" * 300
+    for text in ("<b>", "<span>", "<p>"):
+        page = f"<body><div class=sidebar>{deep}Side{text}</div><div class=post><p>Long text, with much to say. And more of it; yes.</p></div></body>"
+        assert html_text.content(page) == ["Long text, with much to say. And more of it; yes."]
+    page = f"<body><article><div>{deep}</div><p>After, with some words.</p></article></body>"
+    assert [(x.text, len(x.articles)) for x in html_text.leaves(page)][1:] == [("After, with some words.", 1)]
+    nested = "<div>" * 300 + "<nav>a<div>b</nav>c</div>" + "</div>" * 299
+    assert [(x.text, x.blocked) for x in html_text.leaves(f"<body>{nested}<nav>d</nav>e</body>")] == [
+        ("a", True), ("b", True), ("c", False), ("d", True), ("e", False)
+    ]
+
+
 # Vectors
 
 
