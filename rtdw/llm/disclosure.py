@@ -2,10 +2,11 @@
 
 Protected entities are e-mail addresses, network addresses, card and phone numbers found by fixed patterns. A word that
 keeps company with an entity carries information about it: their pointwise mutual information, estimated from the
-whole corpus as ``log2(n(c,t) * N / (n(c) * n(t)))`` over documents (t stands within ``CONTEXT`` code points of c in
-n(c,t) of them). Its share of the entity's own information ``log2(N / n(c))`` says how much of the entity the word
-discloses: 1 means that the word alone names it. From ``generalise`` on the word is replaced by a general one, from
-``remove`` on it is removed. Pairs seen together in fewer than ``MIN_SUPPORT`` documents are no evidence.
+whole corpus as ``log2(p(c|t) * N / n(c))`` over documents (t stands within ``CONTEXT`` code points of c in n(c,t) of
+them). Its share of the entity's own information ``log2(N / n(c))`` says how much of the entity the word discloses:
+near 1 the word alone names it. From ``generalise`` on the word is replaced by a general one, from ``remove`` on it is
+removed. There is no least number of documents: ``p(c|t) = (n(c,t) + PRIOR * n(c) / N) / (n(t) + PRIOR)`` is drawn
+towards the entity's own frequency by ``PRIOR`` of a document, the more the rarer the word.
 
 Everything is DataFrame expressions: spans come from :mod:`rtdw.llm.spans`; pairs come from the surroundings of
 entities only, so their number is linear in the text; counts are aggregated before any join. Patterns are possessive
@@ -32,7 +33,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 GENERAL, REMOVED = "[WORD]", ""
 CONTEXT = 48
-MIN_SUPPORT = 3
+PRIOR = 0.5
 TERM = r"\p{L}{4,}+"
 SPANS_TYPE = "array<struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>>"
 
@@ -111,14 +112,16 @@ def occurrences(base: DataFrame) -> DataFrame:
 def disclosing(docs: DataFrame, base: DataFrame, found: DataFrame, generalise: float, text: str = "text") -> DataFrame:
     """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity."""
     pair = ["kind", "entity", "term"]
-    together = found.groupBy(*pair).agg(F.count_distinct("doc_id", "print").alias("n_ct")).where(F.col("n_ct") >= MIN_SUPPORT)
+    document = F.struct("doc_id", "print")  # a struct counts where the doc_id is null, too
+    together = found.groupBy(*pair).agg(F.count_distinct(document).alias("n_ct"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
     alone = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    entities = found.select("kind", "entity", "doc_id", "print").groupBy("kind", "entity").agg(F.count_distinct("doc_id", "print").alias("n_c"))
+    entities = found.groupBy("kind", "entity").agg(F.count_distinct(document).alias("n_c"))
     total = F.lit(float(max(base.count(), 2)))
     scored = together.join(alone, "term").join(entities, ["kind", "entity"])
     own = F.log2(total / F.col("n_c"))
-    mutual = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
+    given = (F.col("n_ct") + PRIOR * F.col("n_c") / total) / (F.col("n_t") + PRIOR)
+    mutual = F.log2(given * total / F.col("n_c"))
     return scored.select(*pair, F.when(own > 0, F.least(mutual / own, F.lit(1.0))).alias("share")).where(F.col("share") >= generalise)
 
 

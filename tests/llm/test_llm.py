@@ -186,6 +186,16 @@ def test_disclosing_words_are_taken_out(spark):
     assert out[10] == texts[10]
 
 
+def test_one_document_is_enough(spark):
+    """An entity of a single document, with or without an id, has words that disclose it."""
+    texts = [f"ordinary words here about today number {i} and write nothing" for i in range(60)]
+    rows = [*enumerate(texts), (100, "ordinary words about zanzibar, boss@firm.com today"), (None, "ordinary words about lemuria, head@firm.com today")]
+    out = {r.doc_id: r.text for r in disclosure.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "zanzibar" not in out[100] and "lemuria" not in out[None]
+    assert all("ordinary words about" in out[i] and "today" in out[i] for i in (100, None))
+    assert [out[i] for i in range(60)] == texts
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = run_dir(spark, "ledger")
     first = spark.createDataFrame([(1, "token=abcdef1"), (2, "token=abcdef1"), (3, None)], "doc_id long, text string")
