@@ -2,15 +2,16 @@
 
 Protected entities are e-mail addresses, network addresses, card and phone numbers found by fixed patterns. A word that
 keeps company with an entity carries information about it: their pointwise mutual information, estimated from the
-whole corpus as ``log2(p(c|t) * N / n(c))`` over documents (t stands within ``CONTEXT`` code points of c in n(c,t) of
-them). Its share of the entity's own information ``log2(N / n(c))`` says how much of the entity the word discloses:
+whole corpus as ``log2(p(c|t) * N / n(c))`` over documents (rows; c and t stand together in n(c,t) of them, however
+far apart). Its share of the entity's own information ``log2(N / n(c))`` says how much of the entity the word discloses:
 near 1 the word alone names it. From ``generalise`` on the word is replaced by a general one, from ``remove`` on it is
-removed. There is no least number of documents: ``p(c|t) = (n(c,t) + PRIOR * n(c) / N) / (n(t) + PRIOR)`` is drawn
+removed, wherever it stands in the documents of that entity. There is no least number of documents: ``p(c|t) = (n(c,t) + PRIOR * n(c) / N) / (n(t) + PRIOR)`` is drawn
 towards the entity's own frequency by ``PRIOR`` of a document, the more the rarer the word.
 
-Everything is DataFrame expressions: spans come from :mod:`rtdw.llm.spans`; pairs come from the surroundings of
-entities only, so their number is linear in the text; counts are aggregated before any join. Patterns are possessive
-and begin at run borders, so they are linear in the text.
+Everything is DataFrame expressions: spans come from :mod:`rtdw.llm.spans`. Documents of words and of entities are
+counted before any join. An entity's documents are joined to their distinct words, but only to words that could reach
+``generalise`` if all of their documents, or all of the entity's, held both: the others, among them all that are common
+in the corpus, cannot disclose it. Patterns are possessive and begin at run borders, so they are linear in the text.
 
 Defined cases: a null or empty text has no spans and stays as it is; repeated rows get equal results. Overlapping spans
 of different kinds are all reported; in sanitised text the earlier span's mark covers what they share.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rtdw.llm.common import stored
 from rtdw.llm.spans import joined, matches
+from rtdw.operators.lookup import join_scattered, lookup
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # What counts as each kind.
@@ -32,10 +34,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 GENERAL, REMOVED = "[WORD]", ""
-CONTEXT = 48
 PRIOR = 0.5
-TERM = r"\p{L}{4,}+"
-SPANS_TYPE = "array<struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>>"
+TERM = r"\p{L}++"
+WORDS_TYPE = "array<struct<start:bigint,end:bigint,term:string>>"
 
 
 def _digits(value: Column) -> Column:
@@ -57,11 +58,11 @@ def _is_phone(value: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """All spans of the four fixed kinds, by start and kind, with their value and surroundings."""
+    """All spans of the four fixed kinds, by start and kind, with their value."""
 
     def kind(number: int, found: Column, good=None) -> Column:
         kept = F.filter(found, lambda m: good(m["value"])) if good else found
-        fields = ("end", "value", "before", "after")
+        fields = ("end", "value")
         return F.transform(
             kept, lambda m: F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), *(m[f].alias(f) for f in fields))
         )
@@ -69,80 +70,90 @@ def base_spans(text: Column) -> Column:
     digit_runs = text.rlike(r"[0-9](?:[\x20-]?[0-9]){11}")
     return F.array_sort(
         F.concat(
-            kind(0, matches(text, EMAIL, text.contains("@"), CONTEXT)),
-            kind(1, matches(text, IP, text.rlike(r"[0-9]\.[0-9]"), CONTEXT), _is_ip),
-            kind(2, matches(text, CARD, digit_runs, CONTEXT), _is_card),
-            kind(3, matches(text, PHONE, text.contains("+"), CONTEXT), _is_phone),
+            kind(0, matches(text, EMAIL, text.contains("@"))),
+            kind(1, matches(text, IP, text.rlike(r"[0-9]\.[0-9]")), _is_ip),
+            kind(2, matches(text, CARD, digit_runs), _is_card),
+            kind(3, matches(text, PHONE, text.contains("+")), _is_phone),
         )
     )
 
 
-def _company(span: Column) -> Column:
-    """The words around a span: start, end (in the text) and the lower-case word; words cut by the window are out."""
-    left = matches(span["before"], TERM)
-    left = F.filter(left, lambda m: (m["start"] > 0) | (F.length(span["before"]) < CONTEXT))
-    at_left = span["start"] - F.length(span["before"])
-    right = matches(span["after"], TERM)
-    right = F.filter(right, lambda m: (m["end"] < F.length(span["after"])) | (F.length(span["after"]) < CONTEXT))
-
-    def word(m: Column, at: Column) -> Column:
-        return F.struct((m["start"] + at).alias("start"), (m["end"] + at).alias("end"), F.lower(m["value"]).alias("term"))
-
-    return F.concat(F.transform(left, lambda m: word(m, at_left)), F.transform(right, lambda m: word(m, span["end"])))
-
-
 def find_base(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, print, base): the text's hash and its fixed spans; stored, so that texts are searched once."""
+    """(row, doc_id, print, base, words, terms), stored, so that texts are searched once.
+
+    ``row`` numbers the rows, ``base`` has the fixed spans, ``terms`` the distinct lower-case words outside of these and
+    ``words``, for texts with a fixed span, the places of all of them.
+    """
+    found = docs.select("doc_id", F.col(text).alias("text"), base_spans(F.col(text)).alias("base"))
+    blank = F.aggregate(
+        "base",
+        F.col("text"),
+        lambda t, s: F.overlay(t, F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int")),
+    )
+    found = found.withColumn("rest", F.when(F.size("base") > 0, blank).otherwise(F.col("text")))
+    places = F.transform(matches(F.col("rest"), TERM), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("term")))
+    terms = F.array_distinct(F.transform(F.regexp_extract_all("rest", F.lit(TERM), F.lit(0)), F.lower))
     return stored(
-        docs.select("doc_id", F.xxhash64(text).alias("print"), base_spans(F.col(text)).alias("base")), "disclosure-base"
+        found.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.xxhash64("text").alias("print"),
+            "base",
+            F.when(F.size("base") > 0, places).otherwise(F.array().cast(WORDS_TYPE)).alias("words"),
+            terms.alias("terms"),
+        ),
+        "disclosure-base",
     )
 
 
-def occurrences(base: DataFrame) -> DataFrame:
-    """Words in the company of entities: (doc_id, print, kind, entity, term, start, end), none within a fixed span."""
-    one = base.where(F.size("base") > 0).select("doc_id", "print", "base", F.explode("base").alias("s"))
-    words = one.select("doc_id", "print", "base", "s", F.explode(_company(F.col("s"))).alias("w"))
-    clear = ~F.exists("base", lambda b: (b["start"] < F.col("w.end")) & (b["end"] > F.col("w.start")))
-    entity = F.when(F.col("s.kind") == 0, F.lower("s.value")).when(F.col("s.kind") == 1, F.col("s.value")).otherwise(_digits(F.col("s.value")))
-    return words.where(clear).select(
-        "doc_id", "print", F.col("s.kind").alias("kind"), entity.alias("entity"), F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end")
-    )
+def share(n_ct: Column, n_c: Column, n_t: Column, total: float) -> Column:
+    """The share of an entity that a word discloses; null if all documents have the entity."""
+    given = (n_ct + F.lit(PRIOR) * n_c / total) / (n_t + PRIOR)
+    own = F.log2(total / n_c)
+    return F.when(own > 0, F.least(F.lit(1.0) + F.log2(given) / own, F.lit(1.0)))
+
 
+def candidates(base: DataFrame, generalise: float, total: float) -> DataFrame:
+    """(row, kind, entity, n_c, term, n_t): all entities of each document with its words that may disclose them."""
+    value = lambda s: F.when(s["kind"] == 0, F.lower(s["value"])).when(s["kind"] == 1, s["value"]).otherwise(_digits(s["value"]))
+    with_base = base.where(F.size("base") > 0)
+    named = F.array_distinct(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), value(s).alias("entity"))))
+    owners = with_base.select("row", F.explode(named).alias("e")).select("row", "e.kind", "e.entity")
+    entities = owners.groupBy("kind", "entity").agg(F.count("*").alias("n_c")).withColumn("_n", F.col("n_c"))
+    owners = lookup(owners, entities, ["kind", "entity"], "c", F.col("row"), "_n").select("row", "kind", "entity", "c.n_c")
+    alone = base.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")).withColumn("_n", F.col("n_t"))
+    words = with_base.select("row", F.explode("terms").alias("term"))
+    words = lookup(words, alone, ["term"], "t", F.col("row"), "_n").select("row", "term", "t.n_t")
+    n_c, n_t = F.col("n_c"), F.col("n_t")
+    return owners.join(words, "row").where(share(F.least(n_c, n_t), n_c, n_t, total) >= generalise)
 
-def disclosing(docs: DataFrame, base: DataFrame, found: DataFrame, generalise: float, text: str = "text") -> DataFrame:
+
+def disclosing(pairs: DataFrame, generalise: float, total: float) -> DataFrame:
     """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity."""
-    pair = ["kind", "entity", "term"]
-    document = F.struct("doc_id", "print")  # a struct counts where the doc_id is null, too
-    together = found.groupBy(*pair).agg(F.count_distinct(document).alias("n_ct"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-    alone = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    entities = found.groupBy("kind", "entity").agg(F.count_distinct(document).alias("n_c"))
-    total = F.lit(float(max(base.count(), 2)))
-    scored = together.join(alone, "term").join(entities, ["kind", "entity"])
-    own = F.log2(total / F.col("n_c"))
-    given = (F.col("n_ct") + PRIOR * F.col("n_c") / total) / (F.col("n_t") + PRIOR)
-    mutual = F.log2(given * total / F.col("n_c"))
-    return scored.select(*pair, F.when(own > 0, F.least(mutual / own, F.lit(1.0))).alias("share")).where(F.col("share") >= generalise)
-
-
-def term_spans(docs: DataFrame, base: DataFrame, generalise: float, text: str = "text") -> DataFrame:
-    """(doc_id, print, terms): the disclosing words' places in each text that has any, with their share."""
-    found = stored(occurrences(base), "disclosure-words")
-    told = disclosing(docs, base, found, generalise, text)
-    hits = found.join(told, ["kind", "entity", "term"]).groupBy("doc_id", "print", "start", "end").agg(F.max("share").alias("share"))
-    return hits.groupBy("doc_id", "print").agg(
-        F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", "share")).alias("terms")
+    counted = pairs.groupBy("kind", "entity", "term", "n_c", "n_t").agg(F.count("*").alias("n_ct"))
+    told = share(F.col("n_ct"), F.col("n_c"), F.col("n_t"), total)
+    return counted.select("kind", "entity", "term", told.alias("share")).where(F.col("share") >= generalise)
+
+
+def term_spans(base: DataFrame, generalise: float) -> DataFrame:
+    """(row, terms): every place of the disclosing words in each text that has any, with their share."""
+    total = float(max(base.count(), 2))
+    pairs = stored(candidates(base, generalise, total), "disclosure-pairs")
+    told = disclosing(pairs, generalise, total)
+    hits = join_scattered(pairs.select("row", "kind", "entity", "term"), told, ["kind", "entity", "term"], F.col("row"))
+    hits = hits.groupBy("row", "term").agg(F.max("share").alias("share"))
+    words = base.where(F.size("words") > 0).select("row", F.explode("words").alias("w")).select("row", "w.term", "w.start", "w.end")
+    return words.join(hits, ["row", "term"]).groupBy("row").agg(
+        F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", "share")).alias("marked")
     )
 
 
 def all_spans(docs: DataFrame, generalise: float = 0.8, text: str = "text") -> DataFrame:
     """(doc_id, print, base, terms) of every row, for the whole corpus."""
     base = find_base(docs, text)
-    terms = term_spans(docs, base, generalise, text)
-    terms = stored(terms.select(F.col("doc_id").alias("_id_"), F.col("print").alias("_print_"), "terms"), "disclosure-terms")
-    return base.join(terms, (F.col("print") == F.col("_print_")) & F.col("doc_id").eqNullSafe(F.col("_id_")), "left").select(
-        "doc_id", "print", "base", F.coalesce("terms", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,share:double>>")).alias("terms")
-    )
+    marked = stored(term_spans(base, generalise), "disclosure-terms")
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,share:double>>")
+    return base.select("row", "doc_id", "print", "base").join(marked, "row", "left").select("doc_id", "print", "base", F.coalesce("marked", none).alias("terms"))
 
 
 def disclosure_table(docs: DataFrame, generalise: float = 0.8) -> DataFrame:

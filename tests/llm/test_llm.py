@@ -196,6 +196,16 @@ def test_one_document_is_enough(spark):
     assert [out[i] for i in range(60)] == texts
 
 
+def test_disclosing_words_go_wherever_they_stand(spark):
+    """Far from the address, before and after it, a second time, short, or next to another number."""
+    filler = "ordinary words here about today and write nothing more of it " * 4
+    texts = [f"{filler} number {i}" for i in range(60)]
+    rows = [*enumerate(texts), (100, f"Zanzibar Bo {filler} boss@firm.com 12 lemuria {filler} bo, zanzibar")]
+    out = {r.doc_id: r.text for r in disclosure.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100].split() == f"[WORD] [WORD] {filler} [EMAIL] 12 [WORD] {filler} [WORD], [WORD]".split()
+    assert [out[i] for i in range(60)] == texts
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = run_dir(spark, "ledger")
     first = spark.createDataFrame([(1, "token=abcdef1"), (2, "token=abcdef1"), (3, None)], "doc_id long, text string")
