@@ -2,7 +2,8 @@
 
 Statistics of each text come from one Arrow-batched pass. From labelled statistics, rules (conjunctions of
 thresholds that name low quality) are grown condition by condition, pruned on documents not used for growing, and put
-in order; documents that a rule covers leave before the next is grown. The list becomes ``CASE WHEN`` over the
+in order; documents that a rule covers leave before the next is grown. A rule that fails is left out, and learning goes on
+without the low quality it was grown for, until no first condition gains more than it takes to name it. The list becomes ``CASE WHEN`` over the
 statistics' columns.
 
 Defined cases: a null text has no words; an empty text has none either; a text without a line feed is one line. A list
@@ -101,51 +102,82 @@ class Rule:
         return out
 
 
-def learn(table: dict[str, np.ndarray], bad: np.ndarray, max_rules: int = 12, precision: float = 0.9) -> list[Rule]:
+def learn(table: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9) -> list[Rule]:
     """Sequential covering. ``table`` has an array per measure, ``bad`` is true for low quality.
 
     Every third document is kept from growing and used to prune; a rule enters the list when at least three pruning
-    documents of low quality, and the stated share of those it covers, agree with it.
+    documents of low quality, and the stated share of those it covers, agree with it, and if that is no chance among the
+    rules refused so far. The low quality that a refused rule was grown for is set aside; the good documents beside it
+    still count against other rules.
     """
     bad = np.asarray(bad, bool)
     grow = np.arange(len(bad)) % 3 != 0
-    left, rules = np.ones(len(bad), bool), []
-    grids = {n: np.unique(np.quantile(v, np.linspace(0, 1, 65))) if len(v) else v for n, v in table.items()}
-    while len(rules) < max_rules and (left & grow & bad).any():
-        rule = _prune(_grow(table, bad, left & grow, grids), table, bad, left & ~grow)
+    left, sought, rules, refused = np.ones(len(bad), bool), bad & grow, [], 0
+    orders = {n: np.argsort(v, kind="stable") for n, v in table.items()}
+    while sought.any():
+        grown = _grow(table, sought, left & grow & (sought | ~bad), orders)
+        if not grown.conditions:
+            break
+        rule = _prune(grown, table, bad, left & ~grow)
         covered = rule.covers(table) & left
         held = covered & ~grow
         hits = (held & bad).sum()
-        if not rule.conditions or hits < 3 or hits < precision * held.sum():
-            break
+        enough = hits >= 3 and hits >= precision * held.sum()
+        if not enough or _evidence(rule, table, bad, left & ~grow) < np.log2(20 * (1 + refused)):
+            sought &= ~grown.covers(table)
+            refused += 1
+            continue
         rules.append(rule := _centred(rule, table, covered & bad))
         left &= ~rule.covers(table)
+        sought &= left
     return rules
 
 
-def _grow(table, bad, rows, grids) -> Rule:
-    """Add the condition of highest information gain until only low quality is covered or nothing gains."""
+def _grow(table, bad, rows, orders) -> Rule:
+    """Add the condition of highest information gain until only low quality is covered or nothing gains.
+
+    Thresholds lie between any two neighbouring values of the rows still covered. The first condition must save more
+    bits than it takes to name it among all that could be taken; pruning judges the others.
+    """
     rule, rows = Rule(()), rows.copy()
-    while (rows & ~bad).any() and len(rule.conditions) < 6:
+    while (rows & ~bad).any():
         p, n = (rows & bad).sum(), (rows & ~bad).sum()
-        best, found = 1e-9, None
-        for name, grid in grids.items():
-            values, good = table[name][rows], ~bad[rows]
-            below = values[:, None] <= grid[None, :]
-            p_below, n_below = (below & ~good[:, None]).sum(0), (below & good[:, None]).sum(0)
+        best, found, choices = 0.0, None, 0
+        for name, order in orders.items():
+            order = order[rows[order]]
+            values, low = table[name][order], np.cumsum(bad[order])
+            cut = np.flatnonzero(values[1:] > values[:-1])
+            if not len(cut):
+                continue
+            choices += 2 * len(cut)
+            p_below, n_below = low[cut], cut + 1 - low[cut]
             for sign, pp, nn in (("<=", p_below, n_below), (">", p - p_below, n - n_below)):
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gain = np.where(pp > 0, pp * (np.log2(pp / (pp + nn)) - np.log2(p / (p + n))), -1.0)
                 at = int(np.argmax(gain))
                 if gain[at] > best:
-                    best, found = gain[at], (name, sign, float(grid[at]))
-        if not found:
+                    below, above = float(values[cut[at]]), float(values[cut[at] + 1])
+                    middle = below + (above - below) / 2.0
+                    best, found = gain[at], (name, sign, middle if middle < above else below)
+        if not found or not rule.conditions and best <= np.log2(choices):
             break
         rule = Rule((*rule.conditions, found))
         rows &= Rule((found,)).covers(table)
     return rule
 
 
+def _evidence(rule: Rule, table, bad, rows) -> float:
+    """Bits against chance: how unlikely the rule's hits are at the best share of its beginnings, or at a half if that is less."""
+    covered = rule.covers(table) & rows
+    share, chance = bad[covered].mean(), 0.0
+    for size in range(len(rule.conditions)):
+        chance = max(chance, bad[Rule(rule.conditions[:size]).covers(table) & rows].mean())
+    chance = min(chance, 0.5)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        bits = share * np.log2(share / chance) + np.nan_to_num((1 - share) * np.log2((1 - share) / (1 - chance)))
+    return float(covered.sum() * bits)
+
+
 def _prune(rule: Rule, table, bad, rows) -> Rule:
     """The shortest beginning of the conditions with the best share of hits among the documents kept apart."""
     best, kept = -1.0, rule

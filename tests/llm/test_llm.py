@@ -303,6 +303,36 @@ def test_thresholds_leave_a_margin():
     assert not rule.covers({"symbols": np.array([0.0, 0.05, 0.15])}).any()
 
 
+def test_covering_finds_rare_kinds():
+    """Separable tails of 0.5, 1 and 1.3 per cent are found, beside a measure whose best rule is too impure."""
+    rng = np.random.default_rng(0)
+    kind = rng.random(30_000)
+    table = {n: rng.random(30_000) for n in ("a", "b", "c", "noise")}
+    bad = np.zeros(30_000, bool)
+    for name, low, high in (("a", 0.0, 0.005), ("b", 0.005, 0.015), ("c", 0.015, 0.028)):
+        own = (kind >= low) & (kind < high)
+        table[name][own] += 2.0
+        bad |= own
+    mixed = (table["noise"] > 0.8) & (rng.random(30_000) < 0.5)
+    rules = decision_list.learn(table, bad | mixed)
+    covered = np.any([r.covers(table) for r in rules], axis=0)
+    assert covered[bad].all()
+    assert not covered[~bad & ~mixed].any()
+
+
+def test_covering_has_no_number_of_rules():
+    rng = np.random.default_rng(1)
+    table = {f"m{i}": rng.random(9000) for i in range(20)}
+    kind = rng.integers(0, 60, 9000)
+    for i in range(20):
+        table[f"m{i}"][kind == i] += 2.0
+    rules = decision_list.learn(table, kind < 20)
+    assert len(rules) == 20
+    covered = np.any([r.covers(table) for r in rules], axis=0)
+    assert covered[kind < 20].all()
+    assert covered[kind >= 20].mean() < 0.005
+
+
 # Tokens
 
 
