@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rtdw.llm import blob_ledger, bpe, decision_list, disclosure, html_text, langid, packing, simhash, toxicity, vectors
+from rtdw.llm import (
+    blob_ledger,
+    bpe,
+    decision_list,
+    disclosure,
+    divergence,
+    html_text,
+    langid,
+    packing,
+    simhash,
+    toxicity,
+    vector_codes,
+    vectors,
+)
+from rtdw.llm.oracles import ORACLES  # noqa: F401
 from rtdw.session import run_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +92,14 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vectors_table(table(spark, sf_dir, "embeddings"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_table(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes_table(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,7 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language,
         op9_main_text,
         op10_vectors,
+        op11_divergence,
+        op12_vector_codes,
     )
 }
-
-ORACLES: dict[str, str] = {}
