@@ -19,6 +19,7 @@ from rtdw.llm import (
     html_text,
     langid,
     packing,
+    repeats,
     simhash,
     toxicity,
     vector_codes,
@@ -100,6 +101,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.codes_table(table(spark, sf_dir, "embeddings"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_vectors,
         op11_divergence,
         op12_vector_codes,
+        op13_repeats,
     )
 }
