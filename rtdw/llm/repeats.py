@@ -9,9 +9,10 @@ marks each string that shares ``size`` bytes with a neighbour in that order, or
 places. The marks go back to all places of the segments, and the union of the marked strings is cut out of each text.
 
 An anchor may be hot: a passage in a third of all documents, in front of as many different neighbours. Where an anchor has
-more than ``HOT`` different segments, these are trimmed before they travel: strings whose hash stands once are cut
-off by an aggregation over hashes, and the trimmed segments, now mostly equal, are taken together again. What is left goes to
-the same sorting, which decides.
+more than ``HOT`` different segments, these are trimmed before they travel: the strings that begin up to ``BAND`` bytes
+apart, counted from the anchor, all hold the same core, and where an aggregation over the cores' hashes finds one once,
+none of its strings repeats. The trimmed segments that are equal are taken together again. What is left goes to the same
+sorting, which decides.
 
 Matches end at texts; a string repeats wherever it starts twice, also within one text or overlapping itself. Texts are
 addressed by their MD5, so copies of a text are worked on once.
@@ -37,6 +38,7 @@ from rtdw.llm.common import ready, stored
 SIZE = 400
 GRAM = 32
 HOT = 1000
+BAND = 32
 SHARD = 4 << 20  # bytes of segments that a shard should have
 PIECE = 1 << 20  # bytes hashed at a time
 TEXT = ["t1", "t2"]
@@ -112,7 +114,7 @@ def _blocks(batch: pd.DataFrame, size: int, piece_bytes: int) -> Iterator[tuple[
 
 
 def segments(docs: DataFrame, size: int = SIZE, gram: int = GRAM, piece_bytes: int = PIECE) -> DataFrame:
-    """t1, t2, start, n, anchor, g1, g2: runs of ``n`` strings with one anchor, its hash and the segment's address."""
+    """t1, t2, start, n, lead, anchor, g1, g2: ``n`` strings with one anchor, how far on it is, its hash, the segment's address."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -131,35 +133,46 @@ def segments(docs: DataFrame, size: int = SIZE, gram: int = GRAM, piece_bytes: i
                 g = np.frombuffer(names, np.int64).reshape(-1, 2)
                 yield pd.DataFrame({
                     "t1": t1[rows[piece]], "t2": t2[rows[piece]], "start": starts - at[piece] + within[piece], "n": stop - starts,
-                    "anchor": hashes[place[starts]], "g1": g[:, 0], "g2": g[:, 1],
+                    "lead": place[starts] - starts, "anchor": hashes[place[starts]], "g1": g[:, 0], "g2": g[:, 1],
                 })
 
-    return docs.select(*TEXT, "text").mapInPandas(run, f"t1 long, t2 long, start long, n long, {STRING}")
+    return docs.select(*TEXT, "text").mapInPandas(run, f"t1 long, t2 long, start long, n long, lead long, {STRING}")
 
 
 def candidates(found: DataFrame) -> DataFrame:
     """The segments whose anchor hash stands more than once."""
     shared = found.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1")
-    return found.join(shared.select("anchor"), "anchor")
+    # Written first: a join of two plain shuffles is one whose hot keys adaptive execution can split.
+    return found.join(stored(shared.select("anchor"), "repeat-anchors"), "anchor")
 
 
 def kinds(found: DataFrame) -> DataFrame:
     """Each different segment once: its number of places, one of them, and how many segments share its anchor hash."""
-    one = found.groupBy(*SEGMENT).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in (*TEXT, "start", "n")])
+    one = found.groupBy(*SEGMENT).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in (*TEXT, "start", "n", "lead")])
     return one.join(one.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor")
 
 
 def with_segments(docs: DataFrame, found: DataFrame, one: DataFrame) -> DataFrame:
     """t1, t2, text and pieces: each text that has candidates once, with the segments that it gives to the shards."""
-    piece = F.struct("start", "n", *SEGMENT, "copies", (F.col("kinds") > HOT).alias("hot"))
+    piece = F.struct("start", "n", "lead", *SEGMENT, "copies", (F.col("kinds") > HOT).alias("hot"))
     given = one.where("kinds > 1").select(*TEXT, piece.alias("piece"))
     given = given.unionByName(found.select(*TEXT).distinct(), allowMissingColumns=True)
     given = given.groupBy(*TEXT).agg(F.collect_list("piece").alias("pieces"))
     return docs.select(*TEXT, "text").dropDuplicates(TEXT).join(given, TEXT)
 
 
+def _bands(data: bytes, n: int, lead: int, size: int) -> list[dict]:
+    """For each band of strings: its number, its strings (first, after) and the hash of the bytes that all of them hold."""
+    out = []
+    for band in range((lead - n + 1) // BAND, lead // BAND + 1):
+        first, after = max(0, lead - band * BAND - BAND + 1), min(n, lead - band * BAND + 1)
+        core = data[lead - band * BAND : max(0, lead - band * BAND - BAND + 1 + size)]
+        out.append({"band": band, "first": first, "after": after, "core": xxhash.xxh3_64_intdigest(core) - 2**63})
+    return out
+
+
 def cut_segments(given: DataFrame, size: int = SIZE) -> DataFrame:
-    """The bytes of the segments that travel; hot ones with the hashes of their strings."""
+    """The bytes of the segments that travel; hot ones with their bands."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -167,35 +180,42 @@ def cut_segments(given: DataFrame, size: int = SIZE) -> DataFrame:
             for text, pieces in zip(batch["text"], batch["pieces"], strict=True):
                 for p in pieces:
                     data = bytes(text[p["start"] : p["start"] + p["n"] + size - 1])
-                    strings = rolling(np.frombuffer(data, np.uint8), size).view(np.int64) if p["hot"] else None
-                    rows.append((p["anchor"], p["g1"], p["g2"], p["copies"], p["n"], p["hot"], data, strings))
+                    bands = _bands(data, p["n"], p["lead"], size) if p["hot"] else None
+                    rows.append((p["anchor"], p["g1"], p["g2"], p["copies"], p["n"], p["hot"], data, bands))
                 if len(rows) > 5000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
             yield pd.DataFrame(rows, columns=names)
 
-    names = [*SEGMENT, "copies", "n", "hot", "bytes", "strings"]
-    return given.where(F.size("pieces") > 0).select("text", "pieces").mapInPandas(run, f"{STRING}, copies long, n long, hot boolean, bytes binary, strings array<long>")
+    names = [*SEGMENT, "copies", "n", "hot", "bytes", "bands"]
+    schema = f"{STRING}, copies long, n long, hot boolean, bytes binary, bands array<struct<band: long, first: long, after: long, core: long>>"
+    return given.where(F.size("pieces") > 0).select("text", "pieces").mapInPandas(run, schema)
 
 
 def trimmed(hot: DataFrame, size: int = SIZE) -> DataFrame:
-    """Hot segments without the strings that stand once: (segment, skipped strings, new segment)."""
-    strings = hot.select(*SEGMENT, "copies", F.posexplode("strings").alias("place", "string"))
-    often = strings.groupBy("anchor", "string").agg(F.sum("copies").alias("times")).where("times > 1")
-    kept = strings.join(often.select("anchor", "string"), ["anchor", "string"])
-    kept = kept.groupBy(*SEGMENT).agg(F.array_sort(F.collect_list("place")).alias("places"))
+    """Hot segments without the bands whose core stands once: (segment, skipped strings, new segment)."""
+    bands = hot.select(*SEGMENT, "copies", F.inline("bands"))
+    often = bands.groupBy("anchor", "band", "core").agg(F.sum("copies").alias("times")).where("times > 1").drop("times")
+    kept = bands.join(often, ["anchor", "band", "core"])
+    kept = kept.groupBy(*SEGMENT).agg(F.array_sort(F.collect_list(F.struct("first", "after"))).alias("kept"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for anchor, g1, g2, copies, data, places in batch.itertuples(index=False):
-                for group in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                    part = bytes(data[group[0] : group[-1] + size])
+            for anchor, g1, g2, copies, data, bands in batch.itertuples(index=False):
+                parts: list[list[int]] = []
+                for band in bands:
+                    if parts and parts[-1][1] == band["first"]:
+                        parts[-1][1] = band["after"]
+                    else:
+                        parts.append([band["first"], band["after"]])
+                for first, after in parts:
+                    part = bytes(data[first : after + size - 1])
                     h = np.frombuffer(xxhash.xxh3_128_digest(part), np.int64)
-                    rows.append((anchor, g1, g2, copies, int(group[0]), len(group), int(h[0]), int(h[1]), part))
+                    rows.append((anchor, g1, g2, copies, first, after - first, int(h[0]), int(h[1]), part))
             yield pd.DataFrame(rows, columns=[*SEGMENT, "copies", "skip", "n", "s1", "s2", "bytes"])
 
-    joined = hot.join(kept, SEGMENT).select(*SEGMENT, "copies", "bytes", "places")
+    joined = hot.join(kept, SEGMENT).select(*SEGMENT, "copies", "bytes", "kept")
     return joined.mapInPandas(run, f"{STRING}, copies long, skip long, n long, s1 long, s2 long, bytes binary")
 
 
