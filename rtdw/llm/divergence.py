@@ -30,7 +30,7 @@ MIN_DOCS = 3
 TOP = 200
 SCALE = 10**9
 #: Counts held per task before they are handed on.
-HELD = 200_000
+HELD = 500_000
 GROUP = ["lang", "source"]
 #: Letters A-Z in lower case, a blank for each other ASCII byte, bytes of longer characters as they are.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -46,12 +46,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
                 n, seen = held.setdefault((lang, source), (Counter(), Counter()))
-                words = Counter(bytes(text).translate(LETTERS).split())
-                words[b""] = 0
+                words = bytes(text).translate(LETTERS).split()
                 size -= len(n)
                 n.update(words)
                 size += len(n)
-                seen.update(words.keys())
+                seen.update(set(words))
                 if size > HELD:
                     yield from _frames(held)
                     held, size = {}, 0
@@ -65,14 +64,16 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 def _frames(held: dict) -> Iterator[pd.DataFrame]:
     for (lang, source), (n, seen) in held.items():
-        terms = list(n)
-        yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": [n[t] for t in terms], "docs": [seen[t] for t in terms]})
+        n[b""] = 0
+        yield pd.DataFrame({"lang": lang, "source": source, "term": list(n), "n": list(n.values()), "docs": [seen[t] for t in n]})
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """``1 + floor(SCALE * (count + 1) / (total + terms))``."""
+    """``1 + floor(SCALE * (count + 1) / (total + terms))``, in decimals where a product leaves 64 bits."""
+    whole = F.call_function("div", (count + 1) * SCALE, total + terms)
     scaled = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)")
-    return F.call_function("div", scaled, (total + terms).cast("decimal(20,0)")) + 1
+    long = F.call_function("div", scaled, (total + terms).cast("decimal(20,0)"))
+    return F.when(count < 9 * SCALE, whole).otherwise(long) + 1
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -97,50 +98,48 @@ class Corpus:
         self.groups = stored(groups.na.fill(0, ["group_n", "v", "lang_n"]), "divergence-groups")
 
 
-def pair_cells(corpus: Corpus) -> DataFrame:
-    """(lang, source, item, n, m, terms): how many kept terms have n occurrences in a source and m in another one."""
+def joint_cells(corpus: Corpus) -> DataFrame:
+    """(lang, source, item, n, m, terms): how many kept terms have n > 0 occurrences in a source and m > 0 in a later one."""
     vector = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("vector")
     vectors = corpus.terms.groupBy("lang", "term").agg(vector).groupBy("lang", "vector").agg(F.count("*").alias("terms"))
     both = vectors.select("lang", "terms", "vector", F.explode("vector").alias("a"))
     both = both.select("lang", "terms", "a", F.explode("vector").alias("b")).where("a.source < b.source")
     sides = ["lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
-    both = both.groupBy(*sides).agg(F.sum("terms").alias("terms"))
-    both = both.unionByName(both.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), F.col("m").alias("n"), F.col("n").alias("m"), "terms"))
+    return both.groupBy(*sides).agg(F.sum("terms").alias("terms"))
 
-    other = corpus.groups.select("lang", F.col("source").alias("item"))
-    pairs = corpus.groups.select("lang", "source", "v").join(other, "lang").where("source <> item")
-    own = corpus.terms.groupBy(*GROUP, "n").agg(F.count("*").alias("terms"))
-    left = pairs.drop("v").join(own, GROUP)
-    right = pairs.drop("v").join(own.withColumnRenamed("source", "item"), ["lang", "item"])
 
+def rank_pairs(corpus: Corpus) -> DataFrame:
+    """Every other source of the language by its divergence, summed over the cells of both counts.
+
+    A joint cell's terms are taken from the cells where one side counts as absent, and these from the cell of both
+    absent, which holds all terms: so only cells that occur are evaluated.
+    """
     zero, key = F.lit(0).cast("long"), ["lang", "source", "item"]
+    groups = corpus.groups.select("lang", "source", "group_n", "v")
+    others = groups.select("lang", F.col("source").alias("item"), F.col("group_n").alias("item_n"))
 
-    def cell(rows: DataFrame, n: Column, m: Column, terms: Column) -> DataFrame:
-        return rows.select(*key, n.alias("n"), m.alias("m"), terms.alias("terms"))
+    def value(n: Column, m: Column, back: bool = False) -> Column:
+        """A cell's divergence of the source from the item, or the other way round."""
+        p, q = share(n, F.col("group_n"), F.col("v")), share(m, F.col("item_n"), F.col("v"))
+        return (divergence(q, p) if back else divergence(p, q)).cast("decimal(20,0)")
 
-    n, m, terms = F.col("n"), F.col("m"), F.col("terms")
-    # A joint cell's terms are taken from the cells where one side counts as absent, and these from both absent.
-    steps = F.array(
-        F.struct(n.alias("n"), m.alias("m"), terms.alias("terms")),
-        F.struct(n.alias("n"), zero.alias("m"), (-terms).alias("terms")),
-        F.struct(zero.alias("n"), m.alias("m"), (-terms).alias("terms")),
-        F.struct(zero.alias("n"), zero.alias("m"), terms.alias("terms")),
-    )
-    cells = both.select(*key, F.explode(steps).alias("s")).select(*key, "s.*")
-    cells = cells.unionByName(cell(left, n, zero, terms)).unionByName(cell(left, zero, zero, -terms))
-    cells = cells.unionByName(cell(right, zero, n, terms)).unionByName(cell(right, zero, zero, -terms))
-    cells = cells.unionByName(cell(pairs, zero, zero, F.col("v")))
-    return cells.groupBy(*key, "n", "m").agg(F.sum("terms").alias("terms")).where("terms <> 0 or (n = 0 and m = 0)")
+    def parts(rows: DataFrame, weight: Column) -> DataFrame:
+        return rows.select(*key, (weight * F.col("terms").cast("decimal(17,0)")).cast("decimal(38,0)").alias("value"))
 
+    n, m = F.col("n"), F.col("m")
+    joint = joint_cells(corpus).join(groups, GROUP).join(others, ["lang", "item"])
+    above, below = (value(n, m, back) - value(n, zero, back) - value(zero, m, back) + value(zero, zero, back) for back in (False, True))
+    turned = parts(joint, below).select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
 
-def rank_pairs(corpus: Corpus) -> DataFrame:
-    """Every other source of the language by its divergence, summed over the cells."""
-    mine = corpus.groups.select(*GROUP, "group_n", "v")
-    theirs = corpus.groups.select("lang", F.col("source").alias("item"), F.col("group_n").alias("item_n"))
-    cells = pair_cells(corpus).join(mine, GROUP).join(theirs, ["lang", "item"])
-    p, q = (share(F.col(c), F.col(n), F.col("v")) for c, n in (("n", "group_n"), ("m", "item_n")))
-    value = F.when(F.col("terms") != 0, divergence(p, q).cast("decimal(19,0)") * F.col("terms").cast("decimal(19,0)"))
-    sums = cells.groupBy(*GROUP, "item").agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("value"))
+    pairs = groups.join(others, "lang").where("source <> item")
+    own = corpus.terms.groupBy(*GROUP, "n").agg(F.count("*").alias("terms"))
+    left = parts(pairs.join(own, GROUP), value(n, zero) - value(zero, zero))
+    right = parts(pairs.join(own.withColumnRenamed("source", "item"), ["lang", "item"]), value(zero, n) - value(zero, zero))
+    # Without kept terms there is nothing to divide by.
+    absent = pairs.select(*key, F.when(F.col("v") > 0, value(zero, zero) * F.col("v")).otherwise(0).cast("decimal(38,0)").alias("value"))
+
+    cells = parts(joint, above).unionByName(turned).unionByName(left).unionByName(right).unionByName(absent)
+    sums = cells.groupBy(*key).agg(F.sum("value").cast("long").alias("value"))
     order = Window.partitionBy(*GROUP).orderBy(F.desc("value"), "item")
     return sums.select(*GROUP, F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
