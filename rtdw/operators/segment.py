@@ -1,4 +1,11 @@
-"""Word segmentation of Chinese text with a dictionary: forward longest match inside runs of Han characters.
+"""Word segmentation of Chinese text with a dictionary, inside runs of Han characters.
+
+The dictionary words of a run are the edges of a lattice over the run's places, with single characters where no word
+begins. Two ways lead through it:
+
+* ``longest``: forward longest match, the longest word at each place from the left;
+* ``smart``: the path of fewest words, among these the one with the longest word first, then the longest second, and so on.
+  It solves overlaps that a greedy cut gets wrong, and needs all words of the run: an Aho-Corasick automaton finds them.
 
 The word breaks are those of the given dictionary; no particular analyzer's output is promised. Runs of other
 letters and digits are words as in :func:`rtdw.functions.text.words`.
@@ -8,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +27,10 @@ from .lookup import is_small, lookup
 # A dictionary of up to this many words is sent to the executors: at most about 50 MB of short words.
 BROADCAST_WORDS = 500_000
 
-# Places of a run that are offered in one row: bounds a row's words however long the run is.
-CHUNK = 1_000
+MODES = ("longest", "smart")
+
+# Places of a run that ask in one batch of rows.
+ASKED = 10_000
 
 _HAN = r"\p{IsHan}"
 
@@ -38,19 +48,22 @@ def segment_words(
     dictionary: DataFrame,
     word: str = "word",
     max_words: int = BROADCAST_WORDS,
+    mode: str = "longest",
 ) -> DataFrame:
     """``key, keyword``: the distinct words of each text.
 
     A dictionary that is counted to be small goes to the executors and the texts are cut where they lie, without
     a shuffle. A larger one is joined with the candidate words of the distinct Han runs.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode {mode} is none of {MODES}")
     entries = han_words(dictionary, word)
     tokens = F.array_distinct(F.array_remove(F.split(_split_scripts(fold(text)), WORD_BREAK), ""))
     tokenised = texts.select(key, tokens.alias("tokens"))
     if is_small(entries, max_words):
         runs = F.filter("tokens", lambda token: token.rlike(f"^{_HAN}"))
         others = F.filter("tokens", lambda token: ~token.rlike(f"^{_HAN}"))
-        cut = _cutter(entries)(runs)
+        cut = _cutter(entries, mode)(runs)
         return tokenised.select(key, F.explode(F.array_union(others, cut)).alias("keyword"))
     single = tokenised.select(key, F.explode("tokens").alias("token"))
     is_run = F.col("token").rlike(f"^{_HAN}")
@@ -58,7 +71,7 @@ def segment_words(
     digest = F.unhex(F.sha2("token", 256)).alias("run_id")
     asked = single.filter(is_run).select(key, digest)
     runs = single.filter(is_run).select(digest, F.col("token").alias("run")).dropDuplicates(["run_id"])
-    cut = lookup(asked, _cut_by_join(runs, entries), ["run_id"], "_cut", F.col(key))
+    cut = lookup(asked, _cut_by_join(runs, entries, mode), ["run_id"], "_cut", F.col(key))
     words = cut.select(key, F.explode("_cut.words").alias("keyword"))
     return single.filter(~is_run).select(key, F.col("token").alias("keyword")).unionByName(words).distinct()
 
@@ -68,95 +81,134 @@ def _split_scripts(text: Column) -> Column:
     return F.regexp_replace(text, f"({_HAN}+)", " $1 ")
 
 
-def cut_run(run: str, longest_at: Callable[[int], int]) -> list[str]:
-    """Cut a run from the left, taking the longest word at each place, else one character."""
+Hits = dict[int, list[int]]
+
+
+def cut_run(run: str, hits: Hits, mode: str) -> list[str]:
+    """The words of a run, given the sizes of the dictionary words that begin at its places."""
     found, at = [], 0
+    size_at = _fewest(run, hits) if mode == "smart" else {place: max(sizes) for place, sizes in hits.items()}
     while at < len(run):
-        size = max(longest_at(at), 1)
+        size = size_at.get(at, 1)
         found.append(run[at : at + size])
         at += size
     return found
 
 
-def _cutter(entries: DataFrame) -> Callable[[str], Column]:
+def _fewest(run: str, hits: Hits) -> dict[int, int]:
+    """From each place the size of the first word on the best path to the run's end.
+
+    From the right, one step per edge: of paths with equally few words the longer first word wins, which puts the
+    longest words first.
+    """
+    words, size_at = [0] * (len(run) + 1), {}
+    for at in range(len(run) - 1, -1, -1):
+        fewest, best = words[at + 1], 1
+        for size in hits.get(at, ()):
+            rest = words[at + size]
+            if rest < fewest or (rest == fewest and size > best):
+                fewest, best = rest, size
+        words[at] = fewest + 1
+        if best > 1:
+            size_at[at] = best
+    return size_at
+
+
+def automaton(words: list[str]) -> ahocorasick.Automaton:
+    """Finds all dictionary words in a text; the values are word lengths."""
+    found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for word in words:
+        found.add_word(word)
+    found.make_automaton()
+    return found
+
+
+def hits_in(run: str, words: ahocorasick.Automaton) -> Hits:
+    hits: Hits = {}
+    for end, size in words.iter(run) if len(words) else ():
+        hits.setdefault(end + 1 - size, []).append(size)
+    return hits
+
+
+def longest_cut(run: str, known: frozenset[str], sizes: dict[str, list[int]]) -> list[str]:
+    """Forward longest match: words are looked up only where one begins, the longest size first."""
+    found, at = [], 0
+    while at < len(run):
+        word = run[at]
+        for size in sizes.get(word, ()):
+            longer = run[at : at + size]
+            if longer in known:
+                word = longer
+                break
+        found.append(word)
+        at += len(word)
+    return found
+
+
+def _cutter(entries: DataFrame, mode: str) -> Callable[[Column], Column]:
     """A vectorised function from lists of runs to lists of words; the dictionary travels once per executor."""
     ship_package(entries.sparkSession)
-    known = frozenset(row.word for row in entries.toLocalIterator())
-    sizes: dict[str, set[int]] = {}
-    for word in known:
-        sizes.setdefault(word[0], set()).add(len(word))
-    longest_first = {first: sorted(found, reverse=True) for first, found in sizes.items()}
-    shared = entries.sparkSession.sparkContext.broadcast((known, longest_first))
+    shared = entries.sparkSession.sparkContext.broadcast([row.word for row in entries.toLocalIterator()])
 
     @F.pandas_udf("array<string>")
     def cut_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, sizes = shared.value
-
-        def cut(runs: list[str]) -> list[str]:
-            return list(dict.fromkeys(word for run in runs for word in cut_run(run, _longest_in(run, known, sizes))))
-
+        cut = _run_cutter(shared.value, mode)
         for lists in batches:
-            yield lists.map(cut, na_action="ignore")
+            yield lists.map(lambda runs: list(dict.fromkeys(word for run in runs for word in cut(run))), na_action="ignore")
 
     return cut_runs
 
 
-def _longest_in(run: str, known: frozenset[str], sizes: dict[str, list[int]]) -> Callable[[int], int]:
-    def longest_at(at: int) -> int:
-        for size in sizes.get(run[at], ()):
-            if run[at : at + size] in known and at + size <= len(run):
-                return size
-        return 0
-
-    return longest_at
+def _run_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
+    if mode == "smart":
+        found = automaton(words)
+        return lambda run: cut_run(run, hits_in(run, found), mode)
+    known, sizes = frozenset(words), {}
+    for first, size in sorted({(word[0], -len(word)) for word in words}):
+        sizes.setdefault(first, []).append(-size)
+    return lambda run: longest_cut(run, known, sizes)
 
 
-def _cut_by_join(runs: DataFrame, entries: DataFrame) -> DataFrame:
+def _cut_by_join(runs: DataFrame, entries: DataFrame, mode: str) -> DataFrame:
     """``run_id, words`` for distinct runs, with the dictionary as a joined table.
 
-    Every place of a run offers its substrings of the dictionary's word sizes; those found in the dictionary come
-    back to the run, whose places and sizes are at most its length times the number of sizes. A long run makes its
-    offers in pieces, which overlap by the longest word.
+    A word is two characters or more: every place of a run asks once, by its two leading characters, with the piece that
+    the longest word could take; the words of the dictionary with these leading characters are compared there. So a run
+    travels as often as it has places that begin a word's first two characters, whatever the sizes of the words.
     """
     ship_package(entries.sparkSession)
-    sizes = [row.n for row in entries.select(F.length("word").alias("n")).distinct().collect()]
-    starts = F.sequence(F.lit(0), F.length("run") - 1, F.lit(CHUNK))
-    length = CHUNK + max(sizes, default=1) - 1
-    pieces = F.transform(starts, lambda at: F.struct(at.alias("start"), F.substring("run", at + 1, length).alias("piece")))
-    lettered = runs.select("run_id", F.inline(pieces)).select(
-        "run_id", "start", F.regexp_extract_all("piece", F.lit("(?s)."), F.lit(0)).alias("chars")
-    )
-    # Only the digest is kept beside the offered words: the run itself would be copied for each of them.
-    words = F.concat(*[_offered_words(size) for size in sizes]) if sizes else _offered_words(1)
-    offered = lettered.select("run_id", F.inline(words)).filter(F.length("word") == F.col("size"))
-    known = entries.withColumn("hit", F.lit(True))
-    hits = lookup(offered, known, ["word"], "_known", F.struct("run_id", "place")).filter(F.col("_known.hit"))
-    by_run = hits.groupBy("run_id").agg(F.collect_list(F.struct("place", "size")).alias("hits"))
+    longest = entries.agg(F.max(F.length("word"))).first()[0] or 2
+    leading = F.substring("word", 1, 2).alias("leading")
+    words = entries.select(leading, "word").groupBy("leading").agg(F.array_sort(F.collect_list("word")).alias("words"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for run_id, run in zip(batch["run_id"], batch["run"], strict=True):
+                for at in range(len(run) - 1):
+                    rows.append((run_id, at, run[at : at + longest], run[at : at + 2]))
+                    if len(rows) >= ASKED:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+    names = ["run_id", "place", "piece", "leading"]
+    # As many tasks as cores: a place makes a row, so few bytes of runs are much work.
+    dealt = runs.repartition(runs.sparkSession.sparkContext.defaultParallelism, "run_id")
+    asked = dealt.mapInPandas(ask, "run_id binary, place int, piece string, leading string")
+    # An inner join of plain shuffles: a dictionary of few bytes is broadcast by its size, hot leading pairs are split.
+    found = asked.join(words, "leading")
+    sizes = F.transform(F.filter("words", lambda word: F.startswith(F.col("piece"), word)), lambda word: F.length(word))
+    hits = found.select("run_id", "place", sizes.alias("sizes")).filter(F.size("sizes") > 0)
+    by_run = hits.groupBy("run_id").agg(F.collect_list(F.struct("place", "sizes")).alias("hits"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [_cut_at(run, hits) for run, hits in zip(batch["run"], batch["hits"])]
+            words = []
+            for run, hits in zip(batch["run"], batch["hits"], strict=True):
+                known = {} if hits is None else {hit["place"]: list(hit["sizes"]) for hit in hits}
+                words.append(list(dict.fromkeys(cut_run(run, known, mode))))
             yield pd.DataFrame({"run_id": batch["run_id"], "words": words})
 
     return runs.join(by_run, "run_id", "left").mapInPandas(cut, "run_id binary, words array<string>")
-
-
-def _offered_words(size: int) -> Column:
-    """All substrings of one size that begin in a piece as ``(place, size, word)``; the last may be shorter."""
-    last = F.greatest(F.least(F.size("chars") - (size - 1), F.lit(CHUNK)), F.lit(1))
-    return F.transform(
-        F.sequence(F.lit(1), last),
-        lambda place: F.struct(
-            (F.col("start") + place).alias("place"),
-            F.lit(size).alias("size"),
-            F.array_join(F.slice(F.col("chars"), place, size), "").alias("word"),
-        ),
-    )
-
-
-def _cut_at(run: str, hits: list[dict] | None) -> list[str]:
-    """The distinct words of a run whose dictionary words are known as (place, size)."""
-    longest: dict[int, int] = {}
-    for hit in () if hits is None else hits:
-        longest[hit["place"] - 1] = max(hit["size"], longest.get(hit["place"] - 1, 0))
-    return list(dict.fromkeys(cut_run(run, lambda at: longest.get(at, 0))))

@@ -520,6 +520,14 @@ def kw_segment_large(spark, sf_dir):
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+@query
+def kw_segment_smart(spark, sf_dir):
+    """As ``kw_segment`` by the lattice path of fewest words."""
+    texts = adapters.han_documents(spark, sf_dir)
+    found = segment.segment_words(texts, "doc_id", "text", adapters.han_dictionary(spark, sf_dir), mode="smart")
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 # Windows ------------------------------------------------------------------------------------------------
 
 

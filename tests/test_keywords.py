@@ -103,7 +103,32 @@ def test_long_runs_are_cut_alike_by_set_and_by_join(spark):
     letters = [chr(0x4E00 + i) for i in range(5)]
     words = ["".join(letters[(i * j) % 5] for j in range(1, 2 + i % 4)) for i in range(1, 40)]
     dictionary = spark.createDataFrame([(w,) for w in words if len(w) > 1], "word string")
-    runs = [(n, "".join(letters[(i * i + i // 7) % 5] for i in range(n))) for n in (1, segment.CHUNK, 2 * segment.CHUNK + 3)]
+    runs = [(n, "".join(letters[(i * i + i // 7) % 5] for i in range(n))) for n in (1, 1_000, 2_003, segment.ASKED + 1)]
     texts = spark.createDataFrame(runs, "k int, t string")
     by_set, by_join = (segment.segment_words(texts, "k", "t", dictionary, max_words=m) for m in (1000, 0))
     assert sorted(map(tuple, by_set.collect())) == sorted(map(tuple, by_join.collect()))
+
+
+def _paths(run, words):
+    """All ways through a run."""
+    if not run:
+        return [[]]
+    return [[run[:n], *rest] for n in range(1, len(run) + 1) if n == 1 or run[:n] in words for rest in _paths(run[n:], words)]
+
+
+def test_smart_mode_takes_fewest_then_longest_words():
+    letters = "\u4e2d\u56fd\u4eba"
+    for number in range(400):
+        run = "".join(letters[(number * (i + 3) + number // (i + 1)) % 3] for i in range(1 + number % 9))
+        words = sorted({run[i : i + 2 + (number + i) % 3] for i in range(len(run)) if (number >> i) & 1 and len(run[i : i + 2]) == 2})
+        best = min(_paths(run, words), key=lambda path: (len(path), [-len(word) for word in path]))
+        assert segment.cut_run(run, segment.hits_in(run, segment.automaton(words)), "smart") == best
+
+
+def test_smart_mode_solves_an_overlap(spark):
+    texts = spark.createDataFrame([(1, "\u4e2d\u56fd\u4eba\u6c11\u5927")], "id int, text string")
+    words = spark.createDataFrame([("\u4e2d\u56fd\u4eba",), ("\u4e2d\u56fd",), ("\u4eba\u6c11\u5927",)], "word string")
+    for max_words in (100, 0):
+        cut = {m: {r.keyword for r in segment.segment_words(texts, "id", "text", words, max_words=max_words, mode=m).collect()} for m in segment.MODES}
+        assert cut["longest"] == {"\u4e2d\u56fd\u4eba", "\u6c11", "\u5927"}
+        assert cut["smart"] == {"\u4e2d\u56fd", "\u4eba\u6c11\u5927"}
