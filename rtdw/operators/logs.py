@@ -103,18 +103,22 @@ def fix_new_visitors(logs: DataFrame, visits: DataFrame | None = None, hot_rows:
     rows = logs.drop("common")
     found = lookup(rows, visits, ["mid"], "_visit", F.col("seq"), count_column="row_count", hot_rows=hot_rows)
     found = found.withColumn("common", object_of(F.col("log"), "common"))
-    stale = (F.col("is_new") == "1") & (F.col("_visit.first_day") != day_of())
+    return clear_flags(found, (F.col("is_new") == "1") & (F.col("_visit.first_day") != day_of())).drop("_visit")
+
+
+def clear_flags(logs: DataFrame, stale: Column) -> DataFrame:
+    """Parsed logs with the new-visitor flag cleared where ``stale`` holds, in the record too."""
     others = F.map_filter("common", lambda key, _v: key != "is_new")
     corrected = F.map_concat(others, F.create_map(F.lit("is_new"), text_variant(F.lit("0"))))
     rest = F.map_filter("log", lambda key, _v: key != "common")
     rewritten = F.map_concat(rest, F.create_map(F.lit("common"), F.to_variant_object(corrected)))
-    return found.withColumns(
+    return logs.withColumns(
         {
             "log": F.when(stale, rewritten).otherwise(F.col("log")),
             "common": F.when(stale, corrected).otherwise(F.col("common")),
             "is_new": F.when(stale, F.lit("0")).otherwise(F.col("is_new")),
         }
-    ).drop("_visit")
+    )
 
 
 def _merged(element: Column, with_ts: bool) -> Column:

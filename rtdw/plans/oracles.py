@@ -214,8 +214,7 @@ ORACLES = {
       SELECT o_custkey AS key, o_orderkey || ':' || o_orderpriority AS value, o_orderstatus AS status,
              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS place FROM orders)
     WHERE place = 1 AND status <> 'P'""",
-    "q_window_sink": _with(_EVENTS)
-    + _keyword_windows("5 SECOND", closed=_CLOSED.format("5 SECOND", "search")),
+    "q_window_sink": _with(_EVENTS) + _keyword_windows("5 SECOND"),
     "q_dim_upsert": _with(_CHANGES, _users()) + """
     SELECT 'column' AS merge, 'dim_user_info' AS sink_table, id AS row_key, name, login_name,
            CASE WHEN name IS NULL THEN 'create_time,id,login_name,user_level'
@@ -322,6 +321,8 @@ ORACLES = {
         "on_time AS (SELECT * FROM word WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-12')",
     )
     + _keyword_windows("1 HOUR", "on_time", _CLOSED.format("1 HOUR", "search")),
+    "q_visitor_stream": _with(_EVENTS, _VISITS.replace("ORDER BY ms", "ORDER BY seq % 3, ms"))
+    + "SELECT seq, mid, is_new FROM fixed",
     "q_restart": _with(_EVENTS, _VISITS) + _FAN_OUT,
     "q_time_funcs": """
     SELECT id, kind, ms, strftime(tm, '%Y-%m-%d') AS day, strftime(tm, '%Y-%m-%d %H:%M:%S') AS date_time,
@@ -335,5 +336,6 @@ ORACLES = {
 # The same rows by another way.
 ORACLES["q_dim_upsert_partitions"] = ORACLES["q_dim_upsert"]
 ORACLES["q_dim_enrich_tables"] = ORACLES["q_dim_enrich"]
+ORACLES["q_traffic_job"] = ORACLES["q_traffic_window"]
 ORACLES["q_comment_job"] = ORACLES["q_comment_lookup"]
 ORACLES["q_ods_job"] = ORACLES["q_debezium_normalize"]

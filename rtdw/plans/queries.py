@@ -13,8 +13,8 @@ from ..functions.json import long_of, parse_once, text_of
 from ..operators import changes, dims, envelope, facts, keywords, logs, segment, traffic
 from ..session import run_dir
 from ..sources import changelog, routes, tables, topics
-from ..sources.schemas import CHANGE, TOPIC_COMMENT, TOPIC_DB
-from ..streaming import jobs, sinks
+from ..sources.schemas import CHANGE, TOPIC_COMMENT, TOPIC_DB, TOPIC_PAGE, TRAFFIC_WINDOW
+from ..streaming import jobs, sinks, visitors
 from ..streaming.runner import finish, run_file_sink
 from . import adapters
 from .adapters import DATABASE
@@ -208,9 +208,10 @@ def upsert_latest(spark, sf_dir):
 
 @query
 def window_sink(spark, sf_dir):
-    """Keyword windows as a streaming job into the report table, read back."""
+    """Keyword windows as a streaming job into the report table, read back; a closing row ends the last windows."""
     root = run_dir(spark, "window-sink")
-    adapters.log_topic(spark, sf_dir).select("seq", "value").write.parquet(f"{root}/in")
+    topic = adapters.log_topic(spark, sf_dir).select("seq", "value")
+    topic.unionByName(topics.closing_row(topic)).write.parquet(f"{root}/in")
     finish(jobs.count_keywords(topics.read_topic(spark, path=f"{root}/in"), root))
     return sinks.read_report(
         spark, f"{root}/keyword_windows", "stt string, edt string, cur_date string, keyword string, keyword_count bigint"
@@ -611,6 +612,41 @@ def restart(spark, sf_dir):
     return _topic_fields(spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics"))
 
 
+@query
+def visitor_stream(spark, sf_dir):
+    """New-visitor flags by keyed state, the job stopped and resumed between three parts that mix all times."""
+    root = run_dir(spark, "visitor-stream")
+    topic = adapters.log_topic(spark, sf_dir)
+    for number in range(3):
+        _write_phase(topic, root, number, F.col("seq") % 3 == number)
+        rows = visitors.fixed_logs(topics.read_topic(spark, path=f"{root}/in/phase=*")).select("seq", "mid", "is_new")
+        finish(run_file_sink(rows, f"{root}/flags", f"{root}/_checkpoints/flags"))
+    return spark.read.parquet(f"{root}/flags")
+
+
+@query
+def traffic_job(spark, sf_dir):
+    """The traffic job stopped and resumed between three parts: visitors' days, sessions and windows are kept as state."""
+    root = run_dir(spark, "traffic-job")
+    fixed = logs.fan_out(logs.fix_new_visitors(_parsed(spark, sf_dir))).filter(F.col("topic") == TOPIC_PAGE)
+    times_of = adapters.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").alias("at"))
+    pages, at = stored_topic(fixed.select("seq", "value"), root).join(times_of, "seq"), F.col("at")
+    phases = [at < "2024-01-10", (at >= "2024-01-10") & (at < "2024-01-20"), at >= "2024-01-20"]
+    for number, condition in enumerate(phases):
+        _write_phase(pages, root, number, condition)
+        if number == 2:
+            topics.closing_row(pages).write.parquet(f"{root}/in/phase=closing")
+        finish(jobs.sum_traffic(topics.read_topic(spark, path=f"{root}/in/phase=*"), root))
+    report = ", ".join(f"{c} {'bigint' if c.endswith(('_ct', '_sum')) else 'string'}" for c in TRAFFIC_WINDOW)
+    return sinks.read_report(spark, f"{root}/traffic_windows", report)
+
+
+def stored_topic(rows: DataFrame, root: str) -> DataFrame:
+    """Topic rows written down once, so that each part is taken from them and not computed anew."""
+    rows.write.parquet(f"{root}/pages")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/pages")
+
+
 # Functions ----------------------------------------------------------------------------------------------
 
 

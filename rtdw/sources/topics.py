@@ -80,3 +80,16 @@ def page_table(topic: DataFrame, watermark: str | None = "5 seconds") -> DataFra
     """Page log with event time ``et`` (from milliseconds)."""
     table = typed(topic, PAGE_LOG).withColumn("et", ms_to_timestamp("ts"))
     return table.withWatermark("et", watermark) if watermark else table
+
+
+def closing_row(topic: DataFrame, after_ms: int = 24 * 60 * 60 * 1000) -> DataFrame:
+    """One log so far behind all others of a finished topic that the windows of these close.
+
+    It is a page view of nobody, with a search, ``after_ms`` behind the latest time: published last, it moves the watermark,
+    and its own window never closes. What comes after it with earlier times is late.
+    """
+    ts = F.coalesce(F.max(F.try_variant_get(F.try_parse_json("value"), "$.ts", "bigint")), F.lit(0)) + after_ms
+    last = topic.agg((F.coalesce(F.max("seq"), F.lit(-1)) + 1).cast("bigint").alias("seq"), ts.alias("ts"))
+    common = F.struct(F.lit("-").alias("mid"), F.lit("0").alias("is_new"))
+    page = F.struct(F.lit("search").alias("last_page_id"), F.lit("keyword").alias("item_type"), F.lit("end").alias("item"))
+    return last.select("seq", F.to_json(F.struct(common.alias("common"), page.alias("page"), "ts")).alias("value"))

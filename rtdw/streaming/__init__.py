@@ -1 +1 @@
-"""Structured Streaming: the runner, idempotent sinks, first-seen stores and the warehouse's jobs."""
+"""Structured Streaming: the runner, idempotent sinks, keyed state of visitors and the warehouse's jobs."""

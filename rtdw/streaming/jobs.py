@@ -13,13 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import ms_to_timestamp
 from ..operators import changes, dims, envelope, facts, keywords, logs, traffic
-from ..operators.lookup import HOT_ROWS
 from ..sources.changelog import read_captures
 from ..sources.schemas import DIM_ROUTE, TOPIC_COMMENT, TOPIC_DB, TOPIC_DIM
 from ..sources.topics import change_table, page_table
-from .first_seen import FirstSeen, earliest
+from . import visitors
 from .runner import BatchWriter, run_file_sink, run_stream, write_batch_once
 from .sinks import DimensionTables, as_json_rows, write_report, write_topics
 
@@ -58,29 +56,27 @@ def split_logs(
     topic: DataFrame,
     root: str,
     every: str | None = None,
-    hot_rows: int = HOT_ROWS,
     sink: BatchWriter | None = None,
 ) -> StreamingQuery:
     """Correct the new-visitor flag and fan the logs out into their topics below ``root/topics``.
 
-    The first days are kept in ``root/visits`` for ever. As with any arrival-ordered state, the first record is the
-    earliest of the first micro-batch that has the visitor. Rows that cannot be read go to ``root/dead``.
+    The first days are keyed state of the stream, kept for ever in its checkpoint. As with any arrival-ordered state, the
+    first record is the earliest of the first micro-batch that has the visitor. Rows that cannot be read go to ``root/dead``.
     """
-    visits = FirstSeen(topic.sparkSession, f"{root}/visits", "mid string", "first_day date")
     write = sink or write_topics(f"{root}/topics")
+    none = F.lit(None).cast("string")
+    rows = logs.fan_out(visitors.fixed_logs(topic)).select("seq", "topic", "value", none.alias("reason"))
+    dead = logs.dead_letters(topic).select("seq", none.alias("topic"), "value", "reason")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = logs.parse_logs(batch)
-        counted = logs.first_visits(parsed).persist()
+        batch = batch.persist()  # two writes of one pass over the state
         try:
-            visits.claim(counted, batch_id)
-            known = counted.select("mid", "row_count").join(visits.upto(batch_id), "mid")
-            write(logs.fan_out(logs.fix_new_visitors(parsed, known, hot_rows)), batch_id)
-            write_batch_once(logs.dead_letters(batch), f"{root}/dead", batch_id)
+            write(batch.filter("reason is null").drop("reason"), batch_id)
+            write_batch_once(batch.filter("reason is not null").drop("topic"), f"{root}/dead", batch_id)
         finally:
-            counted.unpersist()
+            batch.unpersist()
 
-    return run_stream(topic, run, f"{root}/_checkpoints/logs", every=every)
+    return run_stream(rows.unionByName(dead), run, f"{root}/_checkpoints/logs", every=every)
 
 
 def route_facts(
@@ -153,44 +149,16 @@ def count_keywords(
     )
 
 
-def flag_page_views(page_topic: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
-    """Page views with the flags for a visitor's first of the day and a session's first, in ``root/views``."""
-    spark = page_topic.sparkSession
-    days = FirstSeen(spark, f"{root}/seen_days", "mid string, day date", "seq bigint")
-    sessions = FirstSeen(spark, f"{root}/seen_sessions", "sid string", "seq bigint")
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        pages = traffic.parse_pages(logs.parse_logs(batch))
-        seq = {"seq": F.col("seq")}
-        days.claim(earliest(pages.withColumn("day", logs.day_of()), ["mid", "day"], seq), batch_id)
-        sessions.claim(earliest(pages.filter(F.col("sid").isNotNull()), ["sid"], seq), batch_id)
-        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        openers = (
-            days.claimed_in(batch_id)
-            .select("seq", one.alias("uv"), none.alias("sv"))
-            .unionByName(sessions.claimed_in(batch_id).select("seq", none.alias("uv"), one.alias("sv")))
-            .groupBy("seq")
-            .agg(F.max("uv").alias("uv"), F.max("sv").alias("sv"))
-        )
-        write_batch_once(traffic.flag_visits(pages, openers), f"{root}/views", batch_id)
-
-    return run_stream(page_topic, run, f"{root}/_checkpoints/views", every=every)
-
-
-VIEWS = (
-    "seq bigint, ts bigint, mid string, sid string, vc string, ch string, ar string, is_new string, dur bigint, "
-    "uv bigint, sv bigint"
-)
-
-
 def sum_traffic(
-    spark: SparkSession, root: str, size: str = "5 seconds", delay: str = "5 seconds", every: str | None = None
+    page_topic: DataFrame, root: str, size: str = "5 seconds", delay: str = "5 seconds", every: str | None = None
 ) -> StreamingQuery:
-    """Traffic measures per window from the flagged views into the report ``root/traffic_windows``."""
-    views = spark.readStream.schema(VIEWS).parquet(f"{root}/views/batch_id=*")
-    timed = views.withColumn("et", ms_to_timestamp("ts")).withWatermark("et", delay)
+    """Traffic measures per window of the page topic into the report ``root/traffic_windows``, each window once it is closed.
+
+    One query: a state step per visitor and day, one per session, and the windows behind them, all by event time.
+    """
+    views = visitors.flagged_views(traffic.parse_pages(logs.parse_logs(page_topic)), delay)
     return run_stream(
-        traffic.traffic_windows(timed, size),
+        traffic.traffic_windows(views, size),
         write_report(f"{root}/traffic_windows"),
         f"{root}/_checkpoints/traffic_windows",
         every=every,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dims
 from ..operators.envelope import row_json
+from ..session import shared_dir
 from .runner import BatchWriter, read_batches, write_batch_once
 
 TOPIC_ROWS = "seq bigint, value string, topic string"
@@ -63,16 +66,42 @@ def read_keyed_topic(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_report(path: str) -> BatchWriter:
-    """Report rows to a table partitioned by ``cur_date``, one folder per batch, so a repeat adds nothing."""
+    """Report rows to a table with one folder per ``cur_date``, and in it one per micro-batch that added to the day.
+
+    Only the folders that a batch writes are overwritten: handed again, it puts the same rows in the same places.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch_once(batch, path, batch_id, ("cur_date",))
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("cur_date", "batch_id").parquet(path)
 
     return write
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return read_batches(spark, path, schema).drop("batch_id")
+    """The report's rows, in the order of columns of ``schema``; a filter on ``cur_date`` lists that day's folder only."""
+    table = read_batches(spark, path, schema)
+    return table.select(*[c.split()[0] for c in schema.split(", ")])
+
+
+def compact_report(spark: SparkSession, path: str, cur_date: str, schema: str) -> None:
+    """Fold a day into one folder, once a micro-batch after the day's last one is committed.
+
+    The folded rows are written down first, and the folders of the micro-batches are emptied after the fold is in place;
+    a fold that stops half way leaves rows twice and is finished by folding again.
+    """
+    day = read_batches(spark, path, schema).filter(F.col("cur_date") == cur_date)
+    batches = [row.batch_id for row in day.select("batch_id").distinct().toLocalIterator()]
+    if not batches:
+        return
+    folded = f"{shared_dir(spark)}/folded-{uuid.uuid4().hex[:12]}"
+    day.drop("cur_date", "batch_id").distinct().coalesce(1).write.parquet(folded)
+    kept = spark.read.parquet(folded)
+    kept.write.mode("overwrite").parquet(f"{path}/cur_date={cur_date}/batch_id=-1")
+    for batch_id in batches:
+        if batch_id >= 0:
+            kept.limit(0).write.mode("overwrite").parquet(f"{path}/cur_date={cur_date}/batch_id={batch_id}")
 
 
 class DimensionTables:

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from rtdw.operators import changes, dims, keywords, logs, traffic
 from rtdw.session import run_dir, shared_dir
 from rtdw.sources import routes, schemas, tables, topics
-from rtdw.streaming import jobs, runner, sinks
-from rtdw.streaming.first_seen import FirstSeen
+from rtdw.streaming import jobs, runner, sinks, visitors
 
 DAY = 24 * 60 * 60 * 1000
 
@@ -45,7 +44,7 @@ def rows_of(df):
 def test_log_job_equals_batch(spark, root):
     for number, part in enumerate(PARTS):
         put(spark, root, number, part)
-        runner.finish(jobs.split_logs(source(spark, root), root, hot_rows=3))
+        runner.finish(jobs.split_logs(source(spark, root), root))
     # Nothing new: the job starts, finds nothing and stops.
     runner.finish(jobs.split_logs(source(spark, root), root))
     streamed = spark.read.schema(sinks.TOPIC_ROWS).parquet(f"{root}/topics").select("seq", "topic", "value")
@@ -57,24 +56,63 @@ def test_log_job_equals_batch(spark, root):
     assert one.count() == 60
 
 
-def test_traffic_jobs_equal_batch(spark, root):
+TRAFFIC = (
+    "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, "
+    "uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
+)
+
+
+def test_traffic_job_equals_batch(spark, root):
     for number, part in enumerate(PARTS):
         put(spark, root, number, part)
+        if number == 2:
+            whole = source(spark, root, streaming=False)
+            topics.closing_row(whole).coalesce(1).write.parquet(f"{root}/in/part=closing")
         runner.finish(jobs.split_logs(source(spark, root), root))
         pages = topics.read_topic(spark, path=sinks.topic_files(f"{root}/topics", schemas.TOPIC_PAGE))
-        runner.finish(jobs.flag_page_views(pages, root))
-        runner.finish(jobs.sum_traffic(spark, root))
-    report = sinks.read_report(
-        spark, f"{root}/traffic_windows",
-        "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, "
-        "uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint",
-    )
-    parsed = logs.parse_logs(source(spark, root, streaming=False))
-    views = traffic.parse_pages(logs.fix_new_visitors(parsed))
-    last = views.agg(F.max("ts")).first()[0]
-    batch = traffic.traffic_report(views).filter(F.unix_millis(F.to_timestamp("edt")) <= last - 5000)
+        runner.finish(jobs.sum_traffic(pages, root))
+    report = sinks.read_report(spark, f"{root}/traffic_windows", TRAFFIC)
+    views = traffic.parse_pages(logs.fix_new_visitors(logs.parse_logs(whole)))
     assert report.count() >= 20
-    assert rows_of(report.select(*schemas.TRAFFIC_WINDOW)) == rows_of(batch)
+    assert rows_of(report.select(*schemas.TRAFFIC_WINDOW)) == rows_of(traffic.traffic_report(views))
+
+
+def test_sessions_are_forgotten(spark, root):
+    """A session counts again once it had no view for the time that it is kept."""
+    for number, (day, sid) in enumerate([(1, "s"), (2, "s"), (2, "s"), (9, "t"), (9, "s")]):
+        common = {"mid": "m", "is_new": "0", "sid": sid}
+        put(spark, root, number, [(number, {"common": common, "ts": day * DAY + number, "page": {}})])
+        pages = traffic.parse_pages(logs.parse_logs(source(spark, root)))
+        views = visitors.flagged_views(pages, "1 second", session_kept_ms=3 * DAY).select("seq", "uv", "sv")
+        runner.finish(runner.run_file_sink(views, f"{root}/views", f"{root}/_checkpoints/views"))
+    # The other session's view moves the watermark past the first one's time.
+    assert rows_of(spark.read.parquet(f"{root}/views")) == [(0, 1, 1), (1, 1, 0), (2, 0, 0), (3, 1, 1), (4, 0, 1)]
+
+
+def test_visitor_state_follows_the_rules(spark, root):
+    """The first record of the first micro-batch settles a visitor's day, whatever earlier times come later."""
+    record = lambda day, is_new: {"common": {"mid": "m", "is_new": is_new}, "ts": day * DAY}
+    parts = [[(1, record(5, "1")), (0, record(6, "1"))], [(2, record(4, "1")), (3, record(5, "1"))], [(4, record(5, "0"))]]
+    for number, part in enumerate(parts):
+        put(spark, root, number, part)
+        rows = visitors.fixed_logs(source(spark, root)).select("seq", "is_new")
+        runner.finish(runner.run_file_sink(rows, f"{root}/flags", f"{root}/_checkpoints/flags"))
+    assert rows_of(spark.read.parquet(f"{root}/flags")) == [(0, "0"), (1, "1"), (2, "0"), (3, "1"), (4, "0")]
+
+
+def test_report_repeats_and_folds(spark, root):
+    schema = "cur_date string, n bigint"
+    write = sinks.write_report(root)
+    frames = [spark.createDataFrame(rows, schema) for rows in ([("d1", 1), ("d2", 2)], [("d1", 3)], [("d2", 4)])]
+    for number, frame in enumerate(frames):
+        write(frame, number)
+    write(frames[1], 1)
+    everything = [("d1", 1), ("d1", 3), ("d2", 2), ("d2", 4)]
+    assert rows_of(sinks.read_report(spark, root, schema)) == everything
+    sinks.compact_report(spark, root, "d1", schema)
+    sinks.compact_report(spark, root, "d1", schema)
+    sinks.compact_report(spark, root, "none", schema)
+    assert rows_of(sinks.read_report(spark, root, schema)) == everything
 
 
 def test_keyword_job_equals_batch_on_closed_windows(spark, root):
@@ -207,19 +245,6 @@ def test_a_repeated_batch_changes_nothing(spark, root):
     assert [r.seq for r in spark.read.parquet(root).collect()] == [1]
 
 
-def test_first_seen(spark, root):
-    store = FirstSeen(spark, f"{root}/seen", "k string", "v bigint")
-    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, v bigint")
-    store.claim(frame(("a", 1), ("b", 2)), 0)
-    store.claim(frame(("a", 5), ("c", 3)), 1)
-    store.claim(frame(("a", 5), ("c", 9)), 1)
-    assert rows_of(store.upto(0)) == [("a", 1), ("b", 2)]
-    assert rows_of(store.upto(1)) == [("a", 1), ("b", 2), ("c", 3)]
-    assert rows_of(store.claimed_in(1)) == [("c", 3)]
-    store.compact(1, f"{root}/compacted")
-    assert rows_of(FirstSeen(spark, f"{root}/compacted", "k string", "v bigint").upto(1)) == rows_of(store.upto(1))
-
-
 def test_keyed_topic(spark, root):
     write = sinks.write_keyed_topic(f"{root}/keyed", "k")
     schema = "k string, value string, seq bigint"
