@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rtdw.llm.bpe import LibraryBpe, Vocabulary
 from rtdw.llm.common import ready
@@ -119,7 +120,7 @@ class _Packer:
     def take(self, with_ids: bool) -> pd.DataFrame:
         rows, self.rows = self.rows, []
         frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES_TYPE.split(", ")])
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
+        frame["doc_id"] = pd.array(frame["doc_id"].tolist(), "Int64")
         return frame if with_ids else frame.drop(columns="ids")
 
 
@@ -131,9 +132,8 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
         packer = _Packer(TaskContext.get().partitionId() << 36, group_tokens)
         end = np.uint32(END_ID).tobytes()
         for batch in batches:
-            missing = batch["doc_id"].isna().tolist()
-            for doc_id, absent, text in zip(batch["doc_id"], missing, batch["text"], strict=True):
-                packer.add(None if absent else int(doc_id), bpe.encode(text) + end)
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                packer.add(None if doc_id is None else int(doc_id), bpe.encode(text) + end)
                 if len(packer.rows) > 5000:
                     yield packer.take(with_ids)
         packer.flush()
@@ -141,4 +141,5 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
 
     ready(docs.sparkSession)
     schema = PIECES_TYPE if with_ids else PIECES_TYPE.removesuffix(", ids binary")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    # As text, so that no id becomes a float beside a null.
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)

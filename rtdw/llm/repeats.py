@@ -39,7 +39,7 @@ SIZE = 400
 GRAM = 32
 HOT = 1000
 BAND = 32
-SHARD = 4 << 20  # bytes of segments that a shard should have
+SHARD = 3 << 20  # bytes of segments that a shard should have
 PIECE = 1 << 20  # bytes hashed at a time
 TEXT = ["t1", "t2"]
 SEGMENT = ["anchor", "g1", "g2"]

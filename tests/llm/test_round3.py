@@ -5,11 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rtdw.llm import divergence, induced, repeats, vector_codes
+from rtdw.llm import bpe, divergence, induced, packing, repeats, vector_codes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, term string, anchor string, rank int, t1 string"
 PAIR, TERM = "pair", "term"
@@ -188,3 +189,10 @@ def test_repeats(spark, monkeypatch, hot, shard, budget, piece):
     assert repeats.repeats_table(docs_of(spark, [])).count() == 0
     spans = {r.t1: r for r in repeats.repeats(repeats.texts(docs_of(spark, rows)), 40, gram=8).collect()}
     assert any(len(r.kept) for r in spans.values()) and all(s.begin < s.end for r in spans.values() for s in r.spans)
+
+
+def test_packing_keeps_large_ids_beside_nulls(spark):
+    ids = [2**60 + 1, None, 7, -(2**62) - 1]
+    docs = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string").coalesce(1)
+    pieces = packing.pack(docs, bpe.Vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))).collect()
+    assert {p.doc_id for p in pieces} == set(ids)
