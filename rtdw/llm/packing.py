@@ -120,7 +120,6 @@ class _Packer:
     def take(self, with_ids: bool) -> pd.DataFrame:
         rows, self.rows = self.rows, []
         frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES_TYPE.split(", ")])
-        frame["doc_id"] = pd.array(frame["doc_id"].tolist(), "Int64")
         return frame if with_ids else frame.drop(columns="ids")
 
 
@@ -133,7 +132,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
         end = np.uint32(END_ID).tobytes()
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                packer.add(None if doc_id is None else int(doc_id), bpe.encode(text) + end)
+                packer.add(None if pd.isna(doc_id) else doc_id, bpe.encode(text) + end)
                 if len(packer.rows) > 5000:
                     yield packer.take(with_ids)
         packer.flush()
@@ -141,5 +140,6 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
 
     ready(docs.sparkSession)
     schema = PIECES_TYPE if with_ids else PIECES_TYPE.removesuffix(", ids binary")
+    schema = schema.replace("doc_id long", "doc_id string")
     # As text, so that no id becomes a float beside a null.
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
