@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -382,34 +384,110 @@ def test_languages_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_letters():
-    assert [langid.has_letter(t) for t in ("", "12 _½²Ⅷ٣", "é", "1 中")] == [False, False, True, True]
-    grams = langid.trigrams("the cat sat on the mat")
-    keys, n = np.unique(grams, return_counts=True)
-    model = langid.build({"en": (keys, n)})
-    assert [model.predict(t)[0] for t in (None, "", "½ ²", "cat")] == ["und", "und", "und", "en"]
-
-
-def test_model_sums_to_one():
-    grams = langid.trigrams("the cat sat on the mat, and the dog sat on the cat")
-    keys, n = np.unique(grams, return_counts=True)
-    model = langid.build({"en": (keys, n)})
-    context = int(keys[3]) >> langid.CLASS_BITS << langid.CLASS_BITS
-    total = 0.0
-    for c in range(langid.CLASSES):
-        gram, log_p = context | c, 0.0
-        for order in (3, 2, 1):
-            at = np.searchsorted(model.keys[order - 1], gram)
-            if at < len(model.keys[order - 1]) and model.keys[order - 1][at] == gram:
-                log_p += model.log_probs[order - 1][at, 0]
-                break
-            above = model.keys[order - 2]
-            place = np.searchsorted(above, gram >> langid.CLASS_BITS)
-            if place < len(above) and above[place] == gram >> langid.CLASS_BITS:
-                log_p += model.back_offs[order - 2][place, 0]
-            gram &= (1 << (order - 1) * langid.CLASS_BITS) - 1
-        total += np.exp(log_p)
-    assert total == pytest.approx(1.0, abs=0.01)
+def counted(texts):
+    """(lang, gram, n) and the model's only part, from (lang, text) rows, by plain counting."""
+    n = Counter((lang, int(g)) for lang, t in texts for grams in langid.trigrams(t) for g in grams)
+    counts = pd.DataFrame([(*k, c) for k, c in n.items()], columns=["lang", "gram", "n"])
+    pairs = Counter((lang, gram & langid.PAIR) for lang, gram in n)
+    symbols = Counter((lang, pair & langid.LOW) for lang, pair in pairs)
+
+    def rare(c):
+        names = sorted({k[0] for k in c})
+        rows = [(x, *(sum(1 for k, v in c.items() if k[0] == x and v == i) for i in (1, 2))) for x in names]
+        return pd.DataFrame(rows, columns=["lang", "once", "twice"])
+
+    shared = langid.build_symbols(pd.DataFrame([(*k, c) for k, c in symbols.items()], columns=["lang", "symbol", "n"]), rare(pairs), rare(n))
+    return counts, langid.build_part(shared, counts)
+
+
+def naive_kneser_ney(texts, lang, alphabet):
+    """p(c | ab) of one language by the textbook, with dictionaries of characters."""
+    three = Counter()
+    for own, t in texts:
+        row = ["", "", *re.sub(r"[\W\d_]+", " ", t.lower()).strip(), " "] if own == lang else []
+        row = ["" if x == " " else x for x in row]
+        three.update(zip(row, row[1:], row[2:], strict=False))
+    two = Counter((b, c) for _, b, c in three)
+    one = Counter(c for _, c in two)
+
+    def discount(c):
+        once, twice = (sum(v == i for v in c.values()) for i in (1, 2))
+        return min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
+
+    d3, d2, d1 = discount(three), discount(two), discount(one)
+
+    def p1(c):
+        total = sum(one.values())
+        return max(one[c] - d1, 0) / total + d1 * len(one) / total / (len(alphabet) + 1)
+
+    def p2(b, c):
+        own = [v for k, v in two.items() if k[0] == b]
+        return max(two[b, c] - d2, 0) / sum(own) + d2 * len(own) / sum(own) * p1(c) if own else p1(c)
+
+    def p3(a, b, c):
+        own = [v for k, v in three.items() if k[:2] == (a, b)]
+        return max(three[a, b, c] - d3, 0) / sum(own) + d3 * len(own) / sum(own) * p2(b, c) if own else p2(b, c)
+
+    return p3
+
+
+KN_TEXTS = [
+    ("en", "the cat sat on the mat, and the dog sat on the cat; \u4e2d!"),
+    ("uk", "\u0456\u0457 \u0436\u0456\u043d\u043a\u0430 \u0457\u0457 \u0436\u0456\u043d\u043a\u0430"),
+    ("ru", "\u0436\u0435\u043d\u0430 \u0437\u0438\u043c\u0430 \u0436\u0435\u043d\u0430 \u0437\u0438\u043c\u0430 \u0434\u043e\u043c"),
+]
+
+
+def test_kneser_ney_against_the_textbook():
+    _, part = counted(KN_TEXTS)
+    alphabet = sorted({"" if not c.isalpha() else c for _, t in KN_TEXTS for c in t.lower()})
+    assert part.symbols.languages == ["en", "ru", "uk"]
+    number = {c: ord(c) if c else 0 for c in [*alphabet, "\u00fe"]}
+    for column, lang in enumerate(part.symbols.languages):
+        p3 = naive_kneser_ney(KN_TEXTS, lang, alphabet)
+        for a, b in [("t", "h"), ("", "\u0436"), ("", "c"), ("x", "y"), ("\u0456", "\u0457"), ("", "")]:
+            context = (ord(a or "\0") << 42) | (ord(b or "\0") << 21)
+            grams = np.array([context | n for n in number.values()])
+            mine = np.exp(part.log_probs(grams)[:, column])
+            assert mine == pytest.approx([p3(a, b, c) for c in number])
+            assert mine.sum() == pytest.approx(1.0)
+
+
+def test_letters_and_slices():
+    assert [langid.has_letter(t) for t in ("", "12 _\u00bd\u00b2\u2167\u0663", "\u00e9", "1 \u4e2d")] == [False, False, True, True]
+    assert [list(langid.trigrams(t)) for t in ("", "12 \u00bd")] == [[], []]
+    text = "Ab,  c\u0456 \U00020000..d " * 5
+    whole = np.concatenate(list(langid.trigrams(text)))
+    for size in (1, 2, 3, 7):
+        assert np.concatenate(list(langid.trigrams(text, size))).tolist() == whole.tolist()
+    assert len(np.unique(langid.mixed(np.arange(100_000)))) == 100_000
+
+
+def test_near_alphabets_stay_apart(spark):
+    """The letters U+0456, U+0457 of Ukrainian are not U+0436, U+0437 of Russian; Han and astral letters are their own."""
+    pairs = {"uk": "\u0456\u0457", "ru": "\u0436\u0437", "zh": "\u4e2d\u6587", "xx": "\U00020000\U00020001"}
+    rows = [(i, "".join(random.Random(i).choices(f"{c}{c}ao ", k=40)), lang) for i, (lang, c) in enumerate(list(pairs.items()) * 40)]
+    out = langid.language_table(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.lang_pred == rows[r.doc_id][2] and r.score > 0.5 for r in out)
+
+
+def test_a_hundred_languages_in_any_number_of_parts(spark):
+    """Each language has letters of its own around common ones; parts change nothing."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(1000):
+        own = chr(0x4E00 + 7 * (i % 100)) + chr(0x4E03 + 7 * (i % 100))
+        rows.append((i, "".join(rng.choices(f"ab{own} ", k=30)), f"l{i % 100:02}"))
+    rows += [(5000, None, "l00"), (5001, "12 ..", "l01"), (5002, "", None), (None, "abab", "l02"), (5003, "\u0436" * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, many = langid.fit(docs), langid.fit(docs, part_entries=3000)
+    assert len(one.parts) == 1 and 1 < len(many.parts) < 200 and len(one.languages) == 100
+    whole, dealt = ({(r.doc_id, r.lang_pred): r for r in langid.identify(docs, m).collect()} for m in (one, many))
+    assert whole.keys() == dealt.keys() and len(whole) == len(rows)
+    for key, r in whole.items():
+        assert dealt[key].score == pytest.approx(r.score) and dealt[key].cross_entropy == pytest.approx(r.cross_entropy)
+    assert np.mean([r.lang_pred == f"l{r.doc_id % 100:02}" for r in whole.values() if (r.doc_id or 5000) < 1000]) == 1.0
+    assert {r.lang_pred for r in whole.values() if r.doc_id in (5000, 5001, 5002)} == {"und"}
 
 
 # Pages
@@ -484,5 +562,5 @@ def test_vectors_against_brute_force(spark, tile, monkeypatch):
     assert all((out[i].n_links, out[i].component_id, out[i].kept) == (0, i, True) for i in [900, 901, 902, 903, 904, 905, 950])
 
 
-def test_all_ten_are_registered():
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES] == list(range(1, 11))
+def test_all_are_registered():
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES] == list(range(1, 14))
