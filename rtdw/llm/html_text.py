@@ -4,7 +4,10 @@ A page is read once into text leaves, each with its tag path from the root (tag
 Leaves of the same path are taken together: characters per leaf and punctuation marks per leaf. Both ratios are laid
 along the page, smoothed by a Gaussian over neighbouring leaves, fused by multiplication and compared with a threshold
 of the page; a path's leaves are content if the path's fused ratio is above it. Parts that are never article text by
-their tag or their name (menus, headers outside the article, forms, notices, comments of readers) get ratio zero.
+their tag or role (menus, headers outside the article, controls, scripts) get ratio zero. Class names, ids and forms only
+weigh the ratio: by 0 where they are plain (comments, cookies, adverts), by ``DOUBTFUL`` where an article may use the
+word as well (a discussion, an alert). They weigh nothing on an element that holds ``MOST`` of the page's text, or half
+of it with the largest article in it, so a wrapper named after its sidebar, or a form around the page, loses nothing.
 Containers only add to the selection: leaves that share the innermost container with most of the selected text, or the
 article around it, such as a title, a lead or a short paragraph between long ones, are content as well.
 
@@ -28,7 +31,7 @@ from rtdw.llm.common import ready
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])|[\"']))*+)(?:>|\Z)|[^<]+|<",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -41,8 +44,8 @@ INLINE = frozenset(
 )
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 NEVER = frozenset(
-    "head nav footer aside form button select option textarea input fieldset script style noscript iframe template svg math canvas "
-    "object video audio menu dialog title figcaption".split()
+    "head nav footer aside button select option textarea input fieldset script style noscript iframe template svg math canvas "
+    "object video audio menu dialog title".split()
 )
 CONTAINERS = frozenset("article main section div body td".split())
 ARTICLES = frozenset(("article", "main"))
@@ -50,23 +53,33 @@ CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr main menu nav ol p pre section table ul".split()
 )
+# Words of class names and ids.
 UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w+"
-    r"|comments?|commentlist|replies|reply|disqus|respond|discussion|side|sidebar|widget\w*|related|recommend\w*|share|sharing|social|nav\w*"
-    r"|menu\w*|breadcrumbs?|footer|foot|masthead|site-?header|header|topbar|toolbar|pager|pagination|tags?|byline|login|signup|search|skip)"
-    r"(?:$|[\s_-])",
+    r"(?:^|[_-])(?:ads?|adv|advert\w*|sponsor\w*|banner|cookies?|consent|gdpr|popup|modal|newsletter|subscri\w+"
+    r"|comments?|commentlist|replies|reply|disqus|respond|sidebar|widget\w*|recommend\w*|share|sharing|social|nav\w*"
+    r"|menu\w*|breadcrumbs?|footer|toolbar|pager|pagination|byline|login|signup|skip|related-?(?:posts?|articles?|links?|stories|news|content|items))"
+    r"(?:$|[_-])",
     re.I,
 )
+HEADER = re.compile(r"(?:^|[_-])(?:masthead|site-?header|header|topbar)(?:$|[_-])", re.I)
+UNSURE = re.compile(
+    r"(?:^|[_-])(?:promo\w*|notices?|alert|overlay|discussion|side|related|tags?|search|foot)(?:$|[_-])",
+    re.I,
+)
+#: Names that say what an element comes with, not what it is.
+BESIDE = re.compile(r"(?:has|with|without|no|is|show|hide)[_-]", re.I)
+DOUBTFUL = 0.6
+MOST = 0.8
 #: Elements nested deeper add nothing to a path: no text is lost, and a page takes linear time.
 DEPTH = 256
-UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 
 
 class _Leaf:
-    __slots__ = ("path", "chain", "articles", "text", "blocked")
+    __slots__ = ("path", "chain", "articles", "text", "blocked", "named")
 
-    def __init__(self, path, chain, articles, text, blocked):
-        self.path, self.chain, self.articles, self.text, self.blocked = path, chain, articles, text, blocked
+    def __init__(self, path, chain, articles, text, blocked, named):
+        self.path, self.chain, self.articles, self.text, self.blocked, self.named = path, chain, articles, text, blocked, named
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -83,17 +96,30 @@ def _unwanted(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in UNWANTED_ROLES:
         return True
-    if tag in ("body", "html", "article", "main"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return bool(names.strip()) and bool(UNWANTED.search(names))
+    return False
+
+
+def _weight(tag: str, attributes: dict[str, str], inside: bool) -> float:
+    """What an element's kind and names leave of its ratio."""
+    if tag == "form" or attributes.get("role", "").lower() == "form":
+        return 0.0
+    if not attributes or tag in ("body", "html", "article", "main"):
+        return 1.0
+    weight = 1.0
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        if not BESIDE.match(name):
+            if UNWANTED.search(name) or not inside and HEADER.search(name):
+                return 0.0
+            if UNSURE.search(name):
+                weight = DOUBTFUL if inside else 0.0
+    return weight
 
 
 def leaves(page: str) -> list[_Leaf]:
     """The page's blocks of text in order. A block ends wherever an element that is not inline begins or ends."""
     out: list[_Leaf] = []
-    # Open elements: (tag, label, never text, number); the number tells containers apart.
-    stack: list[tuple[str, str, bool, int]] = []
+    # Open elements: (tag, label, never text, number, weight); the number tells elements apart.
+    stack: list[tuple[str, str, bool, int, float]] = []
     text: list[str] = []
     # Open elements beyond the depth, all within the stack's last: (tag, never text), and how many of each tag.
     deeper: list[tuple[str, bool]] = []
@@ -109,7 +135,8 @@ def leaves(page: str) -> list[_Leaf]:
                 path = "/".join(e[1] for e in blocks)
                 chain = tuple(e[3] for e in blocks if e[0] in CONTAINERS)
                 articles = tuple(e[3] for e in blocks if e[0] in ARTICLES)
-                out.append(_Leaf(path, chain, articles, joined, held[True] > 0 or any(e[2] for e in stack)))
+                named = tuple((e[3], e[4]) for e in stack if e[4] < 1)
+                out.append(_Leaf(path, chain, articles, joined, held[True] > 0 or any(e[2] for e in stack), named))
 
     def close_implied(tag: str, borders: set[str] | frozenset[str]) -> None:
         if deeper and any(held[b] for b in (tag, *borders)):
@@ -142,7 +169,7 @@ def leaves(page: str) -> list[_Leaf]:
                     held[last] -= 1
                     held[True] -= blocking
             elif any(e[0] == tag for e in stack):
-                if tag not in INLINE or held[True] or any(e[2] and e[0] == tag for e in stack):
+                if tag not in INLINE or held[True] or any((e[2] or e[4] < 1) and e[0] == tag for e in stack):
                     end_block()
                 while stack.pop()[0] != tag:
                     pass
@@ -154,7 +181,8 @@ def leaves(page: str) -> list[_Leaf]:
         attributes = _attributes(found.group(3))
         inside = any(held[t] for t in ARTICLES) or any(e[0] in ARTICLES for e in stack)
         never = _unwanted(tag, attributes, inside)
-        if tag not in INLINE or never:
+        weight = _weight(tag, attributes, inside)
+        if tag not in INLINE or never or weight < 1:
             end_block()
         if tag in RAW:
             close = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
@@ -173,7 +201,7 @@ def leaves(page: str) -> list[_Leaf]:
             continue
         number += 1
         label = tag + ("." + attributes["class"].split()[0] if attributes.get("class", "").strip() else "")
-        stack.append((tag, label, never, number))
+        stack.append((tag, label, never, number, weight))
     end_block()
     return out
 
@@ -202,13 +230,31 @@ def smoothed(values: list[float], reach: int = 2) -> list[float]:
     return out
 
 
+def _weights(found: list[_Leaf]) -> list[float]:
+    """What tags and names leave of each leaf's ratio."""
+    size: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    for leaf in found:
+        if not leaf.blocked:
+            for number, _ in leaf.named:
+                size[number] = size.get(number, 0) + len(leaf.text)
+            for number in leaf.articles:
+                articles[number] = articles.get(number, 0) + len(leaf.text)
+    total = sum(len(leaf.text) for leaf in found if not leaf.blocked)
+    largest = max(articles, key=lambda a: (articles[a], -a), default=None)
+    around = {n for leaf in found if not leaf.blocked and largest in leaf.articles for n, _ in leaf.named if n < largest}
+    void = {n for n, held in size.items() if held >= MOST * total or n in around and held >= total / 2}
+    return [0.0 if leaf.blocked else min((w for n, w in leaf.named if n not in void), default=1.0) for leaf in found]
+
+
 def content(page: str | None) -> list[str]:
     """The blocks of a page's main text."""
     found = leaves(page or "")
-    by_path: dict[str, list[int]] = {}
+    weights = _weights(found)
+    by_path: dict[tuple[str, float], list[int]] = {}
     for i, leaf in enumerate(found):
-        if not leaf.blocked:
-            by_path.setdefault(leaf.path, []).append(i)
+        if weights[i]:
+            by_path.setdefault((leaf.path, weights[i]), []).append(i)
     if not by_path:
         return []
     chars, marks = [0.0] * len(found), [0.0] * len(found)
@@ -217,7 +263,7 @@ def content(page: str | None) -> list[str]:
         n_marks = sum(len(PUNCTUATION.findall(found[i].text)) for i in own) / len(own)
         for i in own:
             chars[i], marks[i] = n_chars, n_marks + 1.0
-    fused = [a * b if not leaf.blocked else 0.0 for a, b, leaf in zip(smoothed(chars), smoothed(marks), found, strict=True)]
+    fused = [a * b * w for a, b, w in zip(smoothed(chars), smoothed(marks), weights, strict=True)]
     ratio = {path: sum(fused[i] for i in own) / len(own) for path, own in by_path.items()}
     mean = sum(fused) / len(fused)
     threshold = min(0.5 * mean, max(ratio.values()))
@@ -233,7 +279,12 @@ def content(page: str | None) -> list[str]:
         inside = next(found[i] for i in chosen if home in found[i].chain)
         around = [a for a in inside.articles if a <= home]  # numbers grow inwards
         home = around[-1] if around else home
-        chosen |= {i for i, leaf in enumerate(found) if not leaf.blocked and home in leaf.chain}
+        # A doubtful element with selected text is a part of the article like others.
+        good = {n for i in chosen for n, _ in found[i].named}
+        chosen |= {
+            i for i, leaf in enumerate(found)
+            if home in leaf.chain and (weights[i] == 1 or weights[i] and all(n in good for n, _ in leaf.named))
+        }
     return [found[i].text for i in sorted(chosen)]
 
 

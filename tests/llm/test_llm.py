@@ -494,7 +494,7 @@ def test_a_hundred_languages_in_any_number_of_parts(spark):
 
 
 def test_main_text(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(50).collect()
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
     for page in pages:
         body = re.search(r"<article>(.*?)</article>", page.html, re.S).group(1)
         blocks = [html_text.references.unescape(re.sub("<[^>]+>", "", x)).split() for x in re.split(r"</?p>|</?h1>|<br>", body)]
@@ -522,6 +522,42 @@ def test_main_text_keeps_the_whole_article():
     assert html_text.content(f"<body><div>menu</div>{sections}</body>") == [*long, "Last", "Short."]
 
 
+PROSE = [f"Sentence {i}, with words, more of them; and an end of it. " * 4 for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in PROSE)
+SIDE = "<div class=sidebar><ul><li>One</li><li>Two</li></ul></div><div id=comments><p>Nice, thanks, very good. Yes.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='site has-sidebar'>{BODY}{SIDE}</div></body>",
+        f"<body><div class='page with-sidebar'><article>{BODY}</article>{SIDE}</div></body>",
+        f"<body><div class='sidebar-layout'><article>{BODY}</article>{SIDE}</div></body>",
+        f"<body><form action=x><nav>menu</nav><div>{BODY}</div><input value=a><button>Go</button></form>{SIDE}</body>",
+        f"<body><form><main>{BODY}{SIDE}</main></form><form><p>Your address, please.</p></form></body>",
+        f"<body><div title=it's>{BODY}</div>{SIDE}<p title='it'></p></body>",
+        f"<body><div id=main>{BODY}</div><div id=comments>" + "<article><p>So, I think. Yes, well.</p></article>" * 9 + "</div></body>",
+    ],
+)
+def test_names_do_not_decide_over_the_article(page):
+    assert html_text.content(page) == [x.strip() for x in PROSE]
+
+
+def test_parts_of_an_article_stay():
+    page = (
+        f"<body><article><header class=entry-header><h1>Title</h1></header>{BODY}<figure><img src=x><figcaption>A caption.</figcaption></figure>"
+        f"<section class=related-work><h2>Related</h2>{BODY}</section><section id=discussion>{BODY}</section>"
+        f"<div class=related-posts><a href=x>Other</a></div><div class=ad>Buy, now.</div></article>{SIDE}</body>"
+    )
+    prose = [x.strip() for x in PROSE]
+    assert html_text.content(page) == ["Title", *prose, "A caption.", "Related", *prose, *prose]
+
+
+def test_unclosed_quotes_take_linear_time():
+    page = "<a title=it's \">x</a>" + "<a b=\"c>text, and more. " * 20_000
+    assert "text, and more." in " ".join(x.text for x in html_text.leaves(page))
+
+
 def test_ends_of_deep_elements_close_nothing_else():
     deep = "<div>" * 300 + "Deep words, and more of them; so it is." + "</div>" * 300
     for text in ("<b>", "<span>", "<p>"):
