@@ -5,11 +5,18 @@ keeps company with an entity carries information about it: their pointwise mutua
 whole corpus as ``log2(p(c|t) * N / n(c))`` over documents (rows; c and t stand together in n(c,t) of them, however
 far apart). Its share of the entity's own information ``log2(N / n(c))`` says how much of the entity the word discloses:
 near 1 the word alone names it. From ``generalise`` on the word is replaced by a general one, from ``remove`` on it is
-removed, wherever it stands in the documents of that entity. There is no least number of documents: ``p(c|t) = (n(c,t) + PRIOR * n(c) / N) / (n(t) + PRIOR)`` is drawn
-towards the entity's own frequency by ``PRIOR`` of a document, the more the rarer the word.
+removed, wherever it stands in the documents of that entity. ``p(c|t) = (n(c,t) + PRIOR * n(c) / N) / (n(t) + PRIOR)``
+is drawn towards the entity's own frequency by ``PRIOR`` of a document, the more the rarer the word.
+
+There is no least number of documents, but a test against chance. Were the ``n(t)`` places of a word dealt to documents at
+random, each would fall among the entity's documents by ``q``, their share of all distinct words of all documents. With
+``V`` words in the corpus, about ``V * exp(-n(t) * KL(n(c,t) / n(t), q))`` of them (Chernoff's bound) would keep such company
+with the entity by chance; only where this is at most ``CHANCE`` of a word does a word disclose. So the rare words that any
+text holds stay beside an entity that is seen once, and an entity loses at most about ``CHANCE`` words for nothing.
 
 Everything is DataFrame expressions: spans come from :mod:`rtdw.llm.spans`. Documents of words and of entities are
-counted before any join. An entity's documents are joined to their distinct words, but only to words that could reach
+counted before any join. An entity's documents are joined to their distinct words, but only entities that a word could
+pass the test with (one that stands in all of their documents and nowhere else), and only to words that could reach
 ``generalise`` if all of their documents, or all of the entity's, held both: the others, among them all that are common
 in the corpus, cannot disclose it. Patterns are possessive and begin at run borders, so they are linear in the text.
 
@@ -35,6 +42,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 GENERAL, REMOVED = "[WORD]", ""
 PRIOR = 0.5
+CHANCE = 0.5
 TERM = r"\p{L}++"
 WORDS_TYPE = "array<struct<start:bigint,end:bigint,term:string>>"
 
@@ -113,24 +121,36 @@ def share(n_ct: Column, n_c: Column, n_t: Column, total: float) -> Column:
     return F.when(own > 0, F.least(F.lit(1.0) + F.log2(given) / own, F.lit(1.0)))
 
 
+def by_chance(n_ct: Column, n_t: Column, q: Column, n_terms: Column | float) -> Column:
+    """A bound of the number of words that would stand in ``n_ct`` of ``n_t`` documents with an entity by chance."""
+    p = n_ct / n_t
+    rest = F.when(p < 1, (1 - p) * F.ln((1 - p) / (1 - q))).otherwise(0.0)
+    return F.when((p > q) & (q < 1), n_terms * F.exp(-n_t * (p * F.ln(p / q) + rest))).otherwise(n_terms)
+
+
 def candidates(base: DataFrame, generalise: float, total: float) -> DataFrame:
-    """(row, kind, entity, n_c, term, n_t): all entities of each document with its words that may disclose them."""
+    """(row, kind, entity, n_c, q, n_terms, term, n_t): entities of each document with its words that may disclose them."""
     value = lambda s: F.when(s["kind"] == 0, F.lower(s["value"])).when(s["kind"] == 1, s["value"]).otherwise(_digits(s["value"]))
     with_base = base.where(F.size("base") > 0)
     named = F.array_distinct(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), value(s).alias("entity"))))
-    owners = with_base.select("row", F.explode(named).alias("e")).select("row", "e.kind", "e.entity")
-    entities = owners.groupBy("kind", "entity").agg(F.count("*").alias("n_c")).withColumn("_n", F.col("n_c"))
-    owners = lookup(owners, entities, ["kind", "entity"], "c", F.col("row"), "_n").select("row", "kind", "entity", "c.n_c")
-    alone = base.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")).withColumn("_n", F.col("n_t"))
+    owners = with_base.select("row", F.size("terms").alias("size"), F.explode(named).alias("e")).select("row", "size", "e.kind", "e.entity")
+    counted = stored(base.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "disclosure-words")
+    n_terms, n_places = counted.agg(F.count("*").cast("double"), F.coalesce(F.sum("n_t"), F.lit(1)).cast("double")).first()
+    entities = owners.groupBy("kind", "entity").agg(F.count("*").alias("n_c"), (F.sum("size") / n_places).alias("q"))
+    entities = entities.where((F.col("q") > 0) & (by_chance(F.col("n_c"), F.col("n_c"), F.col("q"), F.lit(n_terms)) <= CHANCE))
+    entities = entities.withColumn("n_terms", F.lit(n_terms)).withColumn("_n", F.col("n_c"))
+    owners = lookup(owners, entities, ["kind", "entity"], "c", F.col("row"), "_n").where("c.n_c is not null")
+    owners = owners.select("row", "kind", "entity", "c.n_c", "c.q", "c.n_terms")
     words = with_base.select("row", F.explode("terms").alias("term"))
-    words = lookup(words, alone, ["term"], "t", F.col("row"), "_n").select("row", "term", "t.n_t")
+    words = lookup(words, counted.withColumn("_n", F.col("n_t")), ["term"], "t", F.col("row"), "_n").select("row", "term", "t.n_t")
     n_c, n_t = F.col("n_c"), F.col("n_t")
     return owners.join(words, "row").where(share(F.least(n_c, n_t), n_c, n_t, total) >= generalise)
 
 
 def disclosing(pairs: DataFrame, generalise: float, total: float) -> DataFrame:
-    """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity."""
-    counted = pairs.groupBy("kind", "entity", "term", "n_c", "n_t").agg(F.count("*").alias("n_ct"))
+    """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity, and not by chance."""
+    counted = pairs.groupBy("kind", "entity", "term", "n_c", "n_t", "q", "n_terms").agg(F.count("*").alias("n_ct"))
+    counted = counted.where(by_chance(F.col("n_ct"), F.col("n_t"), F.col("q"), F.col("n_terms")) <= CHANCE)
     told = share(F.col("n_ct"), F.col("n_c"), F.col("n_t"), total)
     return counted.select("kind", "entity", "term", told.alias("share")).where(F.col("share") >= generalise)
 

@@ -208,6 +208,46 @@ def test_disclosing_words_go_wherever_they_stand(spark):
     assert [out[i] for i in range(60)] == texts
 
 
+def naive_terms(texts, generalise=0.8):
+    """(row, word) of all disclosing words of entities that are e-mail addresses, by plain counting."""
+    email = re.compile(disclosure.EMAIL.replace(r"\G", r"\A"))
+    entities = [{m.lower() for m in email.findall(t)} for t in texts]
+    words = [set(re.findall(r"[^\W\d_]+", email.sub(" ", t).lower())) for t in texts]
+    n_t = Counter(w for own in words for w in own)
+    places, out = sum(n_t.values()), set()
+    for c in {c for own in entities for c in own}:
+        rows = [i for i, own in enumerate(entities) if c in own]
+        q = sum(len(words[i]) for i in rows) / places
+        for w, n_ct in Counter(w for i in rows for w in words[i]).items():
+            p = n_ct / n_t[w]
+            if p <= q:
+                continue
+            spread = p * np.log(p / q) + ((1 - p) * np.log((1 - p) / (1 - q)) if p < 1 else 0)
+            given = (n_ct + disclosure.PRIOR * len(rows) / len(texts)) / (n_t[w] + disclosure.PRIOR)
+            told = min(1 + np.log2(given) / np.log2(len(texts) / len(rows)), 1)
+            if len(n_t) * np.exp(-n_t[w] * spread) <= disclosure.CHANCE and told >= generalise:
+                out |= {(i, w) for i in rows if w in words[i]}
+    return out
+
+
+def test_disclosing_words_against_plain_counting(spark):
+    """Addresses of one to five documents with a companion word each, among texts that all have rare words of their own."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(300):
+        words = rng.choices([f"common{chr(97 + j)}" for j in range(20)], k=12) + [f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}x{'abc'[j]}" for j in range(3)]
+        if i < 45:
+            words += [f"p{'abcdefghi'[i % 9]}@firm.com", f"friend{'abcdefghi'[i % 9]}"] if i % 9 < 1 + i // 9 else []
+        texts.append(" ".join(words))
+    found = disclosure.disclosure_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    mine = {
+        (r.doc_id, texts[r.doc_id][int(s.split(":")[1]) : int(s.split(":")[2])])
+        for r in found for s in r.spans.split(",") if s.startswith("term")
+    }
+    assert mine == naive_terms(texts)
+    assert {w for _, w in mine} >= {"friendb"} and not any(w.startswith(("rare", "common")) for _, w in mine)
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = run_dir(spark, "ledger")
     first = spark.createDataFrame([(1, "token=abcdef1"), (2, "token=abcdef1"), (3, None)], "doc_id long, text string")
