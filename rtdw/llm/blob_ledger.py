@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.spans import joined, matches
+from rtdw.llm.spans import joined, matches, of_kind
 
 KINDS = ("assign", "access", "hex", "pem", "jwt", "service")
 # What counts as each kind.
@@ -89,5 +89,5 @@ def secrets_table(docs: DataFrame, ledger: str, first_time: bool = True) -> Data
     seen = scan(docs.select("doc_id", "text"), ledger, first_time)
     out = findings(docs.select("doc_id", "text"), seen)
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
+    counts = [of_kind(F.col("spans"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
     return out.select("doc_id", *counts, F.sha2(joined(base, KINDS), 256).alias("base_sha256"), joined(F.col("spans"), KINDS).alias("spans"), "blob")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rtdw.llm.common import stored
-from rtdw.llm.spans import joined, matches
+from rtdw.llm.spans import joined, matches, of_kind
 from rtdw.operators.lookup import join_scattered, lookup
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -181,7 +181,7 @@ def disclosure_table(docs: DataFrame, generalise: float = 0.8) -> DataFrame:
     spans = all_spans(docs, generalise)
     simple = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     words = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
+    counts = [of_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
     return spans.select(
         "doc_id",
         *counts,

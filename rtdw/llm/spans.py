@@ -68,6 +68,11 @@ def matches(text: Column, pattern: str, maybe: Column | None = None, context: in
     return F.when(condition, _let(raw, found)).otherwise(none)
 
 
+def of_kind(spans: Column, number: int) -> Column:
+    """How many spans are of a kind. (A second parameter of the lambda would be the element's index.)"""
+    return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
+
+
 def joined(spans: Column, kinds: tuple[str, ...]) -> Column:
     """``kind:start:end`` of an array of structs (start, kind as number, end), comma-joined."""
     names = F.array(*(F.lit(k) for k in kinds))

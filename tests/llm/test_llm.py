@@ -176,6 +176,11 @@ def test_spans_against_python(spark):
     for row in blob_ledger.secrets_table(docs, run_dir(spark, "ledger")).collect():
         named = ",".join(f"{blob_ledger.KINDS[k]}:{a}:{b}" for a, k, b in secrets(texts[row.doc_id]))
         assert row.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == i for _, k, _ in secrets(texts[row.doc_id])) for i in range(3)]
+    for row in disclosure.disclosure_table(docs).collect():
+        named = ",".join(f"{disclosure.KINDS[k]}:{a}:{b}" for a, k, b in pii(texts[row.doc_id]))
+        assert row.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == i for _, k, _ in pii(texts[row.doc_id])) for i in range(4)]
 
 
 def test_disclosing_words_are_taken_out(spark):
