@@ -35,17 +35,28 @@ def fold(doc_id):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, train_only: bool) -> DataFrame:
-    """At most ``max_rows`` documents (a pseudo-random choice by id) with a 0/1 ``label``, as a column of that name.
+    """At most ``max_rows`` rows (a pseudo-random choice by id) with a 0/1 ``label``, as a column of that name.
 
-    The labels are cut down before the join, so that a bounded number of ids meets the documents and the texts are
-    not shuffled: the ids are broadcast (``max_rows`` of 16 bytes).
+    The labels are cut down before the join, so that a bounded number of ids meets the documents and only chosen rows are
+    shuffled: the ids are broadcast (``max_rows`` of 16 bytes). Of rows that share an id the least one stands for all.
     """
     chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     if train_only:
         chosen = chosen.where(fold(F.col("doc_id")) != 2)
     chosen = chosen.groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.join(F.broadcast(chosen), "doc_id")
+    found = docs.join(F.broadcast(chosen), "doc_id")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    least = found.groupBy("doc_id", label).agg(F.min(F.struct(*rest)).alias("least"))
+    return least.select("doc_id", "least.*", label)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

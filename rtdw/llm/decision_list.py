@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import labelled_sample, ready, stored
+from rtdw.llm.common import free_name, labelled_sample, ready, stored
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS_TYPE = ", ".join(f"{c} long" for c in (*COUNTS, "n_lines", "n_distinct", "n_digits", "n_upper", "n_ends"))
@@ -241,6 +241,6 @@ def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = labelled_sample(docs.select("doc_id", "text"), labels, "quality", 30_000, train_only=False)
     stats = stored(sample.select("doc_id", statistics(sample).alias("stats")), "quality-stats")
     rules = fit(stats, labels)
-    name = "_quality_stats_"
+    name = free_name(docs, "_quality_stats_")
     scored = docs.withColumn(name, statistics(docs))
     return scored.where(~base_failed(name) & verdict(rules, name)).drop(name)

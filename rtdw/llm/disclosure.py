@@ -18,7 +18,10 @@ Everything is DataFrame expressions: spans come from :mod:`rtdw.llm.spans`. Docu
 counted before any join. An entity's documents are joined to their distinct words, but only entities that a word could
 pass the test with (one that stands in all of their documents and nowhere else), and only to words that could reach
 ``generalise`` if all of their documents, or all of the entity's, held both: the others, among them all that are common
-in the corpus, cannot disclose it. Patterns are possessive and begin at run borders, so they are linear in the text.
+in the corpus, cannot disclose it. Entities that stand in the same documents disclose and are disclosed alike and count as
+one, so a page that lists thousands of addresses seen nowhere else does not pair each of them with each of its words.
+Patterns are possessive and begin at run borders, so they are linear in the text; texts are rewritten in pieces of
+``PIECE`` code points, each with the spans inside it, so that neither their length nor the number of spans is squared.
 
 Defined cases: a null or empty text has no spans and stays as it is; repeated rows get equal results. Overlapping spans
 of different kinds are all reported; in sanitised text the earlier span's mark covers what they share.
@@ -26,10 +29,10 @@ of different kinds are all reported; in sanitised text the earlier span's mark c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import stored
+from rtdw.llm.common import free_name, stored
 from rtdw.llm.spans import joined, matches, of_kind
 from rtdw.operators.lookup import join_scattered, lookup
 
@@ -45,6 +48,8 @@ PRIOR = 0.5
 CHANCE = 0.5
 TERM = r"\p{L}++"
 WORDS_TYPE = "array<struct<start:bigint,end:bigint,term:string>>"
+#: Code points of a text that are rewritten at a time.
+PIECE = 256
 
 
 def _digits(value: Column) -> Column:
@@ -86,34 +91,79 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def find_base(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, doc_id, print, base, words, terms), stored, so that texts are searched once.
+def with_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, doc_id, print, base, text, terms), stored: the fixed spans of every row, numbered by ``row``.
 
-    ``row`` numbers the rows, ``base`` has the fixed spans, ``terms`` the distinct lower-case words outside of these and
-    ``words``, for texts with a fixed span, the places of all of them.
+    Where there are any, ``text`` is the text and ``terms`` null; elsewhere the text is done with, and ``terms`` has its words.
     """
     found = docs.select("doc_id", F.col(text).alias("text"), base_spans(F.col(text)).alias("base"))
-    blank = F.aggregate(
-        "base",
-        F.col("text"),
-        lambda t, s: F.overlay(t, F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int")),
-    )
-    found = found.withColumn("rest", F.when(F.size("base") > 0, blank).otherwise(F.col("text")))
-    places = F.transform(matches(F.col("rest"), TERM), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("term")))
-    terms = F.array_distinct(F.transform(F.regexp_extract_all("rest", F.lit(TERM), F.lit(0)), F.lower))
+    has_base = F.size("base") > 0
     return stored(
         found.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
             F.xxhash64("text").alias("print"),
             "base",
-            F.when(F.size("base") > 0, places).otherwise(F.array().cast(WORDS_TYPE)).alias("words"),
-            terms.alias("terms"),
+            F.when(has_base, F.col("text")).alias("text"),
+            F.when(~has_base, distinct_words(F.col("text"))).alias("terms"),
         ),
         "disclosure-base",
     )
 
 
+def distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def find_base(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, doc_id, print, base, words, terms) of every row, stored, so that texts are searched once."""
+    return add_words(with_texts(docs, text))
+
+
+def add_words(found: DataFrame) -> DataFrame:
+    """(row, doc_id, print, base, words, terms) of :func:`with_texts`.
+
+    ``terms`` has the distinct lower-case words outside of the fixed spans and ``words``, for texts with a fixed span, the
+    places of all of them.
+    """
+    with_base = found.where(F.size("base") > 0)
+    rest = stored(replaced(with_base.select("row", "text", F.col("base").alias("spans"))), "disclosure-rest")
+    places = F.transform(matches(F.col("text"), TERM), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("term")))
+    words = rest.select("row", places.alias("words"), distinct_words(F.col("text")).alias("terms"))
+    full = stored(with_base.drop("text", "terms").join(words, "row"), "disclosure-places")
+    none = F.array().cast(WORDS_TYPE)
+    return found.where(F.size("base") == 0).select("row", "doc_id", "print", "base", none.alias("words"), "terms").unionByName(full)
+
+
+def replaced(rows: DataFrame) -> DataFrame:
+    """(row, text) of rows (row, text, spans): each span replaced by its ``mark``, or blanked where spans have no mark.
+
+    ``spans`` come in order. Where they overlap, the earlier one's mark stands for all that both cover.
+    """
+    marked = "mark" in rows.schema["spans"].dataType.elementType.names
+    upto = F.max("end").over(Window.partitionBy("row").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    spans = rows.select("row", F.posexplode("spans").alias("place", "s")).select(
+        "row", "place", "s.start", "s.end", (F.col("s.mark") if marked else F.lit("")).alias("mark")
+    )
+    spans = spans.withColumn("upto", F.coalesce(upto, F.lit(0).cast("long"))).where("end > upto")
+    first = F.greatest("start", "upto")
+    spans = spans.select("row", first.alias("start"), "end", F.when(F.col("start") >= F.col("upto"), F.col("mark")).otherwise("").alias("mark"))
+    size = F.lit(PIECE).cast("long")
+    spans = spans.withColumn("piece", F.explode(F.sequence(F.expr(f"start div {PIECE}"), F.expr(f"(end - 1) div {PIECE}"))))
+    begin = F.greatest(F.col("start") - F.col("piece") * size, F.lit(0).cast("long"))
+    end = F.least(F.col("end") - F.col("piece") * size, size)
+    here = F.when(F.expr(f"start div {PIECE}") == F.col("piece"), F.col("mark")).otherwise("")
+    mark = here if marked else F.repeat(F.lit(" "), (end - begin).cast("int"))
+    local = spans.groupBy("row", "piece").agg(
+        F.array_sort(F.collect_list(F.struct(begin.alias("start"), end.alias("end"), mark.alias("mark")))).alias("spans")
+    )
+    pieces = rows.select("row", F.posexplode(F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % PIECE), F.lit(0))).alias("piece", "part"))
+    joined_pieces = pieces.withColumn("piece", F.col("piece").cast("long")).join(local, ["row", "piece"], "left")
+    part = F.when(F.col("spans").isNull(), F.col("part")).otherwise(_rewritten(F.col("part"), F.col("spans")))
+    whole = joined_pieces.select("row", F.struct("piece", part.alias("part")).alias("p")).groupBy("row")
+    return whole.agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["part"]), "").alias("text"))
+
+
 def share(n_ct: Column, n_c: Column, n_t: Column, total: float) -> Column:
     """The share of an entity that a word discloses; null if all documents have the entity."""
     given = (n_ct + F.lit(PRIOR) * n_c / total) / (n_t + PRIOR)
@@ -129,18 +179,23 @@ def by_chance(n_ct: Column, n_t: Column, q: Column, n_terms: Column | float) ->
 
 
 def candidates(base: DataFrame, generalise: float, total: float) -> DataFrame:
-    """(row, kind, entity, n_c, q, n_terms, term, n_t): entities of each document with its words that may disclose them."""
+    """(row, docs, n_c, q, n_terms, term, n_t): entities of each document with its words that may disclose them.
+
+    ``docs`` stands for all entities with the same documents: their number and two digests of them.
+    """
     value = lambda s: F.when(s["kind"] == 0, F.lower(s["value"])).when(s["kind"] == 1, s["value"]).otherwise(_digits(s["value"]))
     with_base = base.where(F.size("base") > 0)
     named = F.array_distinct(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), value(s).alias("entity"))))
     owners = with_base.select("row", F.size("terms").alias("size"), F.explode(named).alias("e")).select("row", "size", "e.kind", "e.entity")
     counted = stored(base.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "disclosure-words")
     n_terms, n_places = counted.agg(F.count("*").cast("double"), F.coalesce(F.sum("n_t"), F.lit(1)).cast("double")).first()
-    entities = owners.groupBy("kind", "entity").agg(F.count("*").alias("n_c"), (F.sum("size") / n_places).alias("q"))
+    digests = [F.bit_xor(F.xxhash64("row", F.lit(i))).alias(f"x{i}") for i in (1, 2)]
+    entities = owners.groupBy("kind", "entity").agg(F.count("*").alias("n_c"), (F.sum("size") / n_places).alias("q"), *digests)
     entities = entities.where((F.col("q") > 0) & (by_chance(F.col("n_c"), F.col("n_c"), F.col("q"), F.lit(n_terms)) <= CHANCE))
-    entities = entities.withColumn("n_terms", F.lit(n_terms)).withColumn("_n", F.col("n_c"))
+    entities = entities.withColumn("_n", F.col("n_c"))
     owners = lookup(owners, entities, ["kind", "entity"], "c", F.col("row"), "_n").where("c.n_c is not null")
-    owners = owners.select("row", "kind", "entity", "c.n_c", "c.q", "c.n_terms")
+    owners = owners.select("row", F.struct("c.n_c", "c.x1", "c.x2").alias("docs"), "c.n_c", "c.q").distinct()
+    owners = owners.withColumn("n_terms", F.lit(n_terms))
     words = with_base.select("row", F.explode("terms").alias("term"))
     words = lookup(words, counted.withColumn("_n", F.col("n_t")), ["term"], "t", F.col("row"), "_n").select("row", "term", "t.n_t")
     n_c, n_t = F.col("n_c"), F.col("n_t")
@@ -148,11 +203,11 @@ def candidates(base: DataFrame, generalise: float, total: float) -> DataFrame:
 
 
 def disclosing(pairs: DataFrame, generalise: float, total: float) -> DataFrame:
-    """(kind, entity, term, share) of all pairs that disclose at least ``generalise`` of the entity, and not by chance."""
-    counted = pairs.groupBy("kind", "entity", "term", "n_c", "n_t", "q", "n_terms").agg(F.count("*").alias("n_ct"))
+    """(docs, term, share) of all pairs that disclose at least ``generalise`` of the entity, and not by chance."""
+    counted = pairs.groupBy("docs", "term", "n_c", "n_t", "q", "n_terms").agg(F.count("*").alias("n_ct"))
     counted = counted.where(by_chance(F.col("n_ct"), F.col("n_t"), F.col("q"), F.col("n_terms")) <= CHANCE)
     told = share(F.col("n_ct"), F.col("n_c"), F.col("n_t"), total)
-    return counted.select("kind", "entity", "term", told.alias("share")).where(F.col("share") >= generalise)
+    return counted.select("docs", "term", told.alias("share")).where(F.col("share") >= generalise)
 
 
 def term_spans(base: DataFrame, generalise: float) -> DataFrame:
@@ -160,7 +215,7 @@ def term_spans(base: DataFrame, generalise: float) -> DataFrame:
     total = float(max(base.count(), 2))
     pairs = stored(candidates(base, generalise, total), "disclosure-pairs")
     told = disclosing(pairs, generalise, total)
-    hits = join_scattered(pairs.select("row", "kind", "entity", "term"), told, ["kind", "entity", "term"], F.col("row"))
+    hits = join_scattered(pairs.select("row", "docs", "term"), told, ["docs", "term"], F.col("row"))
     hits = hits.groupBy("row", "term").agg(F.max("share").alias("share"))
     words = base.where(F.size("words") > 0).select("row", F.explode("words").alias("w")).select("row", "w.term", "w.start", "w.end")
     return words.join(hits, ["row", "term"]).groupBy("row").agg(
@@ -168,17 +223,16 @@ def term_spans(base: DataFrame, generalise: float) -> DataFrame:
     )
 
 
-def all_spans(docs: DataFrame, generalise: float = 0.8, text: str = "text") -> DataFrame:
-    """(doc_id, print, base, terms) of every row, for the whole corpus."""
-    base = find_base(docs, text)
+def all_spans(base: DataFrame, generalise: float = 0.8) -> DataFrame:
+    """(row, doc_id, print, base, terms) of every row of :func:`add_words`."""
     marked = stored(term_spans(base, generalise), "disclosure-terms")
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,share:double>>")
-    return base.select("row", "doc_id", "print", "base").join(marked, "row", "left").select("doc_id", "print", "base", F.coalesce("marked", none).alias("terms"))
+    return base.select("row", "doc_id", "print", "base").join(marked, "row", "left").withColumn("terms", F.coalesce("marked", none)).drop("marked")
 
 
 def disclosure_table(docs: DataFrame, generalise: float = 0.8) -> DataFrame:
     """Per document: doc_id, counts of the four kinds and of words, digest of the fixed spans, and all spans."""
-    spans = all_spans(docs, generalise)
+    spans = all_spans(find_base(docs), generalise)
     simple = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     words = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     counts = [of_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
@@ -210,24 +264,23 @@ def _rewritten(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """The documents with entities replaced by marks and disclosing words generalised or removed; same columns."""
     mark = F.array(*(F.lit(m) for m in MARKS))
-    spans = all_spans(docs, generalise).select(
-        "doc_id",
-        "print",
-        F.array_sort(
-            F.concat(
-                F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.get(mark, s["kind"]).alias("mark"))),
-                F.transform(
-                    "terms",
-                    lambda s: F.struct(
-                        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.when(s["share"] >= remove, REMOVED).otherwise(GENERAL).alias("mark")
-                    ),
-                ),
-            )
-        ).alias("_spans_"),
+    found = with_texts(docs)
+    spans = all_spans(add_words(found), generalise).where(F.size("base") > 0)
+
+    def marks(name: str, of) -> Column:
+        fields = ("start", "kind", "end")
+        return F.transform(name, lambda s: F.struct(*(s[f].alias(f) for f in fields), of(s).alias("mark")))
+
+    both = F.concat(
+        marks("base", lambda s: F.get(mark, s["kind"])),
+        marks("terms", lambda s: F.when(s["share"] >= remove, REMOVED).otherwise(GENERAL)),
     )
-    spans = spans.where(F.size("_spans_") > 0).dropDuplicates(["doc_id", "print"])
-    spans = spans.select(F.col("doc_id").alias("_id_"), F.col("print").alias("_print_"), "_spans_")
-    same = (F.xxhash64("text") == F.col("_print_")) & F.col("doc_id").eqNullSafe(F.col("_id_"))
-    out = docs.join(spans, same, "left")
-    cleaned = F.when(F.col("_spans_").isNotNull(), _rewritten(F.col("text"), F.col("_spans_"))).otherwise(F.col("text"))
-    return out.withColumn("text", cleaned).select(*docs.columns)
+    spans = spans.select("row", F.array_sort(both).alias("spans"))
+    keyed = found.where(F.size("base") > 0).select("row", "doc_id", "print", "text")
+    clean = replaced(stored(keyed.select("row", "text").join(spans, "row"), "disclosure-marked"))
+    id_name, print_name, text_name = (free_name(docs, n) for n in ("_id_", "_print_", "_clean_"))
+    clean = keyed.drop("text").join(clean, "row").dropDuplicates(["doc_id", "print"])
+    clean = clean.select(F.col("doc_id").alias(id_name), F.col("print").alias(print_name), F.col("text").alias(text_name))
+    same = (F.xxhash64("text") == F.col(print_name)) & F.col("doc_id").eqNullSafe(F.col(id_name))
+    out = docs.join(clean, same, "left")
+    return out.withColumn("text", F.coalesce(text_name, "text")).select(*docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import components, ready, stored
+from rtdw.llm.common import components, free_name, ready, stored
 
 BITS = 64
 BLOCKS = 4
@@ -240,6 +240,8 @@ def simhash_filter(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Data
     prints = stored(docs.select(*key, "doc_id", fingerprint(docs, shingle).alias("fp")), "simhash")
     group = groups(prints.select(F.col("_key_").alias("doc_id"), "fp"), distance)
     placed = prints.join(group, "fp").where("_key_ = component_id")
-    chosen = placed.groupBy("root", "_key_").agg(F.min("_print_").alias("_print_")).drop("root")
-    named = docs.withColumns({"_key_": key[0], "_print_": key[1]})
-    return named.join(chosen, ["_key_", "_print_"]).dropDuplicates(["_key_", "_print_"]).select(*docs.columns)
+    id_name, print_name = free_name(docs, "_key_"), free_name(docs, "_print_")
+    chosen = placed.groupBy("root", "_key_").agg(F.min("_print_").alias(print_name))
+    chosen = chosen.select(F.col("_key_").alias(id_name), print_name)
+    named = docs.withColumns({id_name: key[0], print_name: key[1]})
+    return named.join(chosen, [id_name, print_name]).dropDuplicates([id_name, print_name]).select(*docs.columns)

@@ -8,6 +8,9 @@ Words count by themselves and by their first three to six letters (inflected for
 occur in ``min_docs`` training documents; an L1 penalty leaves few. The model is a small dictionary (at most
 ``max_features`` entries), sent with the tasks; every text is scored whole.
 
+Training and scoring read a sentence alike: each feature that any of its words has counts once. The sample that the model is
+fitted on is bounded by rows and by characters in all; long documents stand in it as often as short ones, and whole.
+
 Defined cases: null and empty texts have no sentence and get score 0. Without labels of both classes no word has a
 weight and every score is 0. Repeated rows get equal scores. Extra columns of the input do not matter.
 """
@@ -21,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import fold, labelled_sample, ready
+from rtdw.llm.common import fold, free_name, labelled_sample, ready
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -59,23 +62,25 @@ class Model:
 
     weights: dict[str, float]
 
-    def word_weight(self, word: str) -> float:
-        return sum(self.weights.get(f, 0.0) for f in features(word))
+    def known(self, token: str) -> tuple[str, ...]:
+        """The features with a weight that the words of a token have."""
+        return tuple({f for word in WORD.findall(token) for f in features(word) if f in self.weights})
 
-    def score(self, text: str | None, cache: dict[str, float]) -> tuple[float, int, int, float]:
+    def score(self, text: str | None, cache: dict[str, tuple[str, ...]]) -> tuple[float, int, int, float]:
         """Document score; place and score of its worst sentence (-1, -1, 0 without a suspicious one)."""
         clean, worst = 1.0, (-1, -1, 0.0)
         for found in SENTENCE.finditer(text or ""):
-            z = 0.0
-            for word in set(found.group().lower().split()):
-                weight = cache.get(word)
-                if weight is None:
+            own: set[str] = set()
+            for token in set(found.group().lower().split()):
+                hits = cache.get(token)
+                if hits is None:
                     if len(cache) > 400_000:
                         cache.clear()
-                    weight = cache[word] = sum(map(self.word_weight, set(WORD.findall(word))))
-                z += weight
-            if z > 0.0:
-                p = float(sentence_probability(np.float64(z)))
+                    hits = cache[token] = self.known(token)
+                own.update(hits)
+            if own:
+                # In a fixed order, so that equal sentences get the same sum.
+                p = float(sentence_probability(np.float64(sum(self.weights[f] for f in sorted(own)))))
                 clean *= 1.0 - p
                 if p > worst[2]:
                     worst = (found.start(), found.end(), p)
@@ -131,15 +136,19 @@ def train(texts: list[str], toxic: list[int], min_docs: int = 5, max_features: i
     return Model({f: float(x) for f, x in zip(useful, w, strict=True) if x > 0.05})
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 5_000, max_chars: int = 10_000) -> Model:
-    """Train on at most ``max_rows`` labelled documents outside the held-out fold, of ``max_chars`` at most each.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 5_000, max_chars: int = 50_000_000) -> Model:
+    """Train on at most ``max_rows`` labelled documents outside the held-out fold, with about ``max_chars`` in all.
 
-    These two bounds hold the sample on the driver to 50 million characters; they bound training only.
+    Documents are taken whole, in a pseudo-random order by id, until these bounds are reached; the last may pass
+    ``max_chars``. The bounds hold the sample that comes to the driver; they bound training only.
     """
     ready(docs.sparkSession)
     sample = labelled_sample(docs.select("doc_id", "text"), labels, "toxic", max_rows, train_only=True)
-    rows = sample.where(F.length("text") <= max_chars).select("doc_id", "text", "toxic").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], kind="stable")
+    # A window over all of the sample: it has at most max_rows rows.
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    taken = sample.withColumn("before", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)))
+    rows = taken.where(F.col("before") < max_chars).select("doc_id", "text", "toxic").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
     return train(rows["text"].tolist(), rows["toxic"].tolist())
 
 
@@ -172,6 +181,6 @@ def toxicity_table(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
 def toxicity_filter(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents below the threshold, with their own columns only."""
-    name = "_toxicity_"
+    name = free_name(docs, "_toxicity_")
     scored = docs.withColumn(name, scores(docs, fit(docs, labels)))
     return scored.where(F.col(f"{name}.score") < threshold).drop(name)

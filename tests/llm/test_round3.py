@@ -1,7 +1,9 @@
 """Divergence, vector codes and repeats against brute force, with the awkward cases."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rtdw.llm import bpe, divergence, induced, packing, repeats, vector_codes
+from rtdw.llm import bpe, common, decision_list, disclosure, divergence, induced, packing, repeats, simhash, toxicity, vector_codes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, term string, anchor string, rank int, t1 string"
 PAIR, TERM = "pair", "term"
@@ -196,3 +198,64 @@ def test_packing_keeps_large_ids_beside_nulls(spark):
     docs = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string").coalesce(1)
     pieces = packing.pack(docs, bpe.Vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))).collect()
     assert {p.doc_id for p in pieces} == set(ids)
+
+
+def test_rewriting_in_pieces_equals_plain_python(spark, monkeypatch):
+    """Marks that overlap, touch, span several pieces, or end the text; astral letters count as one."""
+    rng, rows = random.Random(4), []
+    for row in range(40):
+        text = "".join(rng.choice("ab é\n😀") for _ in range(rng.choice([1, 7, 8, 60])))
+        spans = sorted({(a, k, min(len(text), a + rng.choice([1, 2, 9, 30]))) for k in range(3) for a in [rng.randrange(len(text))]})
+        rows.append((row, text, [(a, k, b, f"<{k}>") for a, k, b in spans]))
+    monkeypatch.setattr(disclosure, "PIECE", 8)
+    df = spark.createDataFrame(rows, "row long, text string, spans array<struct<start:long,kind:int,end:long,mark:string>>")
+    got = {r.row: r.text for r in disclosure.replaced(df).collect()}
+    for row, text, spans in rows:
+        at, out = 0, []
+        for a, _, b, mark in spans:
+            if a >= at:
+                out += [text[at:a], mark]
+            at = max(at, b)
+        assert got[row] == "".join(out) + text[at:]
+
+
+def test_a_text_of_very_many_addresses(spark):
+    """100,000 addresses in one text: found, blanked and replaced in time that grows with the text."""
+    text = " ".join(f"u{i}@firm.com" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "nothing here")], "doc_id long, text string")
+    start = time.monotonic()
+    out = {r.doc_id: r.text for r in disclosure.sanitise(docs).collect()}
+    assert out == {1: " ".join(["[EMAIL]"] * 100_000), 2: "nothing here"}
+    assert time.monotonic() - start < 120
+
+
+def test_stages_leave_any_column_alone(spark, tmp_path):
+    """Columns that are named like the stages' own, in either case, come out as they went in."""
+    names = ["_spans_", "_id_", "_print_", "_KEY_", "_toxicity_", "_quality_stats_", "_clean_"]
+    text = "a plain text of many different words " + " ".join(f"w{i}" for i in range(80)) + " a@b.co"
+    docs = spark.createDataFrame([(1, text, *range(7)), (2, text + " other end", *range(7))], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    for out in (disclosure.sanitise(docs), simhash.simhash_filter(docs), toxicity.toxicity_filter(docs, labels), decision_list.quality_filter(docs, labels)):
+        assert out.columns == docs.columns
+        for row in out.collect():
+            assert row[2:] == tuple(range(7))
+
+
+def test_scoring_reads_a_sentence_as_training_does():
+    """A feature that several words of a sentence have counts once."""
+    model = toxicity.Model({"idi*": 2.0, "fool": 1.5})
+    z = 2.0 + 1.5
+    expected = float(toxicity.sentence_probability(np.float64(z)))
+    for text in ("idiot idiots idiotic fool", "idiot fool", "idiot, (idiots) idiotic-fool."):
+        assert model.score(text, {})[0] == pytest.approx(expected)
+
+
+def test_long_documents_are_learnt_from(spark):
+    """Toxic words that stand only in long texts get a weight; rows that share an id count once."""
+    calm = "a quiet day in the garden. " * 600
+    rows = [(i, calm + ("you rotten scoundrel. " if i % 2 else "") + f"end {i}") for i in range(160)] + [(0, calm)] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(160)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.score("you rotten scoundrel", {})[0] > 0.5 > model.score(calm, {})[0]
+    assert common.labelled_sample(docs, labels, "toxic", 50, train_only=False).count() == 50
