@@ -185,8 +185,9 @@ def candidates(base: DataFrame, generalise: float, total: float) -> DataFrame:
     """
     value = lambda s: F.when(s["kind"] == 0, F.lower(s["value"])).when(s["kind"] == 1, s["value"]).otherwise(_digits(s["value"]))
     with_base = base.where(F.size("base") > 0)
-    named = F.array_distinct(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), value(s).alias("entity"))))
-    owners = with_base.select("row", F.size("terms").alias("size"), F.explode(named).alias("e")).select("row", "size", "e.kind", "e.entity")
+    # Distinct by a shuffle: array_distinct compares all pairs of structs.
+    owners = with_base.select("row", F.size("terms").alias("size"), F.explode("base").alias("s"))
+    owners = owners.select("row", "size", "s.kind", value(F.col("s")).alias("entity")).distinct()
     counted = stored(base.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "disclosure-words")
     n_terms, n_places = counted.agg(F.count("*").cast("double"), F.coalesce(F.sum("n_t"), F.lit(1)).cast("double")).first()
     digests = [F.bit_xor(F.xxhash64("row", F.lit(i))).alias(f"x{i}") for i in (1, 2)]

@@ -1,8 +1,8 @@
 """Places of regular-expression matches, as Spark expressions only.
 
 ``split`` gives what lies between the matches and ``regexp_extract_all`` the matches; running sums of their lengths are
-the places, in code points. The sums are taken within blocks of 256 and over the blocks, so that a text with very many
-matches does not cost the square of their number.
+the places, in code points. Matches are cut into blocks first, as taking a part of an array costs its whole length: it is
+done once a block and not once a match.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK = 256
-MATCH_TYPE = "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>"
+BLOCK = 1024
+MATCH_TYPE = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def _let(value: Column, body) -> Column:
@@ -19,50 +19,47 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _sum(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
+def _sums(numbers: Column) -> Column:
+    """0 and the running sums of a short array."""
+    zero = F.array(F.lit(0).cast("long"))
+    return F.aggregate(numbers, zero, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
 
-def matches(text: Column, pattern: str, maybe: Column | None = None, context: int = 0) -> Column:
-    """All matches in order: ``start``, ``end`` (exclusive), ``value`` and up to ``context`` code points around.
+def matches(text: Column, pattern: str, maybe: Column | None = None) -> Column:
+    """All matches in order: ``start``, ``end`` (exclusive) and ``value``.
 
     ``maybe`` is a cheap condition that holds wherever the pattern matches; elsewhere, and for null, the array is empty.
     """
     none = F.array().cast(MATCH_TYPE)
     raw = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p"))
 
-    def with_lengths(v: Column) -> Column:
-        lengths = F.transform(v["m"], lambda m, i: (F.length(m) + F.length(F.get(v["p"], i))).cast("long"))
-        return F.struct(v["m"].alias("m"), v["p"].alias("p"), lengths.alias("n"))
-
-    def with_blocks(v: Column) -> Column:
-        last = F.floor((F.size(v["n"]) - 1) / BLOCK).cast("int")
-        sums = F.transform(F.sequence(F.lit(0), last), lambda b: _sum(F.slice(v["n"], b * BLOCK + 1, F.lit(BLOCK))))
-        before = F.aggregate(
-            sums, F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))
-        )
-        return F.struct(v["m"].alias("m"), v["p"].alias("p"), v["n"].alias("n"), before.alias("b"))
-
-    def place(v: Column):
-        def one(m: Column, i: Column) -> Column:
-            block = F.floor(i / BLOCK).cast("int")
-            piece = F.get(v["p"], i)
-            start = F.get(v["b"], block) + _sum(F.slice(v["n"], block * BLOCK + 1, i - block * BLOCK)) + F.length(piece)
-            after = F.get(v["p"], i + 1)
-            empty = F.lit("")
-            return F.struct(
-                start.alias("start"),
-                (start + F.length(m)).alias("end"),
-                m.alias("value"),
-                (F.right(piece, F.lit(context)) if context else empty).alias("before"),
-                (F.left(after, F.lit(context)) if context else empty).alias("after"),
-            )
-
-        return F.transform(v["m"], one)
+    def block(v: Column, b: Column) -> Column:
+        """The values of a block, the gaps before them, and the running sums of both."""
+        parts = [F.slice(v[name], b * BLOCK + 1, F.lit(BLOCK)) for name in ("m", "p")]
+
+        def summed(w: Column) -> Column:
+            lengths = F.transform(w["m"], lambda m, i: (F.length(m) + F.length(F.get(w["p"], i))).cast("long"))
+            return F.struct(w["m"].alias("m"), w["p"].alias("p"), _sums(lengths).alias("n"))
+
+        return _let(F.struct(parts[0].alias("m"), parts[1].alias("p")), summed)
+
+    def with_starts(blocks: Column) -> Column:
+        return F.struct(blocks.alias("blocks"), _sums(F.transform(blocks, lambda w: F.element_at(w["n"], -1))).alias("starts"))
+
+    def places(v: Column) -> Column:
+        def one(w: Column, b: Column) -> Column:
+            def place(m: Column, i: Column) -> Column:
+                start = F.get(v["starts"], b) + F.get(w["n"], i) + F.length(F.get(w["p"], i))
+                return _let(start, lambda s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")))
+
+            return F.transform(w["m"], place)
+
+        return F.flatten(F.transform(v["blocks"], one))
 
     def found(v: Column) -> Column:
-        full = _let(with_lengths(v), lambda w: _let(with_blocks(w), place))
-        return F.when(F.size(v["m"]) > 0, full).otherwise(none)
+        last = F.floor((F.size(v["m"]) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: block(v, b))
+        return F.when(F.size(v["m"]) > 0, _let(_let(blocks, with_starts), places)).otherwise(none)
 
     condition = text.isNotNull() if maybe is None else text.isNotNull() & maybe
     return F.when(condition, _let(raw, found)).otherwise(none)
