@@ -22,7 +22,7 @@ SHORT = 4.0
 # Streams write their input, run micro-batches and read back: one timed run each.
 STREAMS = {
     "q_topic_source", "q_topic_sink", "q_window_sink", "q_watermark_late", "q_restart",
-    "q_fact_job", "q_dim_job", "q_comment_job", "q_ods_job", "q_visitor_stream", "q_traffic_job",
+    "q_fact_job", "q_dim_job", "q_comment_job", "q_ods_job", "q_visitor_stream", "q_traffic_job", "q_config_route_late", "q_dead_counts",
 }
 
 

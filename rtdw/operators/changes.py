@@ -26,8 +26,12 @@ def fact_changes(topic: DataFrame, database: str) -> DataFrame:
 
 def dim_changes(topic: DataFrame, database: str) -> DataFrame:
     """Inserts, updates and deletes of one database that carry data; doubly quoted values are read too."""
-    plain = topic.select(*[c for c in topic.columns if c != "value"], unwrap("value").alias("value"))
-    return typed(plain, CHANGE).filter(_wanted(database, DIM_TYPES))
+    return typed(unquoted(topic), CHANGE).filter(_wanted(database, DIM_TYPES))
+
+
+def unquoted(topic: DataFrame) -> DataFrame:
+    """The topic with doubly quoted values unwrapped."""
+    return topic.select(*[c for c in topic.columns if c != "value"], unwrap("value").alias("value"))
 
 
 def unreadable_changes(topic: DataFrame) -> DataFrame:

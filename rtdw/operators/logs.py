@@ -46,6 +46,11 @@ def parse_logs(topic: DataFrame) -> DataFrame:
 
 def dead_letters(topic: DataFrame) -> DataFrame:
     """The rows that :func:`parse_logs` drops, and those of which the branches leave out an element, with the reason."""
+    return with_reasons(topic).filter(F.col("reason").isNotNull())
+
+
+def with_reasons(topic: DataFrame) -> DataFrame:
+    """All rows, with the ``reason`` for which one is a dead letter, NULL for the others."""
     logs = _common_fields(parse_once(topic, parse_object("value"), "log"))
     reason = (
         F.when(F.col("log").isNull(), "not a JSON object")
@@ -54,7 +59,7 @@ def dead_letters(topic: DataFrame) -> DataFrame:
         .when(_odd_element("displays"), "a display is no object")
         .when(_odd_element("actions"), "an action is no object")
     )
-    return logs.select(*topic.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return logs.select(*topic.columns, reason.alias("reason"))
 
 
 def _odd_element(field: str) -> Column:

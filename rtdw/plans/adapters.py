@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.envelope import row_json
-from ..sources.changelog import snapshot_rows
+from ..sources.changelog import image, snapshot_rows
 from ..sources.topics import arrival_number
 
 DATABASE = "shop"
@@ -163,6 +163,50 @@ def customer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_rows(users, DATABASE, "user_info")
 
 
+def chunk_marks(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Log positions around the reading of each chunk of ``size`` users, ``chunk, low, read, high``: one chunk after the other."""
+    low = F.col("chunk") * size * 5
+    chunks = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / size).alias("chunk")).distinct()
+    return chunks.select("chunk", low.alias("low"), (low + size * 2).alias("read"), (low + size * 5).alias("high"))
+
+
+def customer_chunks(spark: SparkSession, sf_dir: str, captures: DataFrame, marks: DataFrame, chunk_of: Column) -> DataFrame:
+    """What a reader sees of the captured user table, chunk by chunk, each as it is at the chunk's ``read`` position."""
+    start = customer_snapshot(spark, sf_dir).unionByName(captures)
+    seen = image(start).withColumn("key", F.col("row")["id"]).withColumn("chunk", chunk_of)
+    upto = seen.join(marks, "chunk").where("seq <= read")
+    last = upto.groupBy("chunk", "key").agg(F.max_by(F.struct("op", "row"), "seq").alias("last")).where("last.op <> 'd'")
+    return last.select(
+        "chunk",
+        F.lit(-1).cast("bigint").alias("seq"),
+        F.lit("r").alias("op"),
+        F.lit(None).cast("map<string,string>").alias("before"),
+        F.col("last.row").alias("after"),
+        F.struct(F.lit(DATABASE).alias("db"), F.lit("user_info").alias("table")).alias("source"),
+        F.lit(0).cast("bigint").alias("ts_ms"),
+    )
+
+
+def rating_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of ratings that change with time, ``appraise, since, dic_name``: a customer stands for a change of a name."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").where("c_custkey >= 40").select(
+        F.concat(F.lit("120"), 1 + key % 4).alias("appraise"),
+        (F.lit(788918400).cast("bigint") + key * 100_000).alias("since"),
+        F.col("c_name").alias("dic_name"),
+    )
+
+
+TEN_YEARS_MS = 10 * 365 * 24 * 60 * 60 * 1000
+
+
+def closing_change(spark: SparkSession) -> DataFrame:
+    """A change of a table that nobody routes, so late that all waiting ends."""
+    data = F.create_map(F.lit("id"), F.lit("-"))
+    text = row_json(F.lit(DATABASE).alias("database"), F.lit("-").alias("table"), F.lit("insert").alias("type"), data.alias("data"), F.lit(2_000_000_000).alias("ts"))
+    return spark.range(1).select(F.lit(-1).cast("bigint").alias("seq"), text.alias("value"))
+
+
 def config_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as captured changes of a routing table: customers stand for sink tables."""
     key, sink = F.col("o_orderkey"), F.col("o_custkey")

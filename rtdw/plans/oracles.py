@@ -190,6 +190,14 @@ ORACLES = {
         SELECT seq, id, CASE type WHEN 'insert' THEN 'c' WHEN 'update' THEN 'u' ELSE 'd' END, name
         FROM ch WHERE db = 'shop' AND source_table = 'user_info' AND NOT is_empty))
     WHERE place = 1""",
+    "q_changelog_chunks": _with(_CHANGES) + """
+    SELECT chunk_size, id, CASE WHEN op <> 'delete' THEN name END AS name, op <> 'delete' AS alive FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS place FROM (
+        SELECT -1 AS seq, CAST(c_custkey AS VARCHAR) AS id, 'r' AS op, c_name AS name FROM customer
+        UNION ALL
+        SELECT seq, id, type, name FROM ch WHERE db = 'shop' AND source_table = 'user_info' AND NOT is_empty)),
+      (VALUES (100), (1000)) sizes(chunk_size)
+    WHERE place = 1""",
     "q_config_snapshot": """
     SELECT c_custkey AS "cCustkey", c_name AS "cName", c_nationkey AS "cNationkey", c_mktsegment AS "cMktsegment"
     FROM customer""",
@@ -297,6 +305,23 @@ ORACLES = {
     FROM fact JOIN (VALUES ('1201', 'good'), ('1202', 'medium'), ('1203', 'bad'), ('1204', 'auto')) d(code, name_of)
       ON code = '120' || (1 + seq % 5)
     WHERE source_table = 'comment_info' AND type = 'insert'""",
+    "q_comment_lookup_asof": _with(_CHANGES) + """,
+    version AS (
+      SELECT '120' || (1 + c_custkey % 4) AS code, 788918400 + c_custkey * 100000 AS since, c_name FROM customer
+      WHERE c_custkey >= 40
+    ),
+    comment AS (
+      SELECT seq, CASE WHEN NOT is_empty THEN id END AS id, CASE WHEN NOT is_empty THEN '120' || (1 + seq % 5) END AS appraise, ts
+      FROM ch WHERE db = 'shop' AND source_table = 'comment_info' AND type = 'insert'
+    )
+    SELECT seq, id, appraise, ts, c_name AS appraise_name, since
+    FROM comment ASOF LEFT JOIN version ON appraise = code AND ts >= since""",
+    "q_config_route_late": _with(_CHANGES) + """
+    SELECT seq, source_table, type, id, sink_table FROM fact LEFT JOIN route USING (source_table, type)""",
+    "q_dead_counts": """
+    SELECT CASE WHEN ts < '2024-01-10' THEN 0 WHEN ts < '2024-01-20' THEN 1 ELSE 2 END AS batch_id, count(*) AS n_rows,
+           count(*) FILTER (event_id % 97 = 13) AS n_dead, count(*) FILTER (event_id % 97 = 13) AS n_letters
+    FROM events GROUP BY 1""",
     "q_dim_enrich": _with(_CHANGES, _users()) + """
     SELECT o_orderkey, login_name, name, id IS NOT NULL AS matched
     FROM orders LEFT JOIN usr ON id = CAST(o_custkey AS VARCHAR)""",

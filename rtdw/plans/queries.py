@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import times
 from ..functions.json import long_of, parse_once, text_of
 from ..operators import changes, dims, envelope, facts, keywords, logs, segment, traffic
+from ..operators.versions import lookup_as_of
 from ..session import run_dir
 from ..sources import changelog, routes, tables, topics
 from ..sources.schemas import CHANGE, TOPIC_COMMENT, TOPIC_DB, TOPIC_PAGE, TRAFFIC_WINDOW
-from ..streaming import jobs, sinks, visitors
+from ..streaming import held, jobs, sinks, visitors
 from ..streaming.runner import finish, run_file_sink
 from . import adapters
 from .adapters import DATABASE
@@ -104,6 +105,24 @@ def changelog_source(spark, sf_dir):
     )
 
 
+@query
+def changelog_chunks(spark, sf_dir):
+    """Snapshot by key ranges between marks of the change log: the last state of every user, whatever the chunk's size."""
+    captures = changelog.read_captures(adapters.capture_topic(spark, sf_dir), ["user_info"]).filter(F.col("source.db") == DATABASE)
+    out = []
+    for size in (100, 1000):
+        chunk_of = F.floor(F.col("key").cast("bigint") / size)
+        marks = adapters.chunk_marks(spark, sf_dir, size)
+        chunks = adapters.customer_chunks(spark, sf_dir, captures, marks, chunk_of)
+        history = changelog.merge_chunks(chunks, marks.select("chunk", "low", "high"), captures, "id", chunk_of)
+        latest = changelog.latest_rows(history, "id").filter(F.col("key").isNotNull())
+        out.append(latest.select(
+            F.lit(size).alias("chunk_size"), F.col("key").alias("id"), F.when(F.col("op") != "d", F.col("row")["name"]).alias("name"),
+            (F.col("op") != "d").alias("alive"),
+        ))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def config_snapshot(spark, sf_dir):
     return tables.read_table(spark, f"{sf_dir}/customer.parquet", camel=True).select(
@@ -467,6 +486,50 @@ def comment_lookup(spark, sf_dir):
     return facts.lookup_comments(facts.extract_comments(table, DATABASE), dictionary)
 
 
+@query
+def comment_lookup_asof(spark, sf_dir):
+    """Comments with the name that their rating had at their time."""
+    comments = facts.extract_comments(topics.change_table(adapters.change_topic(spark, sf_dir), watermark=None), DATABASE)
+    named = lookup_as_of(comments, adapters.rating_versions(spark, sf_dir), ["appraise"], "ts", "since", "dic", width=30 * 86400)
+    return named.select("seq", "id", "appraise", "ts", F.col("dic.dic_name").alias("appraise_name"), F.col("dic.since").alias("since"))
+
+
+@query
+def config_route_late(spark, sf_dir):
+    """Facts that come before their routes, the job stopped and resumed between three parts of the input."""
+    root = run_dir(spark, "route-late")
+    topic = adapters.quoted_change_topic(spark, sf_dir, "o_orderdate")
+    plain, at, known = changes.unquoted(topic), F.col("o_orderdate"), routes.fact_routes(spark)
+    late = F.col("source_table") == "user_info"
+    parts = [at < "1997-01-01", (at >= "1997-01-01") & (at < "1999-01-01"), at >= "1999-01-01"]
+    # Milliseconds at which the routes are captured: before the first part and at the start of the second.
+    captured = [(known.filter(~late), 788_918_400_000), (known.filter(late), 852_076_800_000)]
+    for number, condition in enumerate(parts):
+        _write_phase(plain, root, number, condition)
+        if number < 2:
+            adapters.route_captures(captured[number][0], "table_process_dwd", "c", captured[number][1]).write.parquet(f"{root}/config/phase={number}")
+        if number == 2:
+            adapters.closing_change(spark).write.parquet(f"{root}/in/phase=closing")
+        stream, config = (topics.read_topic(spark, path=f"{root}/{name}/phase=*") for name in ("in", "config"))
+        finish(jobs.route_late_facts(stream, config, root, DATABASE, keep_ms=adapters.TEN_YEARS_MS))
+    routed = spark.read.schema(held.ROUTED).parquet(f"{root}/routed")
+    return routed.select("seq", F.col("table").alias("source_table"), "type", F.get_json_object("value", "$.id").alias("id"), "sink_table")
+
+
+@query
+def dead_counts(spark, sf_dir):
+    """Rows and dead letters of each micro-batch, observed while the letters are written."""
+    root = run_dir(spark, "dead-counts")
+    topic, at = _timed_topic(spark, sf_dir), F.col("at")
+    phases = [at < "2024-01-10", (at >= "2024-01-10") & (at < "2024-01-20"), at >= "2024-01-20"]
+    for number, condition in enumerate(phases):
+        _write_phase(topic, root, number, condition)
+        finish(jobs.check_logs(topics.read_topic(spark, path=f"{root}/in/phase=*"), root))
+    counts = spark.read.schema("n_rows long, n_dead long, batch_id bigint").parquet(f"{root}/counts")
+    letters = spark.read.schema("seq bigint, batch_id bigint").parquet(f"{root}/dead").groupBy("batch_id").agg(F.count("seq").alias("n_letters"))
+    return counts.join(letters, "batch_id", "left").select("batch_id", "n_rows", "n_dead", F.coalesce("n_letters", F.lit(0).cast("long")).alias("n_letters"))
+
+
 @query
 def dim_enrich(spark, sf_dir):
     """Every order with the name its customer has in the user dimension, which is not broadcast."""

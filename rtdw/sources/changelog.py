@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import is_object_text, parse_once
@@ -35,6 +35,23 @@ def snapshot_then_changes(snapshot: DataFrame, captures: DataFrame) -> DataFrame
     return snapshot.unionByName(captures)
 
 
+def merge_chunks(chunks: DataFrame, marks: DataFrame, captures: DataFrame, key: str, chunk_of: Column) -> DataFrame:
+    """One history of captures from a snapshot that was read in chunks while changes went on.
+
+    ``chunks`` are captures with a column ``chunk``, and ``marks`` tells for each chunk the positions of the change log right before
+    (``low``) and right after (``high``) it was read; ``chunk_of`` is the chunk of a change's key, of the column ``key``. A row read in
+    between may show some changes of its window or none, so it yields to any change of its key inside; otherwise it holds from ``high``
+    on. The last state of every key is then that of the table, however it is cut into chunks. Changes are reduced to one row per
+    key of their windows before they meet the snapshot.
+    """
+    keyed = image(captures).select("seq", F.col("row")[key].alias("key")).where(F.col("key").isNotNull())
+    inside = keyed.withColumn("chunk", chunk_of).join(marks, "chunk").where("seq > low and seq <= high")
+    changed = inside.select("key").distinct()
+    rows = image(chunks.drop("seq").join(marks, "chunk")).withColumn("key", F.col("row")[key])
+    kept = rows.join(changed, "key", "left_anti").withColumn("seq", F.col("high"))
+    return captures.unionByName(kept.select(*captures.columns))
+
+
 def image(captures: DataFrame) -> DataFrame:
     """The row a capture speaks of: ``before`` for deletes, ``after`` for everything else."""
     return captures.withColumn("row", F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,8 +17,8 @@ from ..operators import changes, dims, envelope, facts, keywords, logs, traffic
 from ..sources.changelog import read_captures
 from ..sources.schemas import DIM_ROUTE, TOPIC_COMMENT, TOPIC_DB, TOPIC_DIM
 from ..sources.topics import change_table, page_table
-from . import visitors
-from .runner import BatchWriter, run_file_sink, run_stream, write_batch_once
+from . import held, visitors
+from .runner import BatchWriter, batch_dir, run_file_sink, run_stream, write_batch_once
 from .sinks import DimensionTables, as_json_rows, write_report, write_topics
 
 # Reads a small table anew, so that each micro-batch sees its present content.
@@ -79,6 +79,29 @@ def split_logs(
     return run_stream(rows.unionByName(dead), run, f"{root}/_checkpoints/logs", every=every)
 
 
+def check_logs(topic: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
+    """Dead letters of the logs to ``root/dead`` and, per micro-batch, how many rows and dead letters it had to ``root/counts``.
+
+    The counts are observed while the letters are written: no second pass. Both folders are overwritten by batch.
+    """
+    rows = logs.with_reasons(topic)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        counts = Observation(f"logs-{batch_id}")
+        seen = batch.observe(counts, F.count(F.lit(1)).alias("n_rows"), F.count("reason").alias("n_dead"))
+        seen.filter("reason is not null").write.mode("overwrite").parquet(batch_dir(f"{root}/dead", batch_id))
+        found = batch.sparkSession.createDataFrame([(counts.get["n_rows"], counts.get["n_dead"])], "n_rows long, n_dead long")
+        found.coalesce(1).write.mode("overwrite").parquet(batch_dir(f"{root}/counts", batch_id))
+
+    return run_stream(rows, run, f"{root}/_checkpoints/check", every=every)
+
+
+def route_late_facts(topic: DataFrame, config: DataFrame, root: str, database: str, every: str | None = None, **waiting) -> StreamingQuery:
+    """Facts with their routes to ``root/routed``, also where a route is captured after its facts; rows whose wait ended have none."""
+    rows = held.route_changes(changes.fact_changes(topic, database), read_captures(config), **waiting)
+    return run_file_sink(rows, f"{root}/routed", f"{root}/_checkpoints/late", every=every)
+
+
 def route_facts(
     topic: DataFrame,
     root: str,
