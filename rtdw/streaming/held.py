@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.times import ms_to_timestamp, seconds_to_timestamp
-from ..session import ship_package
+from ..session import keyed_state
 from ..sources.changelog import image
 
+# The driver's own worker of the state operator sees no shipped files: processors travel by value.
+register_pickle_by_value(sys.modules[__name__])
 ROUTED = "seq long, `table` string, `type` string, value string, sink_table string, sink_columns string"
 #: Tasks among which the changes of one table are dealt; each has its own copy of the route.
 SLOTS = 16
@@ -84,7 +88,7 @@ def route_changes(facts: DataFrame, captures: DataFrame, delay: str = "5 seconds
     first that comes; what waits longer comes out with no ``sink_table``. A table's facts are dealt to ``slots`` keys, each of which
     gets every route.
     """
-    ship_package(facts.sparkSession)
+    keyed_state(facts.sparkSession)
     none = F.lit(None).cast("string")
     waiting = facts.select(
         "seq", "table", "type", F.pmod("seq", F.lit(slots)).cast("int").alias("slot"), (F.col("ts") * 1000).alias("ms"),

@@ -7,18 +7,22 @@ one micro-batch are held together, as the earliest of them decides; afterwards t
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.times import ms_to_timestamp
 from ..operators import logs
-from ..session import ship_package
+from ..session import keyed_state
 
 DAY_MS = 24 * 60 * 60 * 1000
+# The driver's own worker of the state operator sees no shipped files: processors travel by value.
+register_pickle_by_value(sys.modules[__name__])
 #: Keys into which views without a session are dealt; they open none.
 NO_SESSION = 64
 
@@ -52,7 +56,7 @@ class FirstDay(StatefulProcessor):
 
 def fixed_logs(topic: DataFrame) -> DataFrame:
     """Parsed logs of a topic with the new-visitor flag corrected, by state that is kept for every visitor."""
-    ship_package(topic.sparkSession)
+    keyed_state(topic.sparkSession)
     parsed = logs.parse_logs(topic.withColumn("whole", F.col("value")))
     lean = parsed.select("mid", "seq", "ts", "is_new", F.unix_date(logs.day_of()).alias("day"), F.col("whole").alias("value"))
     marked = lean.groupBy("mid").transformWithStateInPandas(
@@ -109,7 +113,7 @@ def flagged_views(pages: DataFrame, delay: str, day_kept_ms: int = 2 * DAY_MS, s
     A visitor's day is remembered for two days of event time, a session until it had no view for 30 days. Views behind
     the watermark are dropped, as by the windows that follow.
     """
-    ship_package(pages.sparkSession)
+    keyed_state(pages.sparkSession)
     timed = pages.withColumns({"et": ms_to_timestamp("ts"), "visit_day": logs.day_of()}).withWatermark("et", delay)
     by_day = timed.groupBy("mid", "visit_day").transformWithStateInPandas(
         Opening("uv", day_kept_ms), f"{VIEW}, et timestamp, visit_day date, uv long", "Append", "EventTime", eventTimeColumnName="et"
