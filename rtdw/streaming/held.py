@@ -20,11 +20,16 @@ register_pickle_by_value(sys.modules[__name__])
 ROUTED = "seq long, `table` string, `type` string, value string, sink_table string, sink_columns string"
 #: Tasks among which the changes of one table are dealt; each has its own copy of the route.
 SLOTS = 16
+#: Waiting changes of one hour that stand in one value of the state.
+HELD = 1000
 HOUR_MS = 60 * 60 * 1000
 
 
 class Waiting(StatefulProcessor):
-    """The route of one table and type, and the changes that wait for it. Changes whose wait ends come out without a route."""
+    """The route of one table and type, and the changes that wait for it. Changes whose wait ends come out without a route.
+
+    The changes stand in a map by the hour at which their wait ends: what is due is read and removed, the rest is left alone.
+    """
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
@@ -32,7 +37,8 @@ class Waiting(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.route = handle.getValueState("route", "sink_table string, sink_columns string")
-        self.held = handle.getListState("held", "due bigint, seq bigint, value string")
+        self.held = handle.getMapState("held", "due bigint, first bigint", "seqs array<bigint>, texts array<string>")
+        self.next = handle.getValueState("next", "due bigint")
 
     def _out(self, key, seqs, values, route=(None, None)) -> pd.DataFrame:
         n = len(seqs)
@@ -52,30 +58,58 @@ class Waiting(StatefulProcessor):
         changes = part[part["value"].notnull()]
         if self.route.exists():
             route = self.route.get()
-            if self.held.exists():
-                waited = list(self.held.get())
-                self.held.clear()
-                yield self._out(key, [w[1] for w in waited], [w[2] for w in waited], route)
+            if self.next.exists():
+                yield from self._release_all(key, route)
+                self.handle.deleteTimer(self.next.get()[0])
+                self.next.clear()
             yield self._out(key, changes["seq"], changes["value"], route)
         elif len(changes):
-            # Whole hours, so that few timers serve many rows.
+            # Whole hours, so that what is due can be found by few keys.
             due = (changes["ms"] + self.keep_ms) // HOUR_MS * HOUR_MS + HOUR_MS
-            self.held.appendList([(int(d), int(s), v) for d, s, v in zip(due, changes["seq"], changes["value"], strict=True)])
-            for moment in sorted(set(due)):
-                self.handle.registerTimer(int(moment))
+            for moment, rows in changes.groupby(due.to_numpy()):
+                seqs, texts = rows["seq"].tolist(), rows["value"].tolist()
+                for at in range(0, len(seqs), HELD):
+                    self.held.updateValue((int(moment), seqs[at]), (seqs[at : at + HELD], texts[at : at + HELD]))
+            self._wake(int(due.min()))
+
+    def _wake(self, due: int) -> None:
+        """One timer per key, for what is due first."""
+        now = self.next.get()[0] if self.next.exists() else None
+        if now is None or due < now:
+            if now is not None:
+                self.handle.deleteTimer(now)
+            self.handle.registerTimer(due)
+            self.next.update((due,))
+
+    def _release(self, key, entries, *route) -> Iterator[pd.DataFrame]:
+        """Some hours' changes, about ``HELD`` rows at a time."""
+        seqs, texts = [], []
+        for some_seqs, some_texts in entries:
+            seqs += some_seqs
+            texts += some_texts
+            if len(seqs) >= HELD:
+                yield self._out(key, seqs, texts, *route)
+                seqs, texts = [], []
+        if seqs:
+            yield self._out(key, seqs, texts, *route)
+
+    def _release_all(self, key, *route) -> Iterator[pd.DataFrame]:
+        yield from self._release(key, self.held.values(), *route)
+        self.held.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.held.exists():
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        self.next.clear()
+        places = list(self.held.keys())
+        left = [place[0] for place in places if place[0] > now]
+        if not left:
+            yield from self._release_all(key)
             return
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        waiting = list(self.held.get())
-        gone = [w for w in waiting if w[0] <= now]
-        left = [w for w in waiting if w[0] > now]
-        if left:
-            self.held.put(left)
-        else:
-            self.held.clear()
-        yield self._out(key, [w[1] for w in gone], [w[2] for w in gone])
+        self._wake(min(left))
+        gone = [place for place in places if place[0] <= now]
+        yield from self._release(key, (self.held.getValue(place) for place in gone))
+        for place in gone:
+            self.held.removeKey(place)
 
     def close(self) -> None:
         pass
