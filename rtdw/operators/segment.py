@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_BREAK, fold
-from ..session import ship_package
+from ..session import run_dir, ship_package
 from .lookup import is_small, lookup
 
 # A dictionary of up to this many words is sent to the executors: at most about 50 MB of short words.
@@ -29,9 +29,15 @@ BROADCAST_WORDS = 500_000
 
 MODES = ("longest", "smart")
 
-# Places of a run that ask in one batch of rows.
+# Leading pairs that a task holds, and that ask in one batch of rows.
 ASKED = 10_000
 
+# Characters of runs that ask the dictionary together.
+BLOCK = 1_000_000
+
+# Characters of texts whose words are handed on together.
+SLICE = 1_000_000
+
 _HAN = r"\p{IsHan}"
 
 
@@ -53,7 +59,8 @@ def segment_words(
     """``key, keyword``: the distinct words of each text.
 
     A dictionary that is counted to be small goes to the executors and the texts are cut where they lie, without
-    a shuffle. A larger one is joined with the candidate words of the distinct Han runs.
+    a shuffle. A larger one is joined with the pairs of characters that stand in the distinct Han runs; the runs are
+    written below the shared folder first.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode} is none of {MODES}")
@@ -61,17 +68,21 @@ def segment_words(
     tokens = F.array_distinct(F.array_remove(F.split(_split_scripts(fold(text)), WORD_BREAK), ""))
     tokenised = texts.select(key, tokens.alias("tokens"))
     if is_small(entries, max_words):
-        runs = F.filter("tokens", lambda token: token.rlike(f"^{_HAN}"))
+        runs = F.array_join(F.filter("tokens", lambda token: token.rlike(f"^{_HAN}")), " ")
         others = F.filter("tokens", lambda token: ~token.rlike(f"^{_HAN}"))
         cut = _cutter(entries, mode)(runs)
         return tokenised.select(key, F.explode(F.array_union(others, cut)).alias("keyword"))
-    single = tokenised.select(key, F.explode("tokens").alias("token"))
-    is_run = F.col("token").rlike(f"^{_HAN}")
-    # Runs may be long; a digest stands for them wherever they are shuffled.
-    digest = F.unhex(F.sha2("token", 256)).alias("run_id")
-    asked = single.filter(is_run).select(key, digest)
-    runs = single.filter(is_run).select(digest, F.col("token").alias("run")).dropDuplicates(["run_id"])
-    cut = lookup(asked, _cut_by_join(runs, entries, mode), ["run_id"], "_cut", F.col(key))
+    # The texts are cut into runs once. Runs may be long; a digest stands for them wherever they are shuffled.
+    spark, root = texts.sparkSession, run_dir(texts.sparkSession, "segment")
+    # Not a plain explode: Spark would first filter by the size of the list, and cut every text twice for it.
+    single = tokenised.select(key, F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
+    run_id = F.when(F.col("token").rlike(f"^{_HAN}"), F.unhex(F.sha2("token", 256)))
+    single.withColumn("run_id", run_id).write.parquet(f"{root}/tokens")
+    single = spark.read.parquet(f"{root}/tokens")
+    is_run = F.col("run_id").isNotNull()
+    single.filter(is_run).select("run_id", F.col("token").alias("run")).dropDuplicates(["run_id"]).write.parquet(f"{root}/runs")
+    asked = single.filter(is_run).select(key, "run_id")
+    cut = lookup(asked, _cut_by_join(spark.read.parquet(f"{root}/runs"), entries, mode), ["run_id"], "_cut", F.col(key))
     words = cut.select(key, F.explode("_cut.words").alias("keyword"))
     return single.filter(~is_run).select(key, F.col("token").alias("keyword")).unionByName(words).distinct()
 
@@ -130,15 +141,18 @@ def hits_in(run: str, words: ahocorasick.Automaton) -> Hits:
     return hits
 
 
-def longest_cut(run: str, known: frozenset[str], sizes: dict[str, list[int]]) -> list[str]:
-    """Forward longest match: words are looked up only where one begins, the longest size first."""
+def longest_cut(run: str, known: dict[str, str], sizes: dict[str, list[int]]) -> list[str]:
+    """Forward longest match: words are looked up only where one begins, the longest size first.
+
+    The words are those of ``known``, so that all texts share them.
+    """
     found, at = [], 0
     while at < len(run):
         word = run[at]
         for size in sizes.get(word, ()):
             longer = run[at : at + size]
             if longer in known:
-                word = longer
+                word = known[longer]
                 break
         found.append(word)
         at += len(word)
@@ -146,24 +160,46 @@ def longest_cut(run: str, known: frozenset[str], sizes: dict[str, list[int]]) ->
 
 
 def _cutter(entries: DataFrame, mode: str) -> Callable[[Column], Column]:
-    """A vectorised function from lists of runs to lists of words; the dictionary travels once per executor."""
+    """A vectorised function from runs, with blanks between them, to lists of words; the dictionary travels once per executor."""
     ship_package(entries.sparkSession)
     shared = entries.sparkSession.sparkContext.broadcast([row.word for row in entries.toLocalIterator()])
 
     @F.pandas_udf("array<string>")
     def cut_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cut = _run_cutter(shared.value, mode)
-        for lists in batches:
-            yield lists.map(lambda runs: list(dict.fromkeys(word for run in runs for word in cut(run))), na_action="ignore")
+        words_of = _word_lister(_run_cutter(shared.value, mode))
+        for texts in batches:
+            # Words of a part of the batch at a time, whatever the length of the texts.
+            for part in _slices(texts):
+                yield part.map(lambda text: words_of(text.split()), na_action="ignore")
 
     return cut_runs
 
 
+def _slices(texts: pd.Series, size: int | None = None) -> Iterator[pd.Series]:
+    """A batch of texts in parts of at most about ``size`` characters, in their order."""
+    size = size or SLICE
+    first, held = 0, 0
+    for at, text in enumerate(texts):
+        held += len(text) if text is not None else 0
+        if held >= size:
+            yield texts.iloc[first : at + 1]
+            first, held = at + 1, 0
+    if first < len(texts) or not len(texts):
+        yield texts.iloc[first:]
+
+
+def _word_lister(cut: Callable[[str], list[str]]) -> Callable[[list[str]], list[str]]:
+    """From runs to their distinct words. Equal words of different texts are one object: there are only those of the
+    dictionary and single characters."""
+    shared: dict[str, str] = {}
+    return lambda runs: list(dict.fromkeys(shared.setdefault(word, word) for run in runs for word in cut(run)))
+
+
 def _run_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
     if mode == "smart":
         found = automaton(words)
         return lambda run: cut_run(run, hits_in(run, found), mode)
-    known, sizes = frozenset(words), {}
+    known, sizes = {word: word for word in words}, {}
     for first, size in sorted({(word[0], -len(word)) for word in words}):
         sizes.setdefault(first, []).append(-size)
     return lambda run: longest_cut(run, known, sizes)
@@ -172,43 +208,52 @@ def _run_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
 def _cut_by_join(runs: DataFrame, entries: DataFrame, mode: str) -> DataFrame:
     """``run_id, words`` for distinct runs, with the dictionary as a joined table.
 
-    A word is two characters or more: every place of a run asks once, by its two leading characters, with the piece that
-    the longest word could take; the words of the dictionary with these leading characters are compared there. So a run
-    travels as often as it has places that begin a word's first two characters, whatever the sizes of the words.
+    Runs are dealt by their digest into blocks of about ``BLOCK`` characters. A word is two characters or more: a block asks
+    once for each different pair of characters that stands in it, and gets the words which that pair leads. So what travels
+    of a block are its different pairs and the words of the dictionary that may be in it, and not its places.
     """
     ship_package(entries.sparkSession)
-    longest = entries.agg(F.max(F.length("word"))).first()[0] or 2
+    blocks = F.ceil(F.sum(F.length("run")) / BLOCK)
+    n_blocks = max(runs.agg(blocks.alias("n")).first()["n"] or 1, runs.sparkSession.sparkContext.defaultParallelism)
     leading = F.substring("word", 1, 2).alias("leading")
     words = entries.select(leading, "word").groupBy("leading").agg(F.array_sort(F.collect_list("word")).alias("words"))
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
+        asked: set[tuple] = set()
         for batch in batches:
-            for run_id, run in zip(batch["run_id"], batch["run"], strict=True):
-                for at in range(len(run) - 1):
-                    rows.append((run_id, at, run[at : at + longest], run[at : at + 2]))
-                    if len(rows) >= ASKED:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names)
-
-    names = ["run_id", "place", "piece", "leading"]
-    # As many tasks as cores: a place makes a row, so few bytes of runs are much work.
-    dealt = runs.repartition(runs.sparkSession.sparkContext.defaultParallelism, "run_id")
-    asked = dealt.mapInPandas(ask, "run_id binary, place int, piece string, leading string")
+            for block, run in zip(batch["block"].tolist(), batch["run"], strict=True):
+                asked.update((block, pair) for pair in set(map(str.__add__, run, run[1:])))
+                if len(asked) >= ASKED:
+                    yield pd.DataFrame(list(asked), columns=["block", "leading"])
+                    asked.clear()
+        if asked:
+            yield pd.DataFrame(list(asked), columns=["block", "leading"])
+
+    # The digest's own bytes: runs of one length or beginning are dealt out like all others.
+    number = F.pmod(F.xxhash64("run_id"), F.lit(n_blocks)).alias("block")
+    dealt = runs.select(number, "run_id", "run").repartition("block")
+    asked = dealt.select("block", "run").mapInPandas(ask, "block long, leading string").distinct()
     # An inner join of plain shuffles: a dictionary of few bytes is broadcast by its size, hot leading pairs are split.
-    found = asked.join(words, "leading")
-    sizes = F.transform(F.filter("words", lambda word: F.startswith(F.col("piece"), word)), lambda word: F.length(word))
-    hits = found.select("run_id", "place", sizes.alias("sizes")).filter(F.size("sizes") > 0)
-    by_run = hits.groupBy("run_id").agg(F.collect_list(F.struct("place", "sizes")).alias("hits"))
+    found = asked.join(words, "leading").select("block", F.lit(None).cast("binary").alias("run_id"), F.lit(None).cast("string").alias("run"), "words")
+    none = F.lit(None).cast("array<string>").alias("words")
+    both = found.unionByName(runs.select(number, "run_id", "run", none))
+    # Of a block the words come first; a nested list in a batch is as long as the words that one pair leads.
+    sorted_blocks = both.repartition("block").sortWithinPartitions("block", F.col("run_id").asc_nulls_first())
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, known, lister = None, [], None
         for batch in batches:
-            words = []
-            for run, hits in zip(batch["run"], batch["hits"], strict=True):
-                known = {} if hits is None else {hit["place"]: list(hit["sizes"]) for hit in hits}
-                words.append(list(dict.fromkeys(cut_run(run, known, mode))))
-            yield pd.DataFrame({"run_id": batch["run_id"], "words": words})
-
-    return runs.join(by_run, "run_id", "left").mapInPandas(cut, "run_id binary, words array<string>")
+            ids, found = [], []
+            columns = (batch["block"].tolist(), batch["run_id"], batch["run"], batch["words"])
+            for block, run_id, run, words in zip(*columns, strict=True):
+                if block != at:
+                    at, known, lister = block, [], None
+                if words is not None:
+                    known.extend(words)
+                    continue
+                lister = lister or _word_lister(_run_cutter(known, mode))
+                ids.append(run_id)
+                found.append(lister([run]))
+            yield pd.DataFrame({"run_id": pd.Series(ids, dtype="object"), "words": pd.Series(found, dtype="object")})
+
+    return sorted_blocks.mapInPandas(cut, "run_id binary, words array<string>")

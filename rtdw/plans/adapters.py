@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.envelope import row_json
 from ..sources.changelog import image, snapshot_rows
+from ..sources.tables import spread
 from ..sources.topics import arrival_number
 
 DATABASE = "shop"
@@ -254,7 +255,7 @@ _HAN = "".join(chr(0x4E00 + 37 * i) for i in range(26))
 def han_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with letters written as Han characters and blanks dropped, so that words must be found."""
     text = F.replace(F.translate(F.lower("text"), _LETTERS, _HAN), F.lit(" "), F.lit(""))
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", text.alias("text"))
 
 
 def han_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,3 +17,9 @@ def read_table(spark: SparkSession, source: str, *, camel: bool = False, **jdbc:
 def dictionary(table: DataFrame, code: str = "dic_code", name: str = "dic_name") -> DataFrame:
     """A code table as ``dic_code, info struct<dic_name>``."""
     return table.select(F.col(code).alias("dic_code"), F.struct(F.col(name).alias("dic_name")).alias("info"))
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows for much work each, dealt out by ``key`` if they come in fewer pieces than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)

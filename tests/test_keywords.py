@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,25 @@ def test_smart_mode_solves_an_overlap(spark):
         cut = {m: {r.keyword for r in segment.segment_words(texts, "id", "text", words, max_words=max_words, mode=m).collect()} for m in segment.MODES}
         assert cut["longest"] == {"\u4e2d\u56fd\u4eba", "\u6c11", "\u5927"}
         assert cut["smart"] == {"\u4e2d\u56fd", "\u4eba\u6c11\u5927"}
+
+
+def test_a_joined_dictionary_cuts_the_texts_into_runs_once(spark):
+    """The plan reads stored runs: no split of texts in it, and no row for each place of a run."""
+    texts = spark.createDataFrame([(1, "中国" * 300_000), (2, "中国人, ab"), (3, None)], "id int, text string")
+    words = spark.createDataFrame([("中国",), ("中国人",)], "word string")
+    found = segment.segment_words(texts, "id", "text", words, max_words=0)
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, "中国"), (2, "ab"), (2, "中国人")]
+
+
+def test_words_of_a_batch_are_shared_and_handed_on_in_parts():
+    runs = ["".join(chr(0x4E00 + (i * k) % 7) for i in range(50)) for k in range(1, 40)]
+    for mode in segment.MODES:
+        words_of = segment._word_lister(segment._run_cutter([r[2:4] for r in runs], mode))
+        lists = [words_of([run]) for run in runs]
+        every = [word for words in lists for word in words]
+        assert len({id(word) for word in every}) == len(set(every)) < len(every)
+    texts = pd.Series(["ab", None, "", "abcdef", "a", "b"])
+    parts = list(segment._slices(texts, 3))
+    assert [len(p) for p in parts] == [4, 2] and pd.concat(parts).equals(texts)
+    assert [len(p) for p in segment._slices(pd.Series([], dtype="object"), 3)] == [0]
