@@ -14,7 +14,7 @@ driver and in a broadcast. A text's sums over the parts are added up. Small mode
 part and one pass over the texts; each further part costs a pass and no shuffle of texts.
 
 A text is given the language of the least cross-entropy per symbol, of equal ones the first by name. ``score`` is the
-share that this language gets among all, by a temperature fitted on a bounded sample; ``rejected`` says that the text is
+share that this language gets among all, by a temperature fitted on all learning texts; ``rejected`` says that the text is
 less like its language than all but one in ``1 / REJECT`` of the language's own texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0. Labels with too few characters still make
@@ -39,6 +39,10 @@ SYMBOL_BITS = 21
 LOW = (1 << SYMBOL_BITS) - 1
 PAIR = (1 << 2 * SYMBOL_BITS) - 1
 REJECT = 0.005
+#: The temperatures that calibration tries.
+TEMPERATURES = np.geomspace(0.5, 64, 22)
+#: How finely the places of a language's texts by entropy are told apart.
+RANKS = 100_000
 #: Characters of a text that are turned into trigrams at once.
 SLICE = 1 << 20
 #: The range of all symbols.
@@ -350,42 +354,41 @@ def entropies(docs: DataFrame, model: Model) -> DataFrame:
     return rows.join(added, "_row").select(*docs.columns, "sums", "n_grams")
 
 
-def fit(docs: DataFrame, max_rows: int = 4_000, part_entries: int = PART_ENTRIES) -> Model:
-    """Count over all documents outside the held-out fold; calibrate on fewer than ``max_rows`` of them, chosen by hash.
-
-    Of the rows for calibration only the entropies come to the driver, not the texts; of many equal rows at the border
-    none is taken.
-    """
+def fit(docs: DataFrame, part_entries: int = PART_ENTRIES) -> Model:
+    """Count over all documents outside the held-out fold, and calibrate on all of them."""
     learning = docs.select("doc_id", "text", "lang").where(F.coalesce(fold(F.col("doc_id")) != 2, F.lit(False)))
     model = count_model(learning, part_entries)
-    if not model.languages:
-        return model
-    hashed = learning.where(F.col("lang").isin(model.languages)).withColumn("_h", F.xxhash64("doc_id", "text"))
-    least = hashed.select("_h").orderBy("_h").limit(max_rows).agg(F.count("*"), F.max("_h")).first()
-    chosen = hashed.where(F.col("_h") < least[1]) if least[0] == max_rows else hashed
-    rows = entropies(chosen.select("lang", "text"), model).where("n_grams > 0").select("lang", "sums", "n_grams").toPandas()
-    if len(rows):
-        calibrate(model, np.stack(rows["sums"]) / rows["n_grams"].to_numpy()[:, None], rows["lang"].tolist())
+    if model.languages:
+        labelled = learning.where(F.col("lang").isin(model.languages)).select("lang", "text")
+        # Written before they are filtered: a filter on what the model gives would score every text twice.
+        rows = stored(entropies(labelled, model).select("lang", "sums", "n_grams"), "language-entropies")
+        calibrate(model, rows.where("n_grams > 0"))
     return model
 
 
-def calibrate(model: Model, entropy: np.ndarray, langs: list[str]) -> None:
-    """Set the temperature of highest likelihood and each language's entropy limit."""
-    truth = np.array([model.languages.index(x) for x in langs])
-    best, worth = 1.0, -np.inf
-    for t in np.geomspace(0.5, 64, 22):
-        z = -entropy * t
-        z -= z.max(1, keepdims=True)
-        likelihood = (z[np.arange(len(z)), truth] - np.log(np.exp(z).sum(1))).mean()
-        if likelihood > worth:
-            best, worth = t, likelihood
-    model.temperature = float(best)
-    limits = np.full(len(model.languages), np.inf)
-    for i in range(len(limits)):
-        own = entropy[truth == i, i]
-        if len(own) >= 20:
-            limits[i] = np.quantile(own, 1 - REJECT)
-    model.limits = limits
+def calibrate(model: Model, rows: DataFrame) -> None:
+    """Set the temperature of highest likelihood and each language's entropy limit, from (lang, sums, n_grams) of all rows.
+
+    A row for each language comes to the driver. The limit is an entropy of one of the language's texts, whose place among
+    them is right to one in ``RANKS``.
+    """
+    number = F.array_position(F.lit(model.languages), F.col("lang")).cast("int")
+    entropy = F.transform("sums", lambda x: x / F.col("n_grams"))
+    rows = rows.select("lang", entropy.alias("e"), F.array_min(entropy).alias("least"), F.get(entropy, number - 1).alias("own"))
+
+    def likelihood(t: float) -> Column:
+        others = F.aggregate("e", F.lit(0.0), lambda a, x: a + F.exp((F.col("least") - x) * t))
+        return F.sum((F.col("least") - F.col("own")) * t - F.log(others))
+
+    likelihoods = [likelihood(t) for t in TEMPERATURES.tolist()]
+    limit = F.percentile_approx("own", F.lit(1 - REJECT), F.lit(RANKS))
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), limit.alias("limit"), F.array(*likelihoods).alias("likelihoods")).collect()
+    if not found:
+        return
+    total = np.sum([row["likelihoods"] for row in sorted(found, key=lambda row: row["lang"])], axis=0)
+    model.temperature = float(TEMPERATURES[int(np.argmax(total))])
+    limits = {row["lang"]: row["limit"] for row in found if row["n"] >= 20}
+    model.limits = np.array([limits.get(lang, np.inf) for lang in model.languages])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

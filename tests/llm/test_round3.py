@@ -11,8 +11,9 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from rtdw.llm import bpe, common, decision_list, disclosure, divergence, induced, packing, repeats, simhash, toxicity, vector_codes
+from rtdw.llm import bpe, common, decision_list, disclosure, divergence, induced, langid, packing, repeats, simhash, toxicity, vector_codes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, term string, anchor string, rank int, t1 string"
 PAIR, TERM = "pair", "term"
@@ -259,3 +260,29 @@ def test_long_documents_are_learnt_from(spark):
     model = toxicity.fit(docs, labels)
     assert model.score("you rotten scoundrel", {})[0] > 0.5 > model.score(calm, {})[0]
     assert common.labelled_sample(docs, labels, "toxic", 50, train_only=False).count() == 50
+
+
+def test_language_calibration_takes_every_learning_text(spark):
+    """Temperature and limits of 6,000 texts against plain numpy over all of them (a sample had fewer than 4,000)."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(6000):
+        lang = "ab"[i % 2]
+        letters = "abcdefgh" if lang == "a" else "efghijkl"
+        rows.append((i, "".join(rng.choice(list(letters), 30 + i % 40)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    learning = docs.where(langid.fold(F.col("doc_id")) != 2)
+    found = langid.entropies(learning, model).toPandas()
+    entropy = np.stack(found["sums"]) / found["n_grams"].to_numpy()[:, None]
+    truth = np.array([model.languages.index(x) for x in found["lang"]])
+    assert len(found) > 4000
+    likelihoods = []
+    for t in langid.TEMPERATURES:
+        z = -entropy * t
+        z -= z.max(1, keepdims=True)
+        likelihoods.append((z[np.arange(len(z)), truth] - np.log(np.exp(z).sum(1))).sum())
+    assert model.temperature == langid.TEMPERATURES[int(np.argmax(likelihoods))]
+    for i in range(2):
+        own = np.sort(entropy[truth == i, i])
+        assert model.limits[i] == pytest.approx(own[int(np.ceil(len(own) * (1 - langid.REJECT))) - 1], rel=1e-12)
