@@ -286,3 +286,14 @@ def test_language_calibration_takes_every_learning_text(spark):
     for i in range(2):
         own = np.sort(entropy[truth == i, i])
         assert model.limits[i] == pytest.approx(own[int(np.ceil(len(own) * (1 - langid.REJECT))) - 1], rel=1e-12)
+
+
+def test_range_minima_by_level():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 100, 5000):
+        values = rng.integers(0, 1000, n)
+        first = rng.integers(0, n, 400)
+        last = np.minimum(n - 1, first + rng.integers(0, n, 400) // rng.integers(1, 50, 400))
+        found = induced.range_min(values, first, last)
+        assert found.tolist() == [values[a : b + 1].min() for a, b in zip(first, last, strict=True)]
+    assert not len(induced.range_min(values, first[:0], last[:0]))
