@@ -20,8 +20,9 @@ pass the test with (one that stands in all of their documents and nowhere else),
 ``generalise`` if all of their documents, or all of the entity's, held both: the others, among them all that are common
 in the corpus, cannot disclose it. Entities that stand in the same documents disclose and are disclosed alike and count as
 one, so a page that lists thousands of addresses seen nowhere else does not pair each of them with each of its words.
-Patterns are possessive and begin at run borders, so they are linear in the text; texts are rewritten in pieces of
-``PIECE`` code points, each with the spans inside it, so that neither their length nor the number of spans is squared.
+Patterns are possessive and begin at run borders, so they are linear in the text; long texts and those with many spans are
+rewritten in pieces of ``PIECE`` code points, each with the spans inside it, so that neither their length nor the number of
+spans is squared.
 
 Defined cases: a null or empty text has no spans and stays as it is; repeated rows get equal results. Overlapping spans
 of different kinds are all reported; in sanitised text the earlier span's mark covers what they share.
@@ -50,6 +51,9 @@ TERM = r"\p{L}++"
 WORDS_TYPE = "array<struct<start:bigint,end:bigint,term:string>>"
 #: Code points of a text that are rewritten at a time.
 PIECE = 256
+#: Up to so many spans and code points a text is rewritten as a whole.
+SPANS_HERE = 64
+TEXT_HERE = 1 << 15
 
 
 def _digits(value: Column) -> Column:
@@ -126,21 +130,42 @@ def add_words(found: DataFrame) -> DataFrame:
     ``terms`` has the distinct lower-case words outside of the fixed spans and ``words``, for texts with a fixed span, the
     places of all of them.
     """
-    with_base = found.where(F.size("base") > 0)
-    rest = stored(replaced(with_base.select("row", "text", F.col("base").alias("spans"))), "disclosure-rest")
+    own = ("doc_id", "print", "base")
+    with_base = found.where(F.size("base") > 0).select("row", *own, "text", F.col("base").alias("spans"))
+    rest = stored(replaced(with_base, own), "disclosure-rest")
     places = F.transform(matches(F.col("text"), TERM), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("term")))
-    words = rest.select("row", places.alias("words"), distinct_words(F.col("text")).alias("terms"))
-    full = stored(with_base.drop("text", "terms").join(words, "row"), "disclosure-places")
+    words = rest.select("row", *own, places.alias("words"), distinct_words(F.col("text")).alias("terms"))
+    full = stored(words, "disclosure-places")
     none = F.array().cast(WORDS_TYPE)
     return found.where(F.size("base") == 0).select("row", "doc_id", "print", "base", none.alias("words"), "terms").unionByName(full)
 
 
-def replaced(rows: DataFrame) -> DataFrame:
-    """(row, text) of rows (row, text, spans): each span replaced by its ``mark``, or blanked where spans have no mark.
+def replaced(rows: DataFrame, keep: tuple[str, ...] = (), spans_here: int = SPANS_HERE, text_here: int = TEXT_HERE) -> DataFrame:
+    """(row, text) and ``keep`` of rows (row, text, spans): each span replaced by its ``mark``, or blanked where spans have no mark.
 
-    ``spans`` come in order. Where they overlap, the earlier one's mark stands for all that both cover.
+    ``spans`` come in order. Where they overlap, the earlier one's mark stands for all that both cover. Short texts with few
+    spans are rewritten where they are, without a shuffle; all others in pieces.
     """
-    marked = "mark" in rows.schema["spans"].dataType.elementType.names
+    here = (F.size("spans") <= spans_here) & (F.length("text") <= text_here)
+    pieces = rows.where(~here)
+    whole = in_pieces(pieces.select("row", "text", "spans"))
+    if keep:
+        whole = pieces.select("row", *keep).join(whole, "row")
+    return in_place(rows.where(here), keep).unionByName(whole)
+
+
+def _marked(rows: DataFrame) -> bool:
+    return "mark" in rows.schema["spans"].dataType.elementType.names
+
+
+def in_place(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`replaced` by one expression for each text; its cost is the text's length times the number of its spans."""
+    return rows.select("row", *keep, _rewritten(F.col("text"), F.col("spans"), _marked(rows)).alias("text"))
+
+
+def in_pieces(rows: DataFrame) -> DataFrame:
+    """:func:`replaced` by pieces of ``PIECE`` code points, which are dealt out and put together again."""
+    marked = _marked(rows)
     upto = F.max("end").over(Window.partitionBy("row").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
     spans = rows.select("row", F.posexplode("spans").alias("place", "s")).select(
         "row", "place", "s.start", "s.end", (F.col("s.mark") if marked else F.lit("")).alias("mark")
@@ -159,7 +184,7 @@ def replaced(rows: DataFrame) -> DataFrame:
     )
     pieces = rows.select("row", F.posexplode(F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % PIECE), F.lit(0))).alias("piece", "part"))
     joined_pieces = pieces.withColumn("piece", F.col("piece").cast("long")).join(local, ["row", "piece"], "left")
-    part = F.when(F.col("spans").isNull(), F.col("part")).otherwise(_rewritten(F.col("part"), F.col("spans")))
+    part = F.when(F.col("spans").isNull(), F.col("part")).otherwise(_rewritten(F.col("part"), F.col("spans"), True))
     whole = joined_pieces.select("row", F.struct("piece", part.alias("part")).alias("p")).groupBy("row")
     return whole.agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["part"]), "").alias("text"))
 
@@ -246,15 +271,15 @@ def disclosure_table(docs: DataFrame, generalise: float = 0.8) -> DataFrame:
     )
 
 
-def _rewritten(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its mark; spans come in order, and overlaps are covered once."""
+def _rewritten(text: Column, spans: Column, marked: bool) -> Column:
+    """The text with each span replaced by its mark, or blanked; spans come in order, and overlaps are covered once."""
     first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
-        length = (s["start"] - acc["at"]).cast("int")
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), length)
-        parts = F.when(s["start"] >= acc["at"], F.concat(acc["parts"], F.array(gap, s["mark"]))).otherwise(acc["parts"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), parts.alias("parts"))
+        begin = F.greatest(s["start"], acc["at"])
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int"))
+        mark = F.when(s["start"] >= acc["at"], s["mark"]).otherwise("") if marked else F.repeat(F.lit(" "), (s["end"] - begin).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], F.array(gap, mark)).alias("parts"))
 
     def finish(acc: Column) -> Column:
         return F.concat(F.array_join(acc["parts"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.lit(1 << 30)))
@@ -278,9 +303,9 @@ def sanitise(docs: DataFrame, generalise: float = 0.8, remove: float = 0.95) ->
     )
     spans = spans.select("row", F.array_sort(both).alias("spans"))
     keyed = found.where(F.size("base") > 0).select("row", "doc_id", "print", "text")
-    clean = replaced(stored(keyed.select("row", "text").join(spans, "row"), "disclosure-marked"))
+    clean = replaced(stored(keyed.join(spans, "row"), "disclosure-marked"), ("doc_id", "print"))
     id_name, print_name, text_name = (free_name(docs, n) for n in ("_id_", "_print_", "_clean_"))
-    clean = keyed.drop("text").join(clean, "row").dropDuplicates(["doc_id", "print"])
+    clean = clean.dropDuplicates(["doc_id", "print"])
     clean = clean.select(F.col("doc_id").alias(id_name), F.col("print").alias(print_name), F.col("text").alias(text_name))
     same = (F.xxhash64("text") == F.col(print_name)) & F.col("doc_id").eqNullSafe(F.col(id_name))
     out = docs.join(clean, same, "left")
