@@ -18,6 +18,7 @@ weight and every score is 0. Repeated rows get equal scores. Extra columns of th
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -89,13 +90,16 @@ class Model:
 
 def train(texts: list[str], toxic: list[int], min_docs: int = 5, max_features: int = 30_000, steps: int = 250) -> Model:
     """Climb the penalised likelihood of document labels with Adam, over all documents at once."""
-    bags = [[words for _, _, words in sentences(t or "")] for t in texts]
+    # Sentences hold their words as numbers: sets of strings of all of them took hundreds of megabytes in the driver.
+    number_of: dict[str, int] = {}
+    bags = [[array("i", [number_of.setdefault(w, len(number_of)) for w in words]) for _, _, words in sentences(t or "")] for t in texts]
+    vocabulary = list(number_of)
     toxic = np.asarray(toxic, float)
     if not len(toxic) or toxic.min() == toxic.max():
         return Model({})
     seen, hits = Counter(), Counter()
     for bag, y in zip(bags, toxic, strict=True):
-        own = {f for w in set().union(*bag) for f in features(w)}
+        own = {f for w in set().union(*bag) for f in features(vocabulary[w])}
         seen.update(own)
         if y:
             hits.update(own)
@@ -106,11 +110,11 @@ def train(texts: list[str], toxic: list[int], min_docs: int = 5, max_features: i
     if not useful:
         return Model({})
     number = {f: i for i, f in enumerate(useful)}
-    numbers = {w: [number[f] for f in features(w) if f in number] for w in set().union(*(w for b in bags for w in b))}
-    doc_of, sentence_of, feature_of, n_sentences = [], [], [], 0
+    numbers = [[number[f] for f in features(w) if f in number] for w in vocabulary]
+    doc_of, sentence_of, feature_of, n_sentences = array("q"), array("q"), array("q"), 0
     for d, bag in enumerate(bags):
         for words in bag:
-            own = {i for w in words for i in numbers[w]}
+            own = sorted({i for w in words for i in numbers[w]})
             if own:
                 doc_of.append(d)
                 sentence_of.extend([n_sentences] * len(own))
