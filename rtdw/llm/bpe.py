@@ -32,6 +32,8 @@ LAST = 256  # added to the symbol of a word's last byte: it is a symbol of its o
 NEVER = 1 << 40
 # Bounds of what a worker remembers: words and runs, pairs, and steps of the automaton.
 CACHED = 400_000
+#: The library is quick enough to do with less.
+LIBRARY_CACHED = 200_000
 MOST_PAIRS = 400_000
 MOST_STEPS = 400_000
 #: Rows whose ids or texts go back to Spark at once.
@@ -80,13 +82,13 @@ class Decoder:
 class WordBpe:
     """Encoder of a tokenizer file with word-end marks."""
 
+    cached = CACHED
+
     def __init__(self, content: bytes):
         file = json.loads(content)
+        self._begin({t["content"]: t["id"] for t in file["added_tokens"]})
         model, letters = file["model"], byte_letters()
         end = model["end_of_word_suffix"]
-        added = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.added = {t: np.uint32(i).tobytes() for t, i in added.items()}
-        self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         # Merges: rank and result of a pair; the halves and the rank of a token that a merge makes.
         ids = model["vocab"]
         self.ranks: dict[int, dict[int, int]] = {}
@@ -114,6 +116,11 @@ class WordBpe:
             for i, symbols in spelled.items()
         }
         self._build(spelled)
+
+    def _begin(self, added: dict[str, int]) -> None:
+        """What the handling of text needs: the added tokens, and what is remembered."""
+        self.added = {t: np.uint32(i).tobytes() for t, i in added.items()}
+        self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -244,7 +251,7 @@ class WordBpe:
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            if len(self.words) > CACHED:
+            if len(self.words) > self.cached:
                 self.words.clear()
             ids = pack_ids(self.encode_word(word))
             if len(word) < 64:
@@ -271,7 +278,7 @@ class WordBpe:
                     chunk = chunks[i]
                     ids = self.chunks.get(chunk)
                     if ids is None:
-                        if len(self.chunks) > CACHED:
+                        if len(self.chunks) > self.cached:
                             self.chunks.clear()
                         ids = self._chunk(chunk)
                         if len(chunk) < 64:
@@ -290,11 +297,15 @@ class WordBpe:
 
 
 class LibraryBpe(WordBpe):
-    """The same text handling with each new word's ids taken from the tokenizers library."""
+    """The same text handling with each new word's ids taken from the tokenizers library; no automaton, no tables of merges."""
+
+    cached = LIBRARY_CACHED
 
     def __init__(self, content: bytes):
-        super().__init__(content)
-        self.model = Tokenizer.from_str(content.decode()).model
+        tokenizer = Tokenizer.from_str(content.decode())
+        self._begin({t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()})
+        self.chunks = self.words  # a run that is one word has the word's ids, so one memory serves both
+        self.model = tokenizer.model
         self.to_letters = {byte: letter for letter, byte in byte_letters().items()}
 
     def encode_word(self, word: str) -> list[int]:

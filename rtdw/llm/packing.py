@@ -30,6 +30,9 @@ from rtdw.llm.common import ready
 
 WINDOW = 4096
 END_ID = 2
+#: Rows, and bytes of their ids, that go back to Spark at once: no fewer than a document's, or those of a group.
+ROWS = 5000
+ROW_BYTES = 2 << 20
 PIECES_TYPE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
@@ -88,7 +91,7 @@ class _Packer:
         self.next_sequence, self.group_tokens = first, group_tokens
         self.rows: list[tuple] = []
         self.waiting: list[tuple] = []
-        self.tokens = 0
+        self.tokens = self.held = 0
 
     def add(self, doc_id, ids: bytes) -> None:
         total, start = len(ids) // 4, 0
@@ -116,9 +119,13 @@ class _Packer:
 
     def _place(self, doc_id, start: int, ids: bytes, total: int, sequence: int, offset: int) -> None:
         self.rows.append((doc_id, start, len(ids) // 4, zlib.crc32(ids), total, sequence, offset, ids))
+        self.held += len(ids)
+
+    def full(self) -> bool:
+        return len(self.rows) > ROWS or self.held > ROW_BYTES
 
     def take(self, with_ids: bool) -> pd.DataFrame:
-        rows, self.rows = self.rows, []
+        rows, self.rows, self.held = self.rows, [], 0
         frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES_TYPE.split(", ")])
         return frame if with_ids else frame.drop(columns="ids")
 
@@ -133,7 +140,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 packer.add(None if pd.isna(doc_id) else doc_id, bpe.encode(text) + end)
-                if len(packer.rows) > 5000:
+                if packer.full():
                     yield packer.take(with_ids)
         packer.flush()
         yield packer.take(with_ids)
