@@ -32,14 +32,16 @@ LAST = 256  # added to the symbol of a word's last byte: it is a symbol of its o
 NEVER = 1 << 40
 # Bounds of what a worker remembers: words and runs, pairs, and steps of the automaton.
 CACHED = 400_000
-#: The library is quick enough to do with less.
-LIBRARY_CACHED = 200_000
+#: The library is quick enough to do with less, and words and runs share it.
+LIBRARY_CACHED = 300_000
 MOST_PAIRS = 400_000
 MOST_STEPS = 400_000
 #: Rows whose ids or texts go back to Spark at once.
 ROWS = 1000
 #: One of these at a word's end is a piece of its own.
 MARKS = frozenset(".,;:!?")
+#: A mark behind an ASCII letter or digit at a run's end. A blank before it changes no ids, and the run is a word that is known.
+LAST_MARK = re.compile(r"[.,;:!?](?=[ \n]|\Z)(?<=[a-zA-Z0-9].)")
 # What the normaliser takes for white space, in as far as str.split() differs from it.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
@@ -266,26 +268,32 @@ class WordBpe:
             return self._word(chunk[:-1]) + self._word(chunk[-1])
         return b"".join(map(self._word, PIECE.findall(chunk)))
 
-    def _segment(self, text: str) -> bytes:
+    def _runs(self, text: str) -> list[str]:
+        """The normalised runs of a text between white space."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        chunks = SPACE.split(text) if NOT_SPACE.search(text) else text.split()
+        return SPACE.split(text) if NOT_SPACE.search(text) else text.split()
+
+    def _segment(self, text: str) -> bytes:
+        chunks = self._runs(text)
         found = list(map(self.chunks.get, chunks))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    chunk = chunks[i]
-                    ids = self.chunks.get(chunk)
-                    if ids is None:
-                        if len(self.chunks) > self.cached:
-                            self.chunks.clear()
-                        ids = self._chunk(chunk)
-                        if len(chunk) < 64:
-                            self.chunks[chunk] = ids
-                    found[i] = ids
+                    found[i] = self._new(chunks[i])
         return b"".join(found)
 
+    def _new(self, chunk: str) -> bytes:
+        ids = self.chunks.get(chunk)
+        if ids is None:
+            if len(self.chunks) > self.cached:
+                self.chunks.clear()
+            ids = self._chunk(chunk)
+            if len(chunk) < 64:
+                self.chunks[chunk] = ids
+        return ids
+
     def encode(self, text: str | None) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -308,8 +316,16 @@ class LibraryBpe(WordBpe):
         self.model = tokenizer.model
         self.to_letters = {byte: letter for letter, byte in byte_letters().items()}
 
+    def _runs(self, text: str) -> list[str]:
+        return super()._runs(LAST_MARK.sub(r" \g<0>", text))
+
+    def _new(self, chunk: str) -> bytes:
+        return self._word(chunk) if chunk.isalpha() else super()._new(chunk)
+
     def encode_word(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.to_letters))]
+        # Printable ASCII stands for itself.
+        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.to_letters)
+        return [t.id for t in self.model.tokenize(letters)]
 
 
 _LOADED: dict[tuple[type, int], WordBpe | Decoder] = {}

@@ -12,6 +12,7 @@ TEXTS = [
     "é² ½ A!? ª ٣٤ 𝟘𝟙 <|endoftext|> 's's 're'",
     "Σας ΟΔΟΣ, \x1c a\x1d ⅷ, Ⓐ. ǅ! ﬁ; क्ष, हिन्दी, 中文。",
     "x" * 100 + " " + "y" * 63 + ",",
+    "Yes. no, 12; 3,4: 'tis's! a_, a.. b.,\nc?\td! İ, क़. é, (x). A\x1c,\x1cb, e\u0301. e.\u0301 ,<|endoftext|>z.<|startoftext|>.",
     "",
     None,
 ]
