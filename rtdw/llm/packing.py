@@ -134,7 +134,8 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, group_tokens: int = 1 << 20, w
     """The pieces of all documents (columns ``doc_id`` and ``text``) with their places, and their ids on request."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = vocabulary.load(LibraryBpe)
+        # Built for each task, in a tenth of a second: idle workers hold neither model nor words.
+        bpe = LibraryBpe(vocabulary.content.value)
         packer = _Packer(TaskContext.get().partitionId() << 36, group_tokens)
         end = np.uint32(END_ID).tobytes()
         for batch in batches:
