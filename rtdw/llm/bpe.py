@@ -13,6 +13,7 @@ Very long texts and words are encoded whole. Repeated rows get equal results; ex
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import struct
@@ -32,16 +33,14 @@ LAST = 256  # added to the symbol of a word's last byte: it is a symbol of its o
 NEVER = 1 << 40
 # Bounds of what a worker remembers: words and runs, pairs, and steps of the automaton.
 CACHED = 400_000
-#: The library is quick enough to do with less, and words and runs share it.
-LIBRARY_CACHED = 200_000
 MOST_PAIRS = 400_000
 MOST_STEPS = 400_000
 #: Rows whose ids or texts go back to Spark at once.
 ROWS = 1000
 #: One of these at a word's end is a piece of its own.
 MARKS = frozenset(".,;:!?")
-#: A mark behind an ASCII letter or digit at a run's end. A blank before it changes no ids, and the run is a word that is known.
-LAST_MARK = re.compile(r"[.,;:!?](?=[ \n]|\Z)(?<=[a-zA-Z0-9].)")
+#: Marks behind a plain letter or digit at a run's end. A blank before them changes no ids, and the run is two that are known.
+LAST_MARKS = re.compile(r"[!-/:-@\[-`{-~](?<=[a-zA-Z0-9À-ÖØ-öø-ÿ].)[!-/:-@\[-`{-~]*(?=[ \n]|\Z)")
 # What the normaliser takes for white space, in as far as str.split() differs from it.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
@@ -304,28 +303,46 @@ class WordBpe:
         return b"".join(self.added[p] if i % 2 else self._segment(p) for i, p in enumerate(parts))
 
 
+class _Known(dict):
+    """Ids by run or word. One that is not known is asked of the library; all are forgotten when they are too many."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, "".join(sorted(letters := byte_letters(), key=letters.get))
+
+    def __missing__(self, run: str) -> bytes:
+        pieces = [run] if run.isalpha() else PIECE.findall(run)
+        ids = b"".join(map(self.__getitem__, pieces)) if len(pieces) > 1 else pack_ids(self.ask(run))
+        if len(run) < 64:
+            if len(self) > LibraryBpe.cached:
+                self.clear()
+            self[run] = ids
+        return ids
+
+    def ask(self, word: str) -> list[int]:
+        # Printable ASCII stands for itself.
+        if not (word.isascii() and word.isprintable()):
+            word = codecs.charmap_decode(word.encode(), "strict", self.letters)[0]
+        return [t.id for t in self.model.tokenize(word)]
+
+
 class LibraryBpe(WordBpe):
     """The same text handling with each new word's ids taken from the tokenizers library; no automaton, no tables of merges."""
 
-    cached = LIBRARY_CACHED
-
     def __init__(self, content: bytes):
         tokenizer = Tokenizer.from_str(content.decode())
         self._begin({t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()})
-        self.chunks = self.words  # a run that is one word has the word's ids, so one memory serves both
-        self.model = tokenizer.model
-        self.to_letters = {byte: letter for letter, byte in byte_letters().items()}
+        # A run that is one word has the word's ids, so one memory serves both.
+        self.chunks = self.words = _Known(tokenizer.model)
 
     def _runs(self, text: str) -> list[str]:
-        return super()._runs(LAST_MARK.sub(r" \g<0>", text))
+        return super()._runs(LAST_MARKS.sub(r" \g<0>", text))
 
-    def _new(self, chunk: str) -> bytes:
-        return self._word(chunk) if chunk.isalpha() else super()._new(chunk)
+    def _segment(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self._runs(text)))
 
     def encode_word(self, word: str) -> list[int]:
-        # Printable ASCII stands for itself.
-        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.to_letters)
-        return [t.id for t in self.model.tokenize(letters)]
+        return self.words.ask(word)
 
 
 _LOADED: dict[tuple[type, int], WordBpe | Decoder] = {}

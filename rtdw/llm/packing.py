@@ -38,8 +38,8 @@ PIECES_TYPE = (
 )
 
 
-def difference(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Karmarkar-Karp: the window of each piece, and the windows' sums."""
+def difference(sizes: list[int], windows: int, capacity: int) -> np.ndarray | None:
+    """Karmarkar-Karp: the window of each piece, or none if a window exceeds the capacity."""
     # A partition: its windows' sums in falling order, and where they came from.
     heap: list[tuple[int, int]] = []
     parts: list[tuple] = []
@@ -55,6 +55,8 @@ def difference(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
         sums = parts[a][0] + parts[b][0][::-1]
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
+        if sums[0] > capacity:  # the fullest window never gets emptier
+            return None
         parts.append((sums, a, b, order))
         heapq.heappush(heap, (int(sums[-1] - sums[0]), len(parts) - 1))
     owner = np.zeros(len(sizes), np.int64)
@@ -69,7 +71,7 @@ def difference(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
         own[order] = final
         todo.append((a, own))
         todo.append((b, own[::-1]))
-    return owner, parts[-1][0]
+    return owner
 
 
 def partition(sizes: list[int], capacity: int = WINDOW) -> np.ndarray:
@@ -78,8 +80,8 @@ def partition(sizes: list[int], capacity: int = WINDOW) -> np.ndarray:
         return np.zeros(0, np.int64)
     windows = -(-sum(sizes) // capacity)
     while True:
-        owner, sums = difference(sizes, windows)
-        if sums[0] <= capacity:
+        owner = difference(sizes, windows, capacity)
+        if owner is not None:
             return owner
         windows += 1
 
