@@ -27,8 +27,8 @@ def ratings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RATINGS, "dic_code string, dic_name string")
 
 
-def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as log text, with the columns ``event_type`` and ``k`` kept beside it."""
+def log_topic(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """``events`` as log text, with the columns ``event_type`` and ``k`` kept beside it. ``dealt``: a small file's rows go to all cores."""
     k = F.col("k")
     kind = F.col("event_type")
     ms = F.unix_millis("ts")
@@ -68,7 +68,8 @@ def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(has_page, page).alias("page"),
     )
     value = F.when(F.col("event_id") % 97 == 13, F.substring(text, 1, 20)).otherwise(text)
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    rows = table(spark, sf_dir, "events")
+    events = (spread(rows, "event_id") if dealt else rows).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return events.select(F.col("event_id").alias("seq"), value.alias("value"), "event_type", "k")
 
 

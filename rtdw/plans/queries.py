@@ -691,7 +691,8 @@ def visitor_stream(spark, sf_dir):
 def traffic_job(spark, sf_dir):
     """The traffic job stopped and resumed between three parts: visitors' days, sessions and windows are kept as state."""
     root = run_dir(spark, "traffic-job")
-    fixed = logs.fan_out(logs.fix_new_visitors(_parsed(spark, sf_dir))).filter(F.col("topic") == TOPIC_PAGE)
+    parsed = logs.parse_logs(adapters.log_topic(spark, sf_dir, dealt=True).select("seq", "value"))
+    fixed = logs.fan_out(logs.fix_new_visitors(parsed)).filter(F.col("topic") == TOPIC_PAGE)
     times_of = adapters.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").alias("at"))
     pages, at = stored_topic(fixed.select("seq", "value"), root).join(times_of, "seq"), F.col("at")
     phases = [at < "2024-01-10", (at >= "2024-01-10") & (at < "2024-01-20"), at >= "2024-01-20"]

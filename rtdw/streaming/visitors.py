@@ -23,8 +23,8 @@ from ..session import keyed_state
 DAY_MS = 24 * 60 * 60 * 1000
 # The driver's own worker of the state operator sees no shipped files: processors travel by value.
 register_pickle_by_value(sys.modules[__name__])
-#: Keys into which views without a session are dealt; they open none.
-NO_SESSION = 64
+#: Slots among which the visitors of a day, and the sessions, are dealt; a task takes whole slots.
+SLOTS = 512
 
 
 def _earliest(rows: pd.DataFrame) -> pd.Series:
@@ -66,38 +66,87 @@ def fixed_logs(topic: DataFrame) -> DataFrame:
 
 
 class Opening(StatefulProcessor):
-    """Marks the first view of a key in the column ``flag``; the key is forgotten ``keep_ms`` after its last view.
+    """Marks the first view of each name of a slot in the column ``flag``; a name is forgotten ``keep_ms`` after its last view.
 
-    The state holds when it may go; an event-time timer removes it, and is set anew while views come.
+    A slot holds many names, so that Python is entered and rows are handed on by slot and not by name. A map has when each
+    name may go; a micro-batch reads and writes the names that it has and no others. One event-time timer per slot removes what
+    is due, at most ``SWEEPS`` times while a name is kept. A view that comes after its name was due finds it forgotten,
+    whether or not the timer was there yet. Rows without a name open nothing.
     """
 
-    def __init__(self, flag: str, keep_ms: int):
-        self.flag, self.keep_ms = flag, keep_ms
+    SWEEPS = 8
+
+    def __init__(self, flag: str, keep_ms: int, name: str = "mid"):
+        self.flag, self.keep_ms, self.name = flag, keep_ms, name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.until = handle.getValueState(f"{self.flag}_until", "until bigint")
+        self.until = handle.getMapState(f"{self.flag}_until", "name string", "until bigint")
+        self.wake = handle.getValueState(f"{self.flag}_wake", "wake bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.until.exists()
-        until = self.until.get()[0] if known else 0
-        opener = None
-        if not known:
-            rows = list(rows)
-            opener = _earliest(pd.concat(rows))["seq"]
-        last = until
+        now = timerValues.getCurrentWatermarkInMs()
+        until: dict[str, int | None] = {}
+        last: dict[str, int] = {}
+        first: dict[str, tuple[int, int]] = {}  # of names that may open
+        held = []
         for part in rows:
-            last = max(last, int(part["ts"].max()) + self.keep_ms)
-            part[self.flag] = (part["seq"] == opener).astype("int64") if opener is not None else 0
-            yield part
-        if last > until:
-            if known:
-                self.handle.deleteTimer(until)
-            self.handle.registerTimer(last)
-            self.until.update((last,))
+            views = list(zip(part[self.name].tolist(), part["ts"].tolist(), part["seq"].tolist(), strict=True))
+            for name, ts, seq in views:
+                if name is None:
+                    continue
+                if name not in until:
+                    found = self.until.getValue((name,))
+                    until[name], last[name] = found and found[0], ts
+                    if found is None or found[0] <= now:
+                        first[name] = (ts, seq)
+                else:
+                    last[name] = max(last[name], ts)
+                    if name in first:
+                        first[name] = min(first[name], (ts, seq))
+            # Names that are known pass through.
+            opens = [name in first for name, _, _ in views]
+            if all(opens):
+                held.append(part)
+                continue
+            if any(opens):
+                held.append(part[opens])
+                part = part[[not held_back for held_back in opens]]
+            yield part.assign(**{self.flag: 0})
+        first = {name: view for name, view in first.items() if until[name] is None or until[name] < view[0]}
+        for part in held:
+            views = zip(part[self.name].tolist(), part["ts"].tolist(), part["seq"].tolist(), strict=True)
+            yield part.assign(**{self.flag: [int(first.get(name) == (ts, seq)) for name, ts, seq in views]})
+        for name, ts in last.items():
+            if until[name] is None or ts + self.keep_ms > until[name]:
+                self.until.updateValue((name,), (ts + self.keep_ms,))
+        if last and not self.wake.exists():
+            self._wake_at(min(last.values()) + self.keep_ms, now)
+
+    def _wake_at(self, due: int, now: int) -> None:
+        """One timer per slot, at the end of the sweep's time in which something is due."""
+        sweep = max(1, self.keep_ms // self.SWEEPS)
+        wake = max(due, now + 1) // sweep * sweep + sweep
+        self.handle.registerTimer(wake)
+        self.wake.update((wake,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.until.clear()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        gone, left = [], []
+        for (name,), (until,) in self.until.iterator():
+            (left if until > now else gone).append((name, until))
+        # The fewer of both are handled one by one.
+        if len(left) < len(gone):
+            self.until.clear()
+            for name, until in left:
+                self.until.updateValue((name,), (until,))
+        else:
+            for name, _ in gone:
+                self.until.removeKey((name,))
+        if left:
+            self._wake_at(min(until for _, until in left), now)
+        else:
+            self.wake.clear()
         return iter(())
 
     def close(self) -> None:
@@ -114,17 +163,15 @@ def flagged_views(pages: DataFrame, delay: str, day_kept_ms: int = 2 * DAY_MS, s
     the watermark are dropped, as by the windows that follow.
     """
     keyed_state(pages.sparkSession)
-    timed = pages.withColumns({"et": ms_to_timestamp("ts"), "visit_day": logs.day_of()}).withWatermark("et", delay)
-    by_day = timed.groupBy("mid", "visit_day").transformWithStateInPandas(
-        Opening("uv", day_kept_ms), f"{VIEW}, et timestamp, visit_day date, uv long", "Append", "EventTime", eventTimeColumnName="et"
+    slot = lambda *name: F.pmod(F.xxhash64(*name), F.lit(SLOTS)).cast("int")
+    visit = F.concat_ws(" ", F.unix_date(logs.day_of()), "mid")
+    timed = pages.withColumns({"et": ms_to_timestamp("ts"), "visit": visit, "slot": slot(visit)}).withWatermark("et", delay)
+    by_day = timed.groupBy("slot").transformWithStateInPandas(
+        Opening("uv", day_kept_ms, "visit"), f"{VIEW}, et timestamp, uv long", "Append", "EventTime", eventTimeColumnName="et"
     )
-    nobody = F.concat(F.lit("-"), F.pmod("seq", F.lit(NO_SESSION)).cast("string"))
-    keyed = by_day.withColumns({"has_session": F.col("sid").isNotNull(), "session": F.coalesce("sid", nobody)}).drop("visit_day")
-    by_session = keyed.groupBy("has_session", "session").transformWithStateInPandas(
-        Opening("sv", session_kept_ms),
-        f"{VIEW}, et timestamp, uv long, has_session boolean, session string, sv long",
-        "Append",
-        "EventTime",
-        eventTimeColumnName="et",
+    # Views without a session are dealt out by their number.
+    in_session = by_day.withColumn("slot", slot("sid", F.when(F.col("sid").isNull(), F.col("seq"))))
+    by_session = in_session.groupBy("slot").transformWithStateInPandas(
+        Opening("sv", session_kept_ms, "sid"), f"{VIEW}, et timestamp, uv long, sv long", "Append", "EventTime", eventTimeColumnName="et"
     )
-    return by_session.withColumn("sv", F.when(F.col("has_session"), F.col("sv")).otherwise(F.lit(0).cast("long"))).drop("has_session", "session")
+    return by_session
