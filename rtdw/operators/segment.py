@@ -13,33 +13,54 @@ letters and digits are words as in :func:`rtdw.functions.text.words`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_BREAK, fold
 from ..session import run_dir, ship_package
-from .lookup import is_small, lookup
+from .lookup import is_small
 
 # A dictionary of up to this many words is sent to the executors: at most about 50 MB of short words.
 BROADCAST_WORDS = 500_000
 
 MODES = ("longest", "smart")
 
-# Leading pairs that a task holds, and that ask in one batch of rows.
+# Leading pairs that ask in one row.
 ASKED = 10_000
 
-# Characters of runs that ask the dictionary together.
-BLOCK = 1_000_000
+# Characters of texts that ask the dictionary together.
+BLOCK = 4_000_000
+
+# Characters of texts that are packed into one row.
+PIECE = 65_536
+
+# Such rows that are handed on together.
+PIECES = 32
+
+# Different characters of a task whose pairs are marked in a square of bytes; pairs of others are held one by one.
+MARKED = 4_096
+
+# One expression finds the words of a block if they begin with so few characters, and are no longer than this: it tries the
+# characters in turn.
+BRANCHES, DEPTH = 128, 64
 
 # Characters of texts whose words are handed on together.
 SLICE = 1_000_000
 
 _HAN = r"\p{IsHan}"
 
+# What lies between runs of Han characters, and between other words.
+_NO_RUN = r"[\P{IsHan}[^\p{L}\p{N}]]++"
+_NO_OTHER = r"[\p{IsHan}[^\p{L}\p{N}]]++"
+
 
 def han_words(dictionary: DataFrame, word: str = "word") -> DataFrame:
     """The dictionary's distinct entries that consist of two or more Han characters."""
@@ -59,32 +80,20 @@ def segment_words(
     """``key, keyword``: the distinct words of each text.
 
     A dictionary that is counted to be small goes to the executors and the texts are cut where they lie, without
-    a shuffle. A larger one is joined with the pairs of characters that stand in the distinct Han runs; the runs are
-    written below the shared folder first.
+    a shuffle. A larger one is joined with the pairs of characters that stand in blocks of texts; the texts are packed
+    below the shared folder first.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode} is none of {MODES}")
     entries = han_words(dictionary, word)
+    if not is_small(entries, max_words):
+        return _cut_by_join(texts.select(key, F.col(text).alias("text")), key, entries, mode)
     tokens = F.array_distinct(F.array_remove(F.split(_split_scripts(fold(text)), WORD_BREAK), ""))
     tokenised = texts.select(key, tokens.alias("tokens"))
-    if is_small(entries, max_words):
-        runs = F.array_join(F.filter("tokens", lambda token: token.rlike(f"^{_HAN}")), " ")
-        others = F.filter("tokens", lambda token: ~token.rlike(f"^{_HAN}"))
-        cut = _cutter(entries, mode)(runs)
-        return tokenised.select(key, F.explode(F.array_union(others, cut)).alias("keyword"))
-    # The texts are cut into runs once. Runs may be long; a digest stands for them wherever they are shuffled.
-    spark, root = texts.sparkSession, run_dir(texts.sparkSession, "segment")
-    # Not a plain explode: Spark would first filter by the size of the list, and cut every text twice for it.
-    single = tokenised.select(key, F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
-    run_id = F.when(F.col("token").rlike(f"^{_HAN}"), F.unhex(F.sha2("token", 256)))
-    single.withColumn("run_id", run_id).write.parquet(f"{root}/tokens")
-    single = spark.read.parquet(f"{root}/tokens")
-    is_run = F.col("run_id").isNotNull()
-    single.filter(is_run).select("run_id", F.col("token").alias("run")).dropDuplicates(["run_id"]).write.parquet(f"{root}/runs")
-    asked = single.filter(is_run).select(key, "run_id")
-    cut = lookup(asked, _cut_by_join(spark.read.parquet(f"{root}/runs"), entries, mode), ["run_id"], "_cut", F.col(key))
-    words = cut.select(key, F.explode("_cut.words").alias("keyword"))
-    return single.filter(~is_run).select(key, F.col("token").alias("keyword")).unionByName(words).distinct()
+    runs = F.array_join(F.filter("tokens", lambda token: token.rlike(f"^{_HAN}")), " ")
+    others = F.filter("tokens", lambda token: ~token.rlike(f"^{_HAN}"))
+    cut = _cutter(entries, mode)(runs)
+    return tokenised.select(key, F.explode(F.array_union(others, cut)).alias("keyword"))
 
 
 def _split_scripts(text: Column) -> Column:
@@ -205,55 +214,195 @@ def _run_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
     return lambda run: longest_cut(run, known, sizes)
 
 
-def _cut_by_join(runs: DataFrame, entries: DataFrame, mode: str) -> DataFrame:
-    """``run_id, words`` for distinct runs, with the dictionary as a joined table.
+def _text_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
+    """From runs with blanks between them to their distinct words, by the words of a block."""
+    if mode == "longest" and len({word[0] for word in words}) <= BRANCHES and max(map(len, words), default=0) <= DEPTH:
+        found = re.compile(_expression(words)).findall
+        return lambda text: list(dict.fromkeys(found(text)))
+    words_of = _word_lister(_run_cutter(words, mode))
+    return lambda text: words_of(text.split())
 
-    Runs are dealt by their digest into blocks of about ``BLOCK`` characters. A word is two characters or more: a block asks
-    once for each different pair of characters that stands in it, and gets the words which that pair leads. So what travels
-    of a block are its different pairs and the words of the dictionary that may be in it, and not its places.
+
+def _expression(words: list[str]) -> str:
+    """Finds the longest word at each place, or a single character: the words as a tree, each branch tried as far as it goes."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for character in word:
+            node = node.setdefault(character, {})
+        node[""] = {}
+
+    def below(node: dict) -> str:
+        ways = [re.escape(character) + below(node[character]) for character in sorted(node) if character]
+        if not ways:
+            return ""
+        some = ways[0] if len(ways) == 1 and "" not in node else f"(?:{'|'.join(ways)})"
+        return some + "?" * ("" in node)
+
+    return "|".join([*filter(None, [below(tree)]), "[^ ]"])
+
+
+def _packed(text: str) -> bytes:
+    data = text.encode("utf-16-le")
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def _unpacked(data: bytes) -> str:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True).decode("utf-16-le")
+
+
+class _Pairs:
+    """The different pairs of characters in the runs of a block."""
+
+    def __init__(self):
+        self.number = np.full(0x110000, -1, dtype=np.int32)
+        self.characters: list[str] = []
+        self.marked = np.zeros((MARKED, MARKED), dtype=bool)
+        self.others: set[str] = set()
+
+    def add(self, runs: str) -> None:
+        """Runs with blanks between them."""
+        codes = np.frombuffer(runs.encode("utf-32-le"), dtype="<u4")
+        numbers = self.number[codes]
+        if (numbers < 0).any():
+            new = np.unique(codes[numbers < 0])
+            self.number[new] = np.arange(len(self.characters), len(self.characters) + len(new))
+            self.characters += [chr(code) for code in new]
+            numbers = self.number[codes]
+        left, right = numbers[:-1], numbers[1:]
+        if len(self.characters) > MARKED:
+            rare = np.flatnonzero((left >= MARKED) | (right >= MARKED))
+            self.others.update(runs[at : at + 2] for at in rare.tolist())
+            common = (left < MARKED) & (right < MARKED)
+            left, right = left[common], right[common]
+        self.marked[left, right] = True
+
+    def taken(self) -> list[str]:
+        """The pairs so far, which are forgotten then."""
+        pairs = [self.characters[i] + self.characters[j] for i, j in np.argwhere(self.marked).tolist()]
+        pairs += self.others
+        self.marked[:] = False
+        self.others.clear()
+        return [pair for pair in pairs if " " not in pair]
+
+
+def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``block, keys, packed, pairs`` of ``key, runs, others``: pieces of about ``PIECE`` characters with their keys, and of each block
+    of about ``BLOCK`` characters the different pairs. A packed text is its different runs and, behind a tab, its other words."""
+    pairs, pieces, asked = _Pairs(), [], []
+    block, held, size, keys, lines = TaskContext.get().partitionId() << 32, 0, 0, [], []
+
+    def end_piece() -> None:
+        if lines:
+            pieces.append((block, pa.concat_arrays(keys), _packed("\n".join(lines))))
+        keys.clear()
+        lines.clear()
+
+    def end_block() -> None:
+        end_piece()
+        found = pairs.taken()
+        asked.extend((block, found[at : at + ASKED]) for at in range(0, len(found), ASKED))
+
+    def rows() -> pa.RecordBatch:
+        n = len(asked)
+        offsets = np.cumsum([0, *(len(keys) for _, keys, _ in pieces), *[0] * n])
+        own = pa.concat_arrays([keys for _, keys, _ in pieces]) if pieces else pa.array([], key_type)
+        columns = {
+            "block": pa.array([row[0] for row in pieces + asked], pa.int64()),
+            "keys": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), own),
+            "packed": pa.array([row[2] for row in pieces] + [None] * n, pa.binary()),
+            "pairs": pa.array([None] * len(pieces) + [row[1] for row in asked], pa.list_(pa.string())),
+        }
+        pieces.clear()
+        asked.clear()
+        return pa.RecordBatch.from_pydict(columns)
+
+    for batch in batches:
+        key_column, key_type, taken = batch.column("key"), batch.column("key").type, []
+        for at, texts in enumerate(zip(batch.column("runs").to_pylist(), batch.column("others").to_pylist(), strict=True)):
+            runs, others = (" ".join(dict.fromkeys(words.split())) for words in texts)
+            if not runs and not others:
+                continue
+            if runs:
+                pairs.add(runs)
+            taken.append(at)
+            lines.append(f"{runs}\t{others}")
+            size += len(lines[-1])
+            held += len(lines[-1])
+            if size >= PIECE or held >= BLOCK:
+                keys.append(key_column.take(pa.array(taken, pa.int32())))
+                taken, size = [], 0
+                end_piece()
+            if held >= BLOCK:
+                end_block()
+                block, held = block + 1, 0
+            if len(pieces) >= PIECES:
+                yield rows()
+        if taken:
+            keys.append(key_column.take(pa.array(taken, pa.int32())))
+    end_block()
+    if pieces or asked:
+        yield rows()
+
+
+def _cut_by_join(texts: DataFrame, key: str, entries: DataFrame, mode: str) -> DataFrame:
+    """``key, keyword`` of the texts, with the dictionary as a joined table.
+
+    The texts are cut into runs and packed once, where they lie, into blocks of about ``BLOCK`` characters. A word is two characters or
+    more: a block asks once for each different pair of characters that stands in it, and gets the words which that pair leads. So what
+    travels is the packed texts, once, and for each block its different pairs and the words of the dictionary that may be in it.
     """
-    ship_package(entries.sparkSession)
-    blocks = F.ceil(F.sum(F.length("run")) / BLOCK)
-    n_blocks = max(runs.agg(blocks.alias("n")).first()["n"] or 1, runs.sparkSession.sparkContext.defaultParallelism)
-    leading = F.substring("word", 1, 2).alias("leading")
-    words = entries.select(leading, "word").groupBy("leading").agg(F.array_sort(F.collect_list("word")).alias("words"))
+    spark, root = texts.sparkSession, run_dir(texts.sparkSession, "segment")
+    ship_package(spark)
+    folded = texts.select(F.col(key).alias("key"), fold("text").alias("text")).filter("text is not null")
+    parts = folded.select("key", F.regexp_replace("text", _NO_RUN, " ").alias("runs"), F.regexp_replace("text", _NO_OTHER, " ").alias("others"))
+    key_type = texts.schema[key].dataType.simpleString()
+    packed = parts.mapInArrow(_packer, f"block long, keys array<{key_type}>, packed binary, pairs array<string>")
+    # Written down: a block's pairs and its pieces must be those of one run over the texts.
+    packed.write.parquet(f"{root}/blocks")
+    stored = spark.read.parquet(f"{root}/blocks")
+    n_blocks = stored.select("block").distinct().count()
+    tasks = max(n_blocks // 4, min(n_blocks, 8 * spark.sparkContext.defaultParallelism), 1)
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked: set[tuple] = set()
-        for batch in batches:
-            for block, run in zip(batch["block"].tolist(), batch["run"], strict=True):
-                asked.update((block, pair) for pair in set(map(str.__add__, run, run[1:])))
-                if len(asked) >= ASKED:
-                    yield pd.DataFrame(list(asked), columns=["block", "leading"])
-                    asked.clear()
-        if asked:
-            yield pd.DataFrame(list(asked), columns=["block", "leading"])
-
-    # The digest's own bytes: runs of one length or beginning are dealt out like all others.
-    number = F.pmod(F.xxhash64("run_id"), F.lit(n_blocks)).alias("block")
-    dealt = runs.select(number, "run_id", "run").repartition("block")
-    asked = dealt.select("block", "run").mapInPandas(ask, "block long, leading string").distinct()
+    leading = F.substring("word", 1, 2).alias("leading")
+    words = entries.select(leading, "word").groupBy("leading").agg(F.collect_list("word").alias("words"))
+    asked = stored.select("block", F.explode("pairs").alias("leading"))
     # An inner join of plain shuffles: a dictionary of few bytes is broadcast by its size, hot leading pairs are split.
-    found = asked.join(words, "leading").select("block", F.lit(None).cast("binary").alias("run_id"), F.lit(None).cast("string").alias("run"), "words")
-    none = F.lit(None).cast("array<string>").alias("words")
-    both = found.unionByName(runs.select(number, "run_id", "run", none))
+    none = [F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in ("keys", "packed")]
+    found = asked.join(words, "leading").select("block", *none, "words")
+    pieces = stored.filter("packed is not null").select("block", "keys", "packed", F.lit(None).cast("array<string>").alias("words"))
     # Of a block the words come first; a nested list in a batch is as long as the words that one pair leads.
-    sorted_blocks = both.repartition("block").sortWithinPartitions("block", F.col("run_id").asc_nulls_first())
+    both = found.unionByName(pieces).repartition(tasks, "block").sortWithinPartitions("block", F.col("packed").isNotNull())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known, words_of, held, ids, found = None, [], None, 0, [], []
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(found, pa.list_(pa.string()))], names=[key, "words"])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, known, lister = None, [], None
         for batch in batches:
-            ids, found = [], []
-            columns = (batch["block"].tolist(), batch["run_id"], batch["run"], batch["words"])
-            for block, run_id, run, words in zip(*columns, strict=True):
+            blocks, keys, packed, words = (batch.column(c) for c in ("block", "keys", "packed", "words"))
+            for row, block in enumerate(blocks.to_pylist()):
                 if block != at:
-                    at, known, lister = block, [], None
-                if words is not None:
-                    known.extend(words)
+                    at, known, words_of = block, [], None
+                if words[row].is_valid:
+                    known.extend(words[row].as_py())
                     continue
-                lister = lister or _word_lister(_run_cutter(known, mode))
-                ids.append(run_id)
-                found.append(lister([run]))
-            yield pd.DataFrame({"run_id": pd.Series(ids, dtype="object"), "words": pd.Series(found, dtype="object")})
-
-    return sorted_blocks.mapInPandas(cut, "run_id binary, words array<string>")
+                words_of = words_of or _text_cutter(known, mode)
+                text = _unpacked(packed[row].as_py())
+                for line in text.split("\n"):
+                    runs, _, others = line.partition("\t")
+                    found.append(words_of(runs) + others.split())
+                ids.append(keys[row].values)
+                held += len(text)
+                if held >= SLICE:
+                    yield rows()
+                    held, ids, found = 0, [], []
+        if ids:
+            yield rows()
+
+    cut_texts = both.mapInArrow(cut, f"`{key}` {key_type}, words array<string>")
+    keywords = cut_texts.select(key, F.explode("words").alias("keyword"))
+    # Texts of one key are one text.
+    repeated = stored.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
+    return keywords if repeated.isEmpty() else keywords.distinct()
