@@ -3,6 +3,7 @@
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
+from rtdw import session
 from rtdw.operators import logs, traffic
 from rtdw.sources import topics
 from rtdw.streaming import runner, visitors
@@ -111,3 +112,12 @@ def test_flags_of_many_visitors_equal_the_batch(spark, root):
         runner.finish(runner.run_file_sink(views.select("seq", "uv", "sv"), f"{root}/views", f"{root}/_checkpoints/views"))
     whole = traffic.parse_pages(logs.parse_logs(topics.read_topic(spark, path=f"{root}/in/*", streaming=False)))
     assert rows_of(spark.read.parquet(f"{root}/views")) == rows_of(traffic.flag_visits(whole).select("seq", "uv", "sv"))
+
+
+def test_small_stores_take_no_disk_in_advance(spark):
+    """A store of a few rows held 4 MB, for each partition of each state step of each start of a stream."""
+    plain, chosen = spark.newSession(), spark.newSession()
+    chosen.conf.set(session.PREALLOCATED, "true")
+    for own in (plain, chosen):
+        session.keyed_state(own)
+    assert plain.conf.get(session.PREALLOCATED) == "false" and chosen.conf.get(session.PREALLOCATED) == "true"
