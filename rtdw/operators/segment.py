@@ -218,7 +218,9 @@ def _text_cutter(words: list[str], mode: str) -> Callable[[str], list[str]]:
     """From runs with blanks between them to their distinct words, by the words of a block."""
     if mode == "longest" and len({word[0] for word in words}) <= BRANCHES and max(map(len, words), default=0) <= DEPTH:
         found = re.compile(_expression(words)).findall
-        return lambda text: list(dict.fromkeys(found(text)))
+        # Of a long text, the words of a run at a time.
+        parts = lambda text: [text] if len(text) <= PIECE else text.split(" ")
+        return lambda text: list(dict.fromkeys(word for part in parts(text) for word in dict.fromkeys(found(part))))
     words_of = _word_lister(_run_cutter(words, mode))
     return lambda text: words_of(text.split())
 
@@ -262,6 +264,10 @@ class _Pairs:
 
     def add(self, runs: str) -> None:
         """Runs with blanks between them."""
+        for at in range(0, len(runs), PIECE):
+            self._add(runs[at : at + PIECE + 1])
+
+    def _add(self, runs: str) -> None:
         codes = np.frombuffer(runs.encode("utf-32-le"), dtype="<u4")
         numbers = self.number[codes]
         if (numbers < 0).any():

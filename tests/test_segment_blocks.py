@@ -88,6 +88,19 @@ def test_the_expression_cuts_as_the_set():
         assert set(cut(" ".join(runs))) == set(segment._word_lister(segment._run_cutter(words, "longest"))(runs))
 
 
+def test_long_texts_are_taken_in_parts(monkeypatch):
+    text = " ".join(prose(i, 20).replace("，", "") for i in range(30))
+    words = sorted({text[i : i + 2 + i % 3] for i in range(0, 900, 3) if " " not in text[i : i + 2 + i % 3]})
+    whole, pairs = segment._text_cutter(words, "longest")(text), segment._Pairs()
+    pairs.add(text)
+    taken = sorted(pairs.taken())
+    for size in (1, 7, 64):
+        monkeypatch.setattr(segment, "PIECE", size)
+        assert segment._text_cutter(words, "longest")(text) == whole
+        pairs.add(text)
+        assert sorted(pairs.taken()) == taken
+
+
 def test_many_leading_characters_take_the_set(monkeypatch):
     monkeypatch.setattr(segment, "_expression", None)
     words = [chr(0x4E00 + i) + HAN[i % 26] for i in range(segment.BRANCHES + 1)]
